@@ -29,6 +29,12 @@ def rnd(x: Column, digits: int) -> Column:
     return F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / unit
 
 
+def rnd_sql(x: str, digits: int) -> str:
+    """``rnd`` of a SQL expression, as SQL."""
+    unit = f"{float(10**digits)}D"
+    return f"signum(({x}) * {unit}) * floor(abs(({x}) * {unit}) + 0.5D) / {unit}"
+
+
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division that gives NULL, not an error, on a zero denominator."""
     return F.try_divide(numerator, denominator)

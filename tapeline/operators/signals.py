@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions.finance import TRADING_DAYS, log_return, pct_change
 from tapeline.functions.labels import surrogate_key
-from tapeline.functions.numbers import SCALE, ratio, rnd, ticks, unticks
+from tapeline.functions.numbers import SCALE, ratio, rnd, rnd_sql, ticks
 from tapeline.operators.series import cut_long_series
 
 RETURNS = [
@@ -54,7 +54,7 @@ def daily_signals(stg: DataFrame, cut: bool = False) -> DataFrame:
 
 
 def _signals(stg: DataFrame, keys: list[str]) -> DataFrame:
-    series = Window.partitionBy(*keys).orderBy("trading_date")
+    series = f"PARTITION BY {', '.join(keys)} ORDER BY trading_date"
     # The key is a hash of two columns at hand: made again after the exchange
     # rather than carried through it.
     rows = _with_returns(stg.drop("price_id"), series)
@@ -64,11 +64,11 @@ def _signals(stg: DataFrame, keys: list[str]) -> DataFrame:
     return _from_totals(rows).withColumn("price_id", key)
 
 
-def _with_returns(stg: DataFrame, series) -> DataFrame:
+def _with_returns(stg: DataFrame, series: str) -> DataFrame:
     close, prev = F.col("close_price"), F.col("prev_close_price")
     day_range = ratio(F.col("high_price") - F.col("low_price"), close)
     return (
-        stg.withColumn("prev_close_price", F.lag("close_price").over(series))
+        _add(stg, {"prev_close_price": f"lag(close_price) OVER ({series})"})
         .withColumns(
             {
                 "daily_return_pct": pct_change(close, prev),
@@ -86,8 +86,22 @@ def _with_returns(stg: DataFrame, series) -> DataFrame:
     )
 
 
-#: Running totals, and the frame lengths whose averages they serve.
+def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+
+
+#: Running totals of values that count as 0 where they are missing.
 TOTALS = {
+    "close_sum": "sum(close_ticks)",
+    "volume_sum": "sum(volume)",
+    "log_sum": "sum(coalesce(log_ticks, 0))",
+    "log_sq_sum": "sum(coalesce(log_ticks * log_ticks, 0))",
+    "log_n": "count(log_ticks)",
+    "range_sum": "sum(coalesce(range_ticks, 0))",
+    "range_n": "count(range_ticks)",
+}
+#: How many rows back each total is needed.
+BACK = {
     "close_sum": (7, 30, 90, 200),
     "volume_sum": (1, 20, 21, 90),
     "log_sum": (20, 60),
@@ -96,69 +110,76 @@ TOTALS = {
     "range_sum": (20,),
     "range_n": (20,),
 }
+#: The 52-week range of 252 rows is put together from seven blocks of 36 rows:
+#: a frame is scanned anew for every row, so a short one costs a seventh.
+BLOCK, BLOCKS = 36, TRADING_DAYS // 36
 
 
-def _with_totals(rows: DataFrame, series) -> DataFrame:
-    so_far = series.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    year = series.rowsBetween(-(TRADING_DAYS - 1), Window.currentRow)
-    log = F.coalesce("log_ticks", F.lit(0))
-    return rows.withColumns(
+def _with_totals(rows: DataFrame, series: str) -> DataFrame:
+    so_far = f"{series} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    block = f"{series} ROWS BETWEEN {BLOCK - 1} PRECEDING AND CURRENT ROW"
+    return _add(
+        rows,
         {
-            "row_no": F.row_number().over(series),
-            "close_sum": F.sum("close_ticks").over(so_far),
-            "volume_sum": F.sum("volume").over(so_far),
-            "log_sum": F.sum(log).over(so_far),
-            "log_sq_sum": F.sum(log * log).over(so_far),
-            "log_n": F.count("log_ticks").over(so_far),
-            "range_sum": F.sum(F.coalesce("range_ticks", F.lit(0))).over(so_far),
-            "range_n": F.count("range_ticks").over(so_far),
-            "high_52w": F.max("close_price").over(year),
-            "low_52w": F.min("close_price").over(year),
-        }
+            "row_no": f"row_number() OVER ({series})",
+            **{name: f"{total} OVER ({so_far})" for name, total in TOTALS.items()},
+            "high_0": f"max(close_price) OVER ({block})",
+            "low_0": f"min(close_price) OVER ({block})",
+        },
     )
 
 
-def _with_earlier_totals(rows: DataFrame, series) -> DataFrame:
-    """Each running total as it stood a frame length ago; 0 before the start."""
-    return rows.withColumns(
-        {
-            f"{name}_{back}": F.lag(name, back, 0).over(series)
-            for name, lengths in TOTALS.items()
-            for back in lengths
-        }
-    )
+def _with_earlier_totals(rows: DataFrame, series: str) -> DataFrame:
+    """Totals and blocks as they stood some rows ago; totals are 0 before the
+    start, blocks NULL."""
+    totals = {
+        f"{name}_{back}": f"lag({name}, {back}, 0) OVER ({series})"
+        for name, rows_back in BACK.items()
+        for back in rows_back
+    }
+    blocks = {
+        f"{end}_{i}": f"lag({end}_0, {i * BLOCK}) OVER ({series})"
+        for end in ("high", "low")
+        for i in range(1, BLOCKS)
+    }
+    return _add(rows, totals | blocks)
 
 
 def _from_totals(rows: DataFrame) -> DataFrame:
-    row_no, close = F.col("row_no"), F.col("close_price")
-
-    def trailing(name: str, length: int) -> Column:
-        return F.col(name) - F.col(f"{name}_{length}")
+    def trailing(name: str, length: int) -> str:
+        return f"({name} - {name}_{length})"
 
-    def rows_in(length: int) -> Column:
-        return F.least(row_no, F.lit(length))
+    def blocks(end: str) -> str:
+        return ", ".join(f"{end}_{i}" for i in range(BLOCKS))
 
-    def sma(length: int) -> Column:
-        return rnd(unticks(trailing("close_sum", length)) / rows_in(length), 4)
+    def sma(length: int) -> str:
+        total = f"{trailing('close_sum', length)} / {SCALE}D"
+        return rnd_sql(f"{total} / least(row_no, {length})", 4)
 
-    def avg_volume(length: int) -> Column:
-        return rnd(trailing("volume_sum", length) / rows_in(length), 0)
+    def avg_volume(length: int) -> str:
+        return rnd_sql(f"{trailing('volume_sum', length)} / least(row_no, {length})", 0)
 
-    def volatility(length: int) -> Column:
+    def volatility(length: int) -> str:
+        """Sample deviation of the log returns, from n, sum and sum of squares."""
         n, s = trailing("log_n", length), trailing("log_sum", length)
         squares = trailing("log_sq_sum", length)
-        variance = ratio(n * squares - s * s, n * (n - 1))
+        variance = f"try_divide({n} * {squares} - {s} * {s}, {n} * ({n} - 1))"
         # Ticks of a percentage: SCALE * 100 of them make 1.
-        stddev = F.sqrt(F.when(n > 1, variance)) / F.lit(float(SCALE * 100))
-        return rnd(stddev * F.lit(math.sqrt(TRADING_DAYS)) * 100, 4)
-
-    prior = ratio(
-        F.col("volume_sum_1") - F.col("volume_sum_21"),
-        F.least(row_no - 1, F.lit(20)),
+        deviation = f"sqrt({variance}) / {SCALE * 100}D"
+        return rnd_sql(f"{deviation} * {math.sqrt(TRADING_DAYS)!r}D * 100", 4)
+
+    prior = "try_divide(volume_sum_1 - volume_sum_21, least(row_no - 1, 20))"
+    day_range = f"try_divide({trailing('range_sum', 20)} / {SCALE}D, {trailing('range_n', 20)})"
+    position = "try_divide(close_price - low_52w, high_52w - low_52w)"
+    ranged = _add(
+        rows,
+        {
+            "high_52w": f"greatest({blocks('high')})",
+            "low_52w": f"least({blocks('low')})",
+        },
     )
-    day_range = ratio(unticks(trailing("range_sum", 20)), trailing("range_n", 20))
-    span = F.col("high_52w") - F.col("low_52w")
-    return rows.withColumns(
+    return _add(
+        ranged,
         {
             "sma_7d": sma(7),
             "sma_30d": sma(30),
@@ -166,12 +187,12 @@ def _from_totals(rows: DataFrame) -> DataFrame:
             "sma_200d": sma(200),
             "avg_volume_20d": avg_volume(20),
             "avg_volume_90d": avg_volume(90),
-            "relative_volume_20d": rnd(ratio(F.col("volume"), prior), 2),
-            "price_position_52w": rnd(ratio(close - F.col("low_52w"), span), 4),
+            "relative_volume_20d": rnd_sql(f"try_divide(volume, {prior})", 2),
+            "price_position_52w": rnd_sql(position, 4),
             "volatility_20d_annualized": volatility(20),
             "volatility_60d_annualized": volatility(60),
-            "avg_intraday_range_pct_20d": rnd(day_range, 4),
-        }
+            "avg_intraday_range_pct_20d": rnd_sql(day_range, 4),
+        },
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.functions.labels import blank_to_null, surrogate_key
-from tapeline.functions.numbers import ratio, rnd
+from tapeline.functions.numbers import rnd_sql
 
 
 def stg_stock_prices(raw: DataFrame) -> DataFrame:
@@ -16,21 +16,20 @@ def stg_stock_prices(raw: DataFrame) -> DataFrame:
     the trading date rather than the raw timestamp, so it does not depend on the
     time zone of the session.
     """
-    date = F.col("date").cast("date")
-    change = ratio(F.col("close") - F.col("open"), F.col("open"))
-    return raw.filter(
-        F.col("date").isNotNull() & F.col("close").isNotNull() & (F.col("volume") > 0)
-    ).select(
-        surrogate_key(F.col("ticker"), date).alias("price_id"),
+    kept = raw.filter("date IS NOT NULL AND close IS NOT NULL AND volume > 0")
+    key = surrogate_key(F.col("ticker"), F.col("date").cast("date"))
+    change = "try_divide(close - open, open) * 100"
+    return kept.select(
+        key.alias("price_id"),
         "ticker",
-        date.alias("trading_date"),
-        rnd(F.col("open"), 4).alias("open_price"),
-        rnd(F.col("high"), 4).alias("high_price"),
-        rnd(F.col("low"), 4).alias("low_price"),
-        rnd(F.col("close"), 4).alias("close_price"),
+        F.col("date").cast("date").alias("trading_date"),
+        *[
+            F.expr(f"{rnd_sql(price, 4)} AS {price}_price")
+            for price in ("open", "high", "low", "close")
+        ],
         "volume",
-        rnd(F.col("high") - F.col("low"), 4).alias("intraday_range"),
-        rnd(change * 100, 4).alias("intraday_return_pct"),
+        F.expr(f"{rnd_sql('high - low', 4)} AS intraday_range"),
+        F.expr(f"{rnd_sql(change, 4)} AS intraday_return_pct"),
         "extracted_at",
     )
 
