@@ -3,8 +3,16 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    LongType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from tapeline.sources.schemas import COMPANIES, INDICATORS, PRICES, SEED
 
@@ -12,17 +20,41 @@ from tapeline.sources.schemas import COMPANIES, INDICATORS, PRICES, SEED
 def read_parquet_if_there(
     spark: SparkSession, path: str, schema: StructType
 ) -> DataFrame | None:
-    """The files at ``path``, or None if there are none.
+    """The files at ``path`` with the declared columns and types, or None if
+    there are none.
 
-    The declared schema is applied on read: no inference pass, and a column a
-    file lacks reads as NULL.
+    A column a file lacks reads as NULL; a column stored in another type is
+    cast.  Times may be stored in nanoseconds, as pandas writes them.
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        stored = {f.name: f.dataType for f in spark.read.parquet(path).schema}
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
-        raise
+        if e.getCondition() != "PARQUET_TYPE_ILLEGAL":
+            raise
+        stored = {f.name: LongType() for f in schema if _is_time(f)}
+    as_stored = StructType(
+        [StructField(f.name, stored.get(f.name, f.dataType)) for f in schema]
+    )
+    rows = spark.read.schema(as_stored).parquet(path)
+    return rows.select(*[_declared(f, as_stored[f.name].dataType) for f in schema])
+
+
+def _is_time(field: StructField) -> bool:
+    return isinstance(field.dataType, (DateType, TimestampNTZType))
+
+
+def _declared(field: StructField, stored: DataType) -> Column:
+    value = F.col(field.name)
+    if stored == field.dataType:
+        return value
+    if _is_time(field) and isinstance(stored, LongType):
+        value = F.expr(
+            f"timestampadd(MICROSECOND, {field.name} DIV 1000,"
+            " TIMESTAMP_NTZ'1970-01-01 00:00:00')"
+        )
+    return value.cast(field.dataType).alias(field.name)
 
 
 def read_prices(
