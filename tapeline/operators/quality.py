@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tapeline.operators.series import per_series
+
 # Rules as predicates ---------------------------------------------------------
 
 
@@ -63,17 +65,32 @@ def reasonable_volatility(
     )
 
 
-def with_gap_days(stg: DataFrame) -> DataFrame:
-    """Days since the previous bar of the ticker; NULL on its first."""
-    series = Window.partitionBy("ticker").orderBy("trading_date")
-    return stg.withColumn(
-        "prev_trading_date", F.lag("trading_date").over(series)
-    ).withColumn("gap_days", F.datediff("trading_date", "prev_trading_date"))
+def with_gap_days(stg: DataFrame, cut: bool = False) -> DataFrame:
+    """Date of the bar before and the days since; NULL on the first of a ticker."""
+
+    def gaps(rows: DataFrame, keys: list[str]) -> DataFrame:
+        before = f"PARTITION BY {', '.join(keys)} ORDER BY trading_date"
+        return rows.withColumn(
+            "prev_trading_date", F.expr(f"lag(trading_date) OVER ({before})")
+        ).withColumn("gap_days", F.datediff("trading_date", "prev_trading_date"))
+
+    return per_series(stg, gaps, cut, reach=1)
 
 
-def no_large_date_gaps(stg: DataFrame, days: int = 7) -> DataFrame:
+def with_neighbours(stg: DataFrame) -> DataFrame:
+    """The bars before and after, and the number of the bar within its ticker."""
+    series = "PARTITION BY ticker ORDER BY trading_date"
+    return with_gap_days(stg).withColumns(
+        {
+            "next_trading_date": F.expr(f"lead(trading_date) OVER ({series})"),
+            "bar_no": F.expr(f"row_number() OVER ({series})"),
+        }
+    )
+
+
+def no_large_date_gaps(stg: DataFrame, days: int = 7, cut: bool = False) -> DataFrame:
     return (
-        with_gap_days(stg.select("price_id", "ticker", "trading_date"))
+        with_gap_days(stg.select("price_id", "ticker", "trading_date"), cut)
         .filter(large_gap(days))
         .select("price_id", "ticker", "trading_date", "prev_trading_date", "gap_days")
     )
@@ -188,15 +205,22 @@ def check_schema(df: DataFrame, declared: StructType) -> DataFrame:
 # Report ----------------------------------------------------------------------
 
 
-def count_rows_breaking(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """Violations of many row rules in one pass, one line per rule."""
+def count_breaks(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
+    """Many counts over one frame in one pass, one line per check."""
     lines = [
-        F.struct(F.lit(name).alias("check_name"), F.count_if(rule).alias("violations"))
-        for name, rule in rules.items()
+        F.struct(
+            F.lit(name).alias("check_name"),
+            count.cast("bigint").alias("violations"),
+        )
+        for name, count in counts.items()
     ]
     return df.agg(F.array(*lines).alias("lines")).selectExpr("inline(lines)")
 
 
+def count_rules(rules: dict[str, Column]) -> dict[str, Column]:
+    return {name: F.count_if(rule) for name, rule in rules.items()}
+
+
 def count_violations(name: str, violations: DataFrame) -> DataFrame:
     return violations.agg(F.count("*").alias("violations")).select(
         F.lit(name).alias("check_name"), "violations"

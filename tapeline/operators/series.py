@@ -10,6 +10,8 @@ as on the whole series.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -68,3 +70,19 @@ def cut_long_series(
         .withColumn("is_lead", F.col("slice_no") != F.col("own"))
     )
     return whole.unionByName(cut.select(whole.columns))
+
+
+def per_series(
+    df: DataFrame,
+    compute: Callable[[DataFrame, list[str]], DataFrame],
+    cut: bool,
+    reach: int = REACH,
+) -> DataFrame:
+    """Run window columns per ticker or, with ``cut``, per slice of a ticker.
+
+    ``compute`` gets the rows and the columns to partition its windows by.
+    """
+    if not cut:
+        return compute(df, ["ticker"])
+    rows = compute(cut_long_series(df, reach), ["ticker", "slice_no"])
+    return rows.filter(~F.col("is_lead")).drop("slice_no", "is_lead")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tapeline.functions.finance import TRADING_DAYS, log_return, pct_change
 from tapeline.functions.labels import surrogate_key
 from tapeline.functions.numbers import SCALE, ratio, rnd, rnd_sql, ticks
-from tapeline.operators.series import cut_long_series
+from tapeline.operators.series import per_series
 
 RETURNS = [
     "price_id", "ticker", "trading_date", "close_price", "open_price", "volume",
@@ -45,12 +45,12 @@ def daily_signals(stg: DataFrame, cut: bool = False) -> DataFrame:
     Columns a query does not read are pruned with their window expressions.
     Set ``cut`` for input that is not known to be one row per ticker and day.
     """
-    if cut:
-        stg = cut_long_series(stg)
-        wide = _signals(stg, ["ticker", "slice_no"]).filter(~F.col("is_lead"))
-    else:
-        wide = _signals(stg, ["ticker"])
-    return wide.select(SIGNALS)
+    return with_signals(stg, cut).select(SIGNALS)
+
+
+def with_signals(stg: DataFrame, cut: bool = False) -> DataFrame:
+    """The staged bars with the signals beside their own columns."""
+    return per_series(stg, _signals, cut).drop(*_HELPERS)
 
 
 def _signals(stg: DataFrame, keys: list[str]) -> DataFrame:
@@ -114,6 +114,12 @@ BACK = {
 #: a frame is scanned anew for every row, so a short one costs a seventh.
 BLOCK, BLOCKS = 36, TRADING_DAYS // 36
 
+_HELPERS = [
+    "row_no", "close_ticks", "log_ticks", "range_ticks", *TOTALS,
+    *[f"{name}_{back}" for name, rows_back in BACK.items() for back in rows_back],
+    *[f"{end}_{i}" for end in ("high", "low") for i in range(BLOCKS)],
+]
+
 
 def _with_totals(rows: DataFrame, series: str) -> DataFrame:
     so_far = f"{series} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"

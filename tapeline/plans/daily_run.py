@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tapeline.operators import quality
 from tapeline.operators.series import long_series
-from tapeline.operators.signals import daily_signals
+from tapeline.operators.signals import with_signals
 from tapeline.operators.staging import (
     stg_company_info,
     stg_economic_indicators,
@@ -71,18 +71,14 @@ def checks(
     dates: DataFrame,
     min_rows: int = 200,
 ) -> DataFrame:
-    """Quality report over prices, companies and calendar.
+    """Quality report over prices, companies and calendar in two passes.
 
-    Rules on rows run together: one pass over the raw bars, one over the staged
-    bars and their signals.
+    One pass counts over the raw bars.  The other runs over the staged bars in
+    the layout of the signals, by ticker and date: there a repeated key is two
+    neighbours, the length of a series is the number of its last row, and the
+    companies join without moving a bar.  Only the calendar is broadcast, one
+    row per day.
     """
-    signals = quality.with_gap_days(daily_signals(stg))
-    row_rules = {
-        "reasonable_daily_return": quality.large_return(),
-        "reasonable_volatility": quality.odd_volatility(),
-        "no_large_date_gaps": quality.large_gap(),
-        **quality.nulls("price_id", "ticker", "trading_date", "close_price"),
-    }
     raw_rules = {
         "positive_volume": quality.no_volume(),
         **{
@@ -90,28 +86,36 @@ def checks(
             for name, rule in quality.nulls("open", "high", "low", "close").items()
         },
     }
+    known = companies.select("ticker").distinct().withColumn("has_company", F.lit(True))
+    calendar = dates.select(
+        F.col("calendar_date").alias("trading_date"), F.lit(True).alias("has_date")
+    )
+    staged = (
+        quality.with_neighbours(with_signals(stg))
+        .join(known, "ticker", "left")
+        .join(F.broadcast(calendar), "trading_date", "left")
+    )
+    day, following = F.col("trading_date"), F.col("next_trading_date")
+    is_last = following.isNull()
+    starts_repeat = (following == day) & ~F.col("prev_trading_date").eqNullSafe(day)
+    stg_rules = {
+        "valid_ohlc": quality.breaks_ohlc(),
+        "reasonable_daily_return": quality.large_return(),
+        "reasonable_volatility": quality.odd_volatility(),
+        "no_large_date_gaps": quality.large_gap(),
+        **quality.nulls("price_id", "ticker", "trading_date", "close_price"),
+        "sufficient_history": is_last & (F.col("bar_no") < min_rows),
+        "unique_price_id": starts_repeat,
+        "tickers_in_dim": is_last & F.col("has_company").isNull(),
+    }
+    # Distinct dates: no more than the calendar has days.
+    orphans = F.collect_set(F.when(F.col("has_date").isNull(), day))
     return quality.quality_report(
         [
-            quality.count_rows_breaking(raw, raw_rules),
-            quality.count_rows_breaking(stg, {"valid_ohlc": quality.breaks_ohlc()}),
-            quality.count_rows_breaking(signals, row_rules),
-            quality.count_violations(
-                "sufficient_history", quality.sufficient_history(stg, min_rows)
+            quality.count_breaks(raw, quality.count_rules(raw_rules)),
+            quality.count_breaks(
+                staged,
+                quality.count_rules(stg_rules) | {"dates_in_dim": F.size(orphans)},
             ),
-            quality.count_violations("unique_price_id", repeated_bars(stg)),
-            quality.count_violations(
-                "tickers_in_dim", quality.tickers_in_dim(stg, companies)
-            ),
-            quality.count_violations("dates_in_dim", quality.dates_in_dim(stg, dates)),
         ]
     )
-
-
-def repeated_bars(stg: DataFrame) -> DataFrame:
-    """Keys that occur twice: the hash of two columns repeats when they do, and
-    the columns are cheaper to group than the hash."""
-    return (
-        stg.groupBy("ticker", "trading_date")
-        .agg(F.count("*").alias("n_records"))
-        .filter(F.col("n_records") > 1)
-    )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from tapeline.plans.data_tests import NOT_NULL, UNIQUE
 from tapeline.plans.registry import (
     AS_OF, CALENDAR, HISTORY, MIN_ROWS, NOW, ORPHAN_NATION, SHORT_CALENDAR, TICKER,
 )
@@ -150,7 +151,7 @@ STEPS: dict[str, str] = {
         FROM companies""",
     # Reports ------------------------------------------------------------------
     "latest": "SELECT * FROM fact WHERE trading_date = (SELECT max(trading_date) FROM stg)",
-    "year": """
+    "trailing_year": """
         SELECT * FROM fact
         WHERE trading_date >= (SELECT max(trading_date) - 365 FROM stg)""",
     "first_ticker": "SELECT min(ticker) AS t FROM latest",
@@ -200,7 +201,7 @@ STEPS: dict[str, str] = {
                round({exact_avg:volatility_20d_annualized} / 100, 4)
                    AS avg_volatility_pct,
                round(avg(volume), 0) AS avg_daily_volume
-        FROM year GROUP BY ticker, company_name, sector""",
+        FROM trailing_year GROUP BY ticker, company_name, sector""",
     "months": """
         SELECT ticker, CAST(date_trunc('month', trading_date) AS DATE) AS month,
                round(max_by(close_price, trading_date)
@@ -220,7 +221,7 @@ STEPS: dict[str, str] = {
                round((max_by(close_price, trading_date)
                       / nullif(min_by(close_price, trading_date), 0) - 1) * 100, 1)
                    AS return_52w_pct
-        FROM year GROUP BY ticker, company_name""",
+        FROM trailing_year GROUP BY ticker, company_name""",
     "falls": """
         SELECT ticker, trading_date, close_price,
                round(close_price / nullif(max(close_price) OVER (
@@ -232,6 +233,12 @@ STEPS: dict[str, str] = {
     "gaps": "{gapped:stg}",
     "dirty_gaps": "{gapped:dirty_stg}",
     "kept_companies": f"SELECT * FROM raw_companies WHERE s_nationkey <> {ORPHAN_NATION}",
+    "seed": """
+        SELECT s_name AS ticker, s_name AS company_name, n_name AS sector
+        FROM supplier JOIN nation ON n_nationkey = s_nationkey""",
+    "calendar": f"""
+        SELECT CAST(d AS DATE) AS calendar_date
+        FROM range(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY) t(d)""",
     "short_dates": f"""
         SELECT CAST(d AS DATE) AS calendar_date
         FROM range(DATE '{SHORT_CALENDAR[0]}', DATE '{SHORT_CALENDAR[1]}',
@@ -455,7 +462,7 @@ FINAL: dict[str, str] = {
                round(avg(daily_return_pct / 100), 4) AS avg_daily_return,
                round(stddev_samp(daily_return_pct / 100), 4) AS std_daily_return,
                count(*) AS trading_days
-        FROM year GROUP BY ticker""",
+        FROM trailing_year GROUP BY ticker""",
     "stock_info": """
         SELECT ticker, company_name, sector, industry, market_cap_category, exchange
         FROM snapshot WHERE ticker = (SELECT t FROM first_ticker)""",
@@ -613,6 +620,59 @@ FINAL: dict[str, str] = {
 }
 
 
+# The step that stands for each table of the declared tests.
+TABLES = {
+    "raw_stock_prices": "raw_prices",
+    "raw_company_info": "raw_companies",
+    "raw_economic_indicators": "raw_indicators",
+    "stg_stock_prices": "stg",
+    "stg_company_info": "companies",
+    "stg_economic_indicators": "indicators",
+    "int_daily_returns": "returns",
+    "int_moving_averages": "signals",
+    "int_macro_context": "macro",
+    "int_volatility": "signals",
+    "fct_daily_trading": "fact",
+    "dim_company": "dim_company_t",
+    "dim_date": "calendar",
+    "sp500_companies": "seed",
+}
+FINAL["data_tests"] = " UNION ALL ".join(
+    [
+        *[
+            _count(f"not_null_{column}_{table}", TABLES[table], f"{column} IS NULL")
+            for table, columns in NOT_NULL.items()
+            for column in columns
+        ],
+        *[
+            _count(
+                f"unique_{column}_{table}",
+                f"(SELECT {column} FROM {TABLES[table]} WHERE {column} IS NOT NULL "
+                f"GROUP BY 1 HAVING count(*) > 1)",
+            )
+            for table, columns in UNIQUE.items()
+            for column in columns
+        ],
+        _count("positive_volume", "raw_prices", "volume <= 0"),
+        _count("valid_ohlc", "stg", BAD_OHLC),
+        _count("reasonable_daily_return", "returns", "abs(daily_return_pct) > 75"),
+        _count("reasonable_volatility", "signals", ODD_VOLATILITY),
+        _count("no_large_date_gaps", "gaps", "gap_days > 7"),
+        _count("sufficient_history", f"({SHORT_HISTORY.replace('INPUT', 'stg')})"),
+        _count(
+            "fct_tickers_in_dim_company",
+            "(SELECT DISTINCT ticker FROM fact)",
+            "ticker NOT IN (SELECT ticker FROM companies)",
+        ),
+        _count(
+            "fct_dates_in_dim_date",
+            "(SELECT DISTINCT trading_date FROM fact)",
+            "trading_date NOT IN (SELECT calendar_date FROM calendar)",
+        ),
+    ]
+)
+
+
 def _expand(sql: str) -> str:
     """Fill in the templates."""
     return re.sub(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tapeline.operators import macro, performance, quality, reports, signals, staging
 from tapeline.plans import daily_run, marts
+from tapeline.plans.data_tests import data_tests as run_data_tests
 from tapeline.sources import driver_tables as raw
 from tapeline.sources import shaping, writers
 from tapeline.sources.schemas import PRICES, SEED
@@ -473,3 +474,26 @@ def quality_report(m: Market) -> DataFrame:
     return daily_run.checks(
         m.dirty_prices(), m.dirty_stg(), kept, calendar, MIN_ROWS
     )
+
+
+@query
+def data_tests(m: Market) -> DataFrame:
+    """All declared tests over the clean tables."""
+    stg, signs, about = m.stg(), m.signals(), m.companies()
+    tables = {
+        "raw_stock_prices": m.raw_prices(),
+        "raw_company_info": raw.raw_companies(m.spark, m.dir),
+        "raw_economic_indicators": m.raw_indicators(),
+        "stg_stock_prices": stg,
+        "stg_company_info": about,
+        "stg_economic_indicators": m.indicators(),
+        "int_daily_returns": signs.select(signals.RETURNS),
+        "int_moving_averages": signs.select(signals.AVERAGES),
+        "int_macro_context": m.macro(),
+        "int_volatility": signs.select(signals.VOLATILITY),
+        "fct_daily_trading": m.fact(),
+        "dim_company": m.dim_company(),
+        "dim_date": marts.dim_date(stg, *CALENDAR, as_of=AS_OF),
+        "sp500_companies": m.seed(),
+    }
+    return run_data_tests(tables, MIN_ROWS)

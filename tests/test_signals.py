@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from frames import bars, by, column, companies, day, observations
-from tapeline.operators import macro, performance, series, signals, staging
+from tapeline.operators import macro, performance, quality, series, signals, staging
 from tapeline.operators.staging import stg_stock_prices
 from tapeline.plans import marts
 from tapeline.sources.shaping import concat_by_name
@@ -112,8 +112,9 @@ def random_bars(spark):
 def test_cut_series_give_the_same_signals(spark, monkeypatch):
     stg = random_bars(spark)
     whole = signals.daily_signals(stg)
+    cut_at = series.cut_long_series
     monkeypatch.setattr(
-        signals, "cut_long_series", lambda df: series.cut_long_series(df, rows=300)
+        series, "cut_long_series", lambda df, reach: cut_at(df, reach, rows=300)
     )
     cut = signals.daily_signals(stg, cut=True)
     assert sorted(cut.columns) == sorted(whole.columns)
@@ -140,6 +141,17 @@ def test_cut_copes_with_uneven_days(spark):
         assert leads >= min(252, before)
 
 
+def test_cut_gaps_are_the_same(spark, monkeypatch):
+    stg = random_bars(spark).filter("dayofmonth(trading_date) % 5 <> 0")
+    whole = by(quality.no_large_date_gaps(stg, days=1), "price_id")
+    cut_at = series.cut_long_series
+    monkeypatch.setattr(
+        series, "cut_long_series", lambda df, reach: cut_at(df, reach, rows=100)
+    )
+    assert by(quality.no_large_date_gaps(stg, days=1, cut=True), "price_id") == whole
+    assert len(whole) > 100
+
+
 def test_cut_drawdown_gives_the_same(spark):
     stg = random_bars(spark)
     key = ("ticker", "trading_date")

@@ -10,6 +10,7 @@ from frames import bars, by, companies, observations
 from tapeline.operators import quality
 from tapeline.operators.staging import enrich_from_seed, stg_company_info
 from tapeline.plans.daily_run import build_marts
+from tapeline.plans.data_tests import NOT_NULL, UNIQUE, data_tests
 from tapeline.sources import readers, schemas, shaping, writers
 from tapeline.streaming.ingest import ingest_new_files
 
@@ -223,3 +224,14 @@ def test_new_files_are_merged_once(spark, tmp_path):
     stale = bars(spark, [7.0], "AAA").withColumn("extracted_at", F.lit("2023-12-01"))
     land(stale, "d")
     assert run()[("AAA", dt.datetime(2024, 1, 1))]["close"] == 9.0
+
+
+def test_declared_tests_are_all_there(spark, raw_dir):
+    assert sum(map(len, NOT_NULL.values())) == 35
+    assert sum(map(len, UNIQUE.values())) == 12
+    marts = build_marts(spark, raw_dir, dt.date(2024, 1, 1), dt.date(2024, 2, 1))
+    stg = {"stg_company_info": spark.table("stg_company_info")}
+    rows = by(data_tests(marts | stg), "check_name")
+    assert len(rows) == 7 + 4 + 1 + 1 + 2
+    assert rows[("fct_tickers_in_dim_company",)]["violations"] == 1
+    assert all(r["passed"] for k, r in rows.items() if "tickers_in" not in k[0])
