@@ -14,26 +14,27 @@ from tapeline.operators.series import per_series
 
 
 def breaks_ohlc() -> Column:
-    o, h, l, c = (F.col(f"{n}_price") for n in ("open", "high", "low", "close"))
-    not_positive = F.least(o, h, l, c) <= 0
-    return not_positive | (h < F.greatest(o, c, l)) | (l > F.least(o, c))
+    return F.expr(
+        "least(open_price, high_price, low_price, close_price) <= 0"
+        " OR high_price < greatest(open_price, close_price, low_price)"
+        " OR low_price > least(open_price, close_price)"
+    )
 
 
 def no_volume() -> Column:
-    return F.col("volume") <= 0
+    return F.expr("volume <= 0")
 
 
 def large_return(limit: float = 75) -> Column:
-    return F.abs("daily_return_pct") > limit
+    return F.expr(f"abs(daily_return_pct) > {limit}")
 
 
 def odd_volatility(low: float = 0.1, high: float = 500) -> Column:
-    v = F.col("volatility_20d_annualized")
-    return (v < low) | (v > high)
+    return F.expr(f"NOT volatility_20d_annualized BETWEEN {low}D AND {high}D")
 
 
 def large_gap(days: int = 7) -> Column:
-    return F.col("gap_days") > days
+    return F.expr(f"gap_days > {days}")
 
 
 # Checks by row ---------------------------------------------------------------
@@ -207,14 +208,10 @@ def check_schema(df: DataFrame, declared: StructType) -> DataFrame:
 
 def count_breaks(df: DataFrame, counts: dict[str, Column]) -> DataFrame:
     """Many counts over one frame in one pass, one line per check."""
-    lines = [
-        F.struct(
-            F.lit(name).alias("check_name"),
-            count.cast("bigint").alias("violations"),
-        )
-        for name, count in counts.items()
-    ]
-    return df.agg(F.array(*lines).alias("lines")).selectExpr("inline(lines)")
+    lines = ", ".join(f"'{name}', bigint(`{name}`)" for name in counts)
+    return df.agg(*[count.alias(name) for name, count in counts.items()]).selectExpr(
+        f"stack({len(counts)}, {lines}) AS (check_name, violations)"
+    )
 
 
 def count_rules(rules: dict[str, Column]) -> dict[str, Column]:
@@ -228,7 +225,7 @@ def count_violations(name: str, violations: DataFrame) -> DataFrame:
 
 
 def nulls(*columns: str) -> dict[str, Column]:
-    return {f"not_null_{c}": F.col(c).isNull() for c in columns}
+    return {f"not_null_{c}": F.expr(f"{c} IS NULL") for c in columns}
 
 
 def quality_report(counts: list[DataFrame]) -> DataFrame:

@@ -87,7 +87,7 @@ def _with_returns(stg: DataFrame, series: str) -> DataFrame:
 
 
 def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.withColumns({name: F.expr(sql) for name, sql in columns.items()})
+    return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
 #: Running totals of values that count as 0 where they are missing.

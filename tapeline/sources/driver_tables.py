@@ -6,7 +6,7 @@ quantity.  Orders give the macro series.  ``FIXTURES.md`` holds the mapping.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EXTRACTED_AT = "2001-11-05T00:00:00"
@@ -117,76 +117,64 @@ def companies_without(spark: SparkSession, sf_dir: str, nationkey: int) -> DataF
     )
 
 
+# Series, its name, frequency, period, the trade of the period that
+# counts, and how its total becomes a value.
+INDICATORS = [
+    ("FEDFUNDS", "Federal funds rate", "monthly", "MONTH", "first", "v / 80000"),
+    ("CPIAUCSL", "Consumer prices", "monthly", "MONTH", "last", "v / 1000"),
+    ("UNRATE", "Unemployment rate", "monthly", "MONTH", "first_low", "v / 50000"),
+    ("DGS10", "10-year yield", "daily", "DAY", "first", "v / 80000"),
+    ("A191RL1Q225SBEA", "GDP growth", "quarterly", "QUARTER", "last", "v / 80000 - 3"),
+    ("T10YIE", "10-year breakeven", "daily", "DAY", "last", "v / 160000"),
+]
+
+
 def raw_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six series from one aggregation of orders per day.
+    """Six series from one pass over the orders.
 
-    The days of all series come out of the same partial aggregate; months and
-    quarters are then built from the days, not from the orders again."""
-    day = F.col("o_orderdate").cast("date")
-    total, key = F.col("o_totalprice"), F.col("o_orderkey")
-    low = F.col("o_orderpriority") == "5-LOW"
+    Orders collapse map-side to one row per day; months and quarters are then
+    built from the days, not from the orders again."""
     days = (
         table(spark, sf_dir, "orders")
-        .groupBy(day.alias("d"))
+        .groupBy(F.expr("CAST(o_orderdate AS DATE) AS day"))
         .agg(
-            F.min_by(total, key).alias("first_total"),
-            F.min(key).alias("first_key"),
-            F.max_by(total, key).alias("last_total"),
-            F.max(key).alias("last_key"),
-            F.min_by(F.when(low, total), F.when(low, key)).alias("low_total"),
-            F.min(F.when(low, key)).alias("low_key"),
+            F.expr("min_by(o_totalprice, o_orderkey) AS first"),
+            F.expr("min(o_orderkey) AS first_key"),
+            F.expr("max_by(o_totalprice, o_orderkey) AS last"),
+            F.expr("-max(o_orderkey) AS last_key"),
+            F.expr(f"min_by(o_totalprice, o_orderkey) FILTER ({LOW}) AS first_low"),
+            F.expr(f"min(o_orderkey) FILTER ({LOW}) AS first_low_key"),
         )
     )
-    month, quarter = F.trunc("d", "MM"), F.trunc("d", "QUARTER")
-    first = F.struct(F.col("first_key").alias("k"), F.col("first_total").alias("v"))
-    last = F.struct((-F.col("last_key")).alias("k"), F.col("last_total").alias("v"))
-    cheap = F.struct(F.col("low_key").alias("k"), F.col("low_total").alias("v"))
-    obs = days.select(
-        F.explode(
-            F.array(
-                _observation("FEDFUNDS", "Federal funds rate", month, first),
-                _observation("CPIAUCSL", "Consumer prices", month, last),
-                _observation("UNRATE", "Unemployment rate", month, cheap),
-                _observation("DGS10", "10-year yield", F.col("d"), first),
-                _observation("A191RL1Q225SBEA", "GDP growth", quarter, last),
-                _observation("T10YIE", "10-year breakeven", F.col("d"), last),
-            )
-        ).alias("o")
-    ).select("o.*")
-    value = F.min_by("o.v", "o.k")
-    picked = (
-        obs.filter(F.col("o.k").isNotNull())
-        .groupBy("series_id", "series_name", "observation_date")
-        .agg(value.alias("v"))
-    )
-    v = F.col("v")
-    scaled = (
-        F.when(F.col("series_id") == "FEDFUNDS", v / 80000)
-        .when(F.col("series_id") == "CPIAUCSL", v / 1000)
-        .when(F.col("series_id") == "UNRATE", v / 50000)
-        .when(F.col("series_id") == "DGS10", v / 80000)
-        .when(F.col("series_id") == "A191RL1Q225SBEA", v / 80000 - 3)
-        .otherwise(v / 160000)
+    lines = ", ".join(
+        f"'{series}', {'day' if period == 'DAY' else f'trunc(day, {period!r})'},"
+        f" {pick}_key, {pick}"
+        for series, _, _, period, pick, _ in INDICATORS
     )
-    frequency = (
-        F.when(F.col("series_id").isin("DGS10", "T10YIE"), "daily")
-        .when(F.col("series_id") == "A191RL1Q225SBEA", "quarterly")
-        .otherwise("monthly")
+    value, name, frequency = (
+        "CASE series_id "
+        + " ".join(f"WHEN '{row[0]}' THEN {show(row)}" for row in INDICATORS)
+        + " END"
+        for show in (
+            lambda row: row[5], lambda row: f"'{row[1]}'", lambda row: f"'{row[2]}'"
+        )
     )
-    return picked.select(
-        "observation_date",
-        scaled.alias("value"),
-        "series_id",
-        "series_name",
-        frequency.alias("frequency"),
-        F.lit(EXTRACTED_AT).alias("extracted_at"),
+    return (
+        days.selectExpr(
+            f"stack({len(INDICATORS)}, {lines}) AS (series_id, observation_date, k, v)"
+        )
+        .filter("k IS NOT NULL")
+        .groupBy("series_id", "observation_date")
+        .agg(F.expr("min_by(v, k) AS v"))
+        .selectExpr(
+            "observation_date",
+            f"{value} AS value",
+            "series_id",
+            f"{name} AS series_name",
+            f"{frequency} AS frequency",
+            f"'{EXTRACTED_AT}' AS extracted_at",
+        )
     )
 
 
-def _observation(series: str, name: str, date: Column, pick: Column) -> Column:
-    return F.struct(
-        F.lit(series).alias("series_id"),
-        F.lit(name).alias("series_name"),
-        date.alias("observation_date"),
-        pick.alias("o"),
-    )
+LOW = "WHERE o_orderpriority = '5-LOW'"
