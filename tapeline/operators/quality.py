@@ -66,7 +66,7 @@ def reasonable_volatility(
     )
 
 
-def with_gap_days(stg: DataFrame, cut: bool = False) -> DataFrame:
+def with_gap_days(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """Date of the bar before and the days since; NULL on the first of a ticker."""
 
     def gaps(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,7 +75,7 @@ def with_gap_days(stg: DataFrame, cut: bool = False) -> DataFrame:
             "prev_trading_date", F.expr(f"lag(trading_date) OVER ({before})")
         ).withColumn("gap_days", F.datediff("trading_date", "prev_trading_date"))
 
-    return per_series(stg, gaps, cut, reach=1)
+    return per_series(stg, gaps, slice_rows, reach=1)
 
 
 def with_neighbours(stg: DataFrame) -> DataFrame:
@@ -89,9 +89,11 @@ def with_neighbours(stg: DataFrame) -> DataFrame:
     )
 
 
-def no_large_date_gaps(stg: DataFrame, days: int = 7, cut: bool = False) -> DataFrame:
+def no_large_date_gaps(
+    stg: DataFrame, days: int = 7, slice_rows: int | None = None
+) -> DataFrame:
     return (
-        with_gap_days(stg.select("price_id", "ticker", "trading_date"), cut)
+        with_gap_days(stg.select("price_id", "ticker", "trading_date"), slice_rows)
         .filter(large_gap(days))
         .select("price_id", "ticker", "trading_date", "prev_trading_date", "gap_days")
     )

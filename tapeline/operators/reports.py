@@ -42,6 +42,12 @@ def tickers(fact: DataFrame) -> DataFrame:
     return fact.select("ticker").distinct().orderBy("ticker")
 
 
+def _ordered(df: DataFrame, ordered: bool, *order) -> DataFrame:
+    """The report order; off where the rows only feed another step, as a sort is
+    a shuffle of its own."""
+    return df.orderBy(*order) if ordered else df
+
+
 def _first_last(price: str = "close_price") -> tuple[Column, Column]:
     return F.min_by(price, "trading_date"), F.max_by(price, "trading_date")
 
@@ -49,10 +55,12 @@ def _first_last(price: str = "close_price") -> tuple[Column, Column]:
 # Dashboard sources -----------------------------------------------------------
 
 
-def latest_snapshot(fact: DataFrame, companies: DataFrame) -> DataFrame:
+def latest_snapshot(
+    fact: DataFrame, companies: DataFrame, ordered: bool = True
+) -> DataFrame:
     """State of every ticker on the latest date, with its company attributes."""
     about = companies.select("ticker", "industry", "market_cap_category", "exchange")
-    return (
+    rows = (
         on_latest_date(fact)
         .drop("industry")
         .join(about, "ticker")
@@ -65,8 +73,8 @@ def latest_snapshot(fact: DataFrame, companies: DataFrame) -> DataFrame:
             rnd(F.col("volatility_20d_annualized") / 100, 4).alias("volatility_20d_pct"),
             F.col("trading_date").alias("as_of_date"),
         )
-        .orderBy("company_name")
     )
+    return _ordered(rows, ordered, "company_name")
 
 
 def price_history(fact: DataFrame, ticker: str | None = None) -> DataFrame:
@@ -88,9 +96,7 @@ def macro_indicators(fact: DataFrame, ticker: str | Column) -> DataFrame:
 
 
 def macro_vs_stocks(fact: DataFrame, ordered: bool = True) -> DataFrame:
-    """Daily returns beside rates, with the rate regime of the day.
-
-    Leave the order off where the rows only feed an aggregate."""
+    """Daily returns beside rates, with the rate regime of the day."""
     percent = [
         "daily_return_pct", "fed_funds_rate", "treasury_yield_10y",
         "unemployment_rate", "breakeven_inflation_10y", "real_yield_10y",
@@ -100,14 +106,13 @@ def macro_vs_stocks(fact: DataFrame, ordered: bool = True) -> DataFrame:
         "trading_date", "ticker", *percent,
         rate_regime(F.col("fed_funds_rate")).alias("rate_regime"),
     )
-    rows = as_fraction(rows, percent)
-    return rows.orderBy("trading_date", "ticker") if ordered else rows
+    return _ordered(as_fraction(rows, percent), ordered, "trading_date", "ticker")
 
 
-def performance_52w(fact: DataFrame) -> DataFrame:
+def performance_52w(fact: DataFrame, ordered: bool = True) -> DataFrame:
     """First to last close of the trailing year, with average risk and volume."""
     first, last = _first_last()
-    return (
+    rows = (
         in_trailing_year(fact)
         .groupBy("ticker", "company_name", "sector")
         .agg(
@@ -119,8 +124,8 @@ def performance_52w(fact: DataFrame) -> DataFrame:
             ),
             rnd(F.avg("volume"), 0).alias("avg_daily_volume"),
         )
-        .orderBy(F.desc("return_52w_pct"), "ticker")
     )
+    return _ordered(rows, ordered, F.desc("return_52w_pct"), "ticker")
 
 
 def monthly_returns(fact: DataFrame, ticker: str | None = None) -> DataFrame:
@@ -233,10 +238,10 @@ def stock_info(snapshot: DataFrame, ticker: str | Column) -> DataFrame:
 # Daily briefing --------------------------------------------------------------
 
 
-def daily_movers(fact: DataFrame) -> DataFrame:
+def daily_movers(fact: DataFrame, ordered: bool = True) -> DataFrame:
     """Tickers on the latest date, best return first."""
     above = ratio(F.col("close_price"), F.col("sma_200d")) - 1
-    return (
+    rows = (
         on_latest_date(fact)
         .filter(F.col("daily_return_pct").isNotNull())
         .select(
@@ -247,20 +252,20 @@ def daily_movers(fact: DataFrame) -> DataFrame:
             rnd(above, 3).alias("pct_vs_200sma"),
             rnd(F.col("price_position_52w") * 100, 1).alias("position_52w_pct"),
         )
-        .orderBy(F.desc("daily_return_pct"), "ticker")
     )
+    return _ordered(rows, ordered, F.desc("daily_return_pct"), "ticker")
 
 
-def briefing_52w(fact: DataFrame) -> DataFrame:
+def briefing_52w(fact: DataFrame, ordered: bool = True) -> DataFrame:
     """Trailing-year return per ticker in percent."""
     first, last = _first_last()
     change = (ratio(last, first) - 1) * 100
-    return (
+    rows = (
         in_trailing_year(fact)
         .groupBy("ticker", "company_name")
         .agg(rnd(change, 1).alias("return_52w_pct"))
-        .orderBy(F.desc("return_52w_pct"), "ticker")
     )
+    return _ordered(rows, ordered, F.desc("return_52w_pct"), "ticker")
 
 
 def latest_per_ticker(fact: DataFrame) -> DataFrame:

@@ -26,9 +26,7 @@ def long_series(df: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
     return df.groupBy("ticker").agg(F.count("*").alias("n")).filter(F.col("n") > rows)
 
 
-def cut_long_series(
-    df: DataFrame, reach: int = REACH, rows: int = SLICE_ROWS
-) -> DataFrame:
+def cut_long_series(df: DataFrame, reach: int, rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``slice_no`` and ``is_lead``; lead rows only feed frames and are
     dropped after the windows ran.  Short series stay whole, in slice 0."""
     if reach >= rows:
@@ -75,14 +73,15 @@ def cut_long_series(
 def per_series(
     df: DataFrame,
     compute: Callable[[DataFrame, list[str]], DataFrame],
-    cut: bool,
+    slice_rows: int | None,
     reach: int = REACH,
 ) -> DataFrame:
-    """Run window columns per ticker or, with ``cut``, per slice of a ticker.
+    """Run window columns per ticker or, with ``slice_rows``, per slice of one.
 
     ``compute`` gets the rows and the columns to partition its windows by.
     """
-    if not cut:
+    if slice_rows is None:
         return compute(df, ["ticker"])
-    rows = compute(cut_long_series(df, reach), ["ticker", "slice_no"])
+    slices = cut_long_series(df, reach, slice_rows)
+    rows = compute(slices, ["ticker", "slice_no"])
     return rows.filter(~F.col("is_lead")).drop("slice_no", "is_lead")

@@ -38,19 +38,20 @@ VOLATILITY = [
 SIGNALS = list(dict.fromkeys(RETURNS + AVERAGES + VOLATILITY))
 
 
-def daily_signals(stg: DataFrame, cut: bool = False) -> DataFrame:
+def daily_signals(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """Every per-ticker column of the fact table, one row per staged bar.
 
     Frames count rows, not days, and start with the first row of a ticker.
     Columns a query does not read are pruned with their window expressions.
-    Set ``cut`` for input that is not known to be one row per ticker and day.
+    Give ``slice_rows`` for input not known to be one row per ticker and day:
+    longer series are then cut into slices of that many rows.
     """
-    return with_signals(stg, cut).select(SIGNALS)
+    return with_signals(stg, slice_rows).select(SIGNALS)
 
 
-def with_signals(stg: DataFrame, cut: bool = False) -> DataFrame:
+def with_signals(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """The staged bars with the signals beside their own columns."""
-    return per_series(stg, _signals, cut).drop(*_HELPERS)
+    return per_series(stg, _signals, slice_rows).drop(*_HELPERS)
 
 
 def _signals(stg: DataFrame, keys: list[str]) -> DataFrame:
@@ -211,13 +212,13 @@ def ranged_by_ticker(stg: DataFrame) -> DataFrame:
     return stg.repartitionByRange("ticker")
 
 
-def int_daily_returns(stg: DataFrame, cut: bool = False) -> DataFrame:
-    return daily_signals(stg, cut).select(RETURNS)
+def int_daily_returns(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
+    return daily_signals(stg, slice_rows).select(RETURNS)
 
 
-def int_moving_averages(stg: DataFrame, cut: bool = False) -> DataFrame:
-    return daily_signals(stg, cut).select(AVERAGES)
+def int_moving_averages(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
+    return daily_signals(stg, slice_rows).select(AVERAGES)
 
 
-def int_volatility(stg: DataFrame, cut: bool = False) -> DataFrame:
-    return daily_signals(stg, cut).select(VOLATILITY)
+def int_volatility(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
+    return daily_signals(stg, slice_rows).select(VOLATILITY)

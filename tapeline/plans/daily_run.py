@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.operators import quality
-from tapeline.operators.series import long_series
+from tapeline.operators.series import SLICE_ROWS, long_series
 from tapeline.operators.signals import with_signals
 from tapeline.operators.staging import (
     stg_company_info,
@@ -32,9 +32,13 @@ def build_marts(
     start: dt.date = CALENDAR_START,
     end: dt.date = CALENDAR_END,
     as_of: dt.date | None = None,
+    fact_partition: str | None = None,
 ) -> dict[str, DataFrame]:
     """Build the star schema from raw files and return the mart tables.
 
+    ``fact_partition="trading_date"`` stores the fact by day, so that reports on
+    the latest date or year read only those days.
+
     The raw files are not known to hold one bar per ticker and day, so the
     length of the longest series is checked, by a scan of the ticker column,
     before the windows are planned.
@@ -53,14 +57,15 @@ def build_marts(
     for name, df in stg.items():
         materialize(df, name, "staging")
     bars, about, macro = stg.values()
-    cut = not long_series(bars).isEmpty()
+    slice_rows = None if long_series(bars).isEmpty() else SLICE_ROWS
     marts = {
-        "fct_daily_trading": fct_daily_trading(bars, about, macro, cut),
+        "fct_daily_trading": fct_daily_trading(bars, about, macro, slice_rows),
         "dim_company": dim_company(about),
         "dim_date": dim_date(bars, start, end, as_of),
     }
     for name, df in marts.items():
-        materialize(df, name, "marts")
+        by = fact_partition if name == "fct_daily_trading" else None
+        materialize(df, name, "marts", by)
     return {name: spark.table(name) for name in marts}
 
 

@@ -33,11 +33,11 @@ def fct_daily_trading(
     stg_prices: DataFrame,
     companies: DataFrame,
     indicators: DataFrame,
-    cut: bool = False,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """One row per ticker and trading day."""
     return assemble_fact(
-        daily_signals(stg_prices, cut),
+        daily_signals(stg_prices, slice_rows),
         companies,
         int_macro_context(stg_prices, indicators),
     )

@@ -393,6 +393,13 @@ FINAL: dict[str, str] = {
         SELECT price_id, ticker, trading_date, close_price, daily_return_pct,
                log_return_pct, volatility_20d_annualized, volatility_60d_annualized,
                avg_intraday_range_pct_20d FROM signals""",
+    "sliced_signals": """
+        SELECT price_id, ticker, trading_date, close_price, open_price, volume,
+               prev_close_price, daily_return_pct, log_return_pct, overnight_gap_pct,
+               sma_7d, sma_30d, sma_90d, sma_200d, avg_volume_20d, avg_volume_90d,
+               relative_volume_20d, high_52w, low_52w, price_position_52w,
+               volatility_20d_annualized, volatility_60d_annualized,
+               avg_intraday_range_pct_20d FROM signals""",
     "pivot_indicators": "SELECT * FROM wide",
     "int_macro_context": "SELECT * FROM macro",
     "asof_macro_context": f"""
@@ -513,6 +520,7 @@ FINAL: dict[str, str] = {
                      stddev_samp(log_return_pct) * sqrt(252) AS v
               FROM fact GROUP BY ticker)""",
     "drawdown_series": "SELECT * FROM falls",
+    "sliced_drawdown": "SELECT * FROM falls",
     "max_drawdown_by_ticker": """
         SELECT ticker, min(drawdown) AS max_drawdown FROM falls GROUP BY ticker""",
     "concat_by_name": f"""

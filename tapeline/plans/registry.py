@@ -25,6 +25,7 @@ AS_OF = dt.date(2001, 11, 4)
 NOW = dt.datetime(2001, 11, 6, 12, 0, 0)
 TICKER = "Supplier#000000001"
 MIN_ROWS = 500
+SLICE_ROWS = 300
 ORPHAN_NATION = 3
 HISTORY = (dt.date(1998, 1, 1), dt.date(2000, 1, 1))
 
@@ -87,8 +88,13 @@ class Market:
     def dim_company(self) -> DataFrame:
         return marts.dim_company(self.companies())
 
-    def snapshot(self) -> DataFrame:
-        return reports.latest_snapshot(self.with_companies(), self.dim_company())
+    def snapshot(self, ordered: bool = False) -> DataFrame:
+        return reports.latest_snapshot(
+            self.with_companies(), self.dim_company(), ordered
+        )
+
+    def performance(self) -> DataFrame:
+        return reports.performance_52w(self.with_companies(), ordered=False)
 
     def seed(self) -> DataFrame:
         """Reference list: every company, with its region and nation."""
@@ -142,6 +148,12 @@ def int_volatility(m: Market) -> DataFrame:
     return signals.int_volatility(m.stg())
 
 
+@query
+def sliced_signals(m: Market) -> DataFrame:
+    """Every ticker cut into slices, as a ticker with most of the rows would be."""
+    return signals.daily_signals(m.stg(), SLICE_ROWS)
+
+
 @query
 def pivot_indicators(m: Market) -> DataFrame:
     return macro.pivot_indicators(m.indicators())
@@ -202,7 +214,7 @@ def tickers(m: Market) -> DataFrame:
 
 @query
 def latest_snapshot(m: Market) -> DataFrame:
-    return m.snapshot()
+    return m.snapshot(ordered=True)
 
 
 @query
@@ -251,12 +263,12 @@ def performance_52w(m: Market) -> DataFrame:
 
 @query
 def best_performer(m: Market) -> DataFrame:
-    return reports.best_performer(reports.performance_52w(m.with_companies()))
+    return reports.best_performer(m.performance())
 
 
 @query
 def worst_performer(m: Market) -> DataFrame:
-    return reports.worst_performer(reports.performance_52w(m.with_companies()))
+    return reports.worst_performer(m.performance())
 
 
 @query
@@ -311,8 +323,11 @@ def briefing_sectors(m: Market) -> DataFrame:
 
 @query
 def market_facts(m: Market) -> DataFrame:
-    year = reports.briefing_52w(marts.with_companies(m.stg(), m.companies()))
-    return reports.market_facts(reports.daily_movers(m.with_companies()), year)
+    bars = marts.with_companies(m.stg(), m.companies())
+    return reports.market_facts(
+        reports.daily_movers(m.with_companies(), ordered=False),
+        reports.briefing_52w(bars, ordered=False),
+    )
 
 
 # Long-run figures ------------------------------------------------------------
@@ -333,6 +348,11 @@ def drawdown_series(m: Market) -> DataFrame:
     return performance.drawdown_series(m.stg())
 
 
+@query
+def sliced_drawdown(m: Market) -> DataFrame:
+    return performance.drawdown_series(m.stg(), cut=True)
+
+
 @query
 def max_drawdown_by_ticker(m: Market) -> DataFrame:
     return performance.max_drawdown_by_ticker(performance.drawdown_series(m.stg()))

@@ -8,15 +8,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Full replacement: running it twice leaves the same table."""
-    df.write.mode("overwrite").saveAsTable(name)
+def replace_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
+    """Full replacement: running it twice leaves the same table.
 
+    With ``partition_by`` rows are gathered by that column first, a large value
+    split over several tasks, so that a folder gets few files.
+    """
+    if partition_by is None:
+        df.write.mode("overwrite").saveAsTable(name)
+        return
+    rows = df.hint("rebalance", partition_by)
+    rows.write.mode("overwrite").partitionBy(partition_by).saveAsTable(name)
 
-def materialize(df: DataFrame, name: str, layer: str) -> None:
+
+def materialize(
+    df: DataFrame, name: str, layer: str, partition_by: str | None = None
+) -> None:
     """Marts become tables, staging and intermediate results views."""
     if layer == "marts":
-        replace_table(df, name)
+        replace_table(df, name, partition_by)
     elif layer in ("staging", "intermediate"):
         df.createOrReplaceTempView(name)
     else:

@@ -109,14 +109,10 @@ def random_bars(spark):
     return stg_stock_prices(concat_by_name(frames))
 
 
-def test_cut_series_give_the_same_signals(spark, monkeypatch):
+def test_cut_series_give_the_same_signals(spark):
     stg = random_bars(spark)
     whole = signals.daily_signals(stg)
-    cut_at = series.cut_long_series
-    monkeypatch.setattr(
-        series, "cut_long_series", lambda df, reach: cut_at(df, reach, rows=300)
-    )
-    cut = signals.daily_signals(stg, cut=True)
+    cut = signals.daily_signals(stg, slice_rows=300)
     assert sorted(cut.columns) == sorted(whole.columns)
     assert by(cut, "price_id") == by(whole, "price_id")
     assert cut.count() == stg.count()
@@ -141,14 +137,11 @@ def test_cut_copes_with_uneven_days(spark):
         assert leads >= min(252, before)
 
 
-def test_cut_gaps_are_the_same(spark, monkeypatch):
+def test_cut_gaps_are_the_same(spark):
     stg = random_bars(spark).filter("dayofmonth(trading_date) % 5 <> 0")
     whole = by(quality.no_large_date_gaps(stg, days=1), "price_id")
-    cut_at = series.cut_long_series
-    monkeypatch.setattr(
-        series, "cut_long_series", lambda df, reach: cut_at(df, reach, rows=100)
-    )
-    assert by(quality.no_large_date_gaps(stg, days=1, cut=True), "price_id") == whole
+    cut = quality.no_large_date_gaps(stg, days=1, slice_rows=100)
+    assert by(cut, "price_id") == whole
     assert len(whole) > 100
 
 

@@ -185,6 +185,12 @@ def test_full_run(spark, raw_dir):
     assert {n: df.count() for n, df in marts.items()} == {
         "fct_daily_trading": 5, "dim_company": 1, "dim_date": 31,
     }
+    marts = build_marts(
+        spark, raw_dir, dt.date(2024, 1, 1), dt.date(2024, 2, 1),
+        fact_partition="trading_date",
+    )
+    assert marts["fct_daily_trading"].count() == 5
+    assert marts["fct_daily_trading"].filter("trading_date = '2024-01-02'").count() == 2
     orphans = quality.tickers_in_dim(marts["fct_daily_trading"], marts["dim_company"])
     assert [r.ticker for r in orphans.collect()] == ["MSFT"]
 
