@@ -31,30 +31,27 @@ def cut_long_series(df: DataFrame, reach: int, rows: int = SLICE_ROWS) -> DataFr
     dropped after the windows ran.  Short series stay whole, in slice 0."""
     if reach >= rows:
         raise ValueError("a slice must be longer than the reach of the frames")
-    long = long_series(df, rows).select("ticker")
-    whole = df.join(long, "ticker", "left_anti").withColumns(
-        {"slice_no": F.lit(0).cast("bigint"), "is_lead": F.lit(False)}
-    )
-    hot = df.join(long, "ticker", "left_semi")
-
-    # One row per ticker and day from here on: bounded by the calendar.
-    before = Window.partitionBy("ticker").orderBy("trading_date").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    first = F.coalesce(F.sum("n").over(before), F.lit(0))
+    # One row per ticker and day: bounded by the calendar, so windows are small.
+    ticker = Window.partitionBy("ticker")
+    before = ticker.orderBy("trading_date").rowsBetween(Window.unboundedPreceding, -1)
     days = (
-        hot.groupBy("ticker", "trading_date")
+        df.groupBy("ticker", "trading_date")
         .agg(F.count("*").alias("n"))
-        .withColumn("first", first)
+        .withColumns(
+            {
+                "first": F.coalesce(F.sum("n").over(before), F.lit(0)),
+                "total": F.sum("n").over(ticker),
+            }
+        )
+        .filter(F.col("total") > rows)
     )
-    size = F.lit(rows)
+    # A later slice starts behind this day.  It needs the day if it starts less
+    # than ``reach`` rows behind it; with slices longer than the reach that is
+    # one slice, or two around a boundary.
     end = F.col("first") + F.col("n")
-    own = F.floor(F.col("first") / size)
-    # A later slice starts after this day; it needs the day if it starts less
-    # than ``reach`` rows behind it.  With slices longer than the reach that
-    # is one slice, or two around a boundary.
-    low = F.greatest(own + 1, F.floor(end / size))
-    high = F.floor((end + reach - 1) / size)
+    own = F.floor(F.col("first") / rows)
+    low = F.greatest(own + 1, F.floor(end / rows))
+    high = F.floor((end + reach - 1) / rows)
     leads = F.when(high >= low, F.sequence(low, high)).otherwise(
         F.array().cast("array<bigint>")
     )
@@ -62,12 +59,17 @@ def cut_long_series(df: DataFrame, reach: int, rows: int = SLICE_ROWS) -> DataFr
         "ticker", "trading_date", own.alias("own"),
         F.concat(F.array(own), leads).alias("places"),
     )
-    cut = (
-        hot.join(places, ["ticker", "trading_date"])
-        .withColumn("slice_no", F.explode("places"))
-        .withColumn("is_lead", F.col("slice_no") != F.col("own"))
+    # Only days of long series are in ``places``; Spark broadcasts it if it
+    # turns out small, and otherwise joins by ticker and day, which no long
+    # series can dominate.
+    return (
+        df.join(places, ["ticker", "trading_date"], "left")
+        .withColumn(
+            "slice_no", F.expr("explode(coalesce(places, array(bigint(0))))")
+        )
+        .withColumn("is_lead", F.expr("slice_no <> coalesce(own, 0)"))
+        .drop("own", "places")
     )
-    return whole.unionByName(cut.select(whole.columns))
 
 
 def per_series(
