@@ -149,22 +149,26 @@ def freshness(
     error: dt.timedelta = dt.timedelta(hours=49),
     now: Column | dt.datetime | None = None,
 ) -> DataFrame:
-    """Age of the newest load against two thresholds, in one row."""
+    """Age of the newest load against two thresholds, in one row.
+
+    Load times are wall-clock strings; ``now`` is taken as one too, so the age
+    does not depend on the session time zone.
+    """
     if now is None:
         now = F.current_timestamp()
-    at = (now if isinstance(now, Column) else F.lit(now)).cast("timestamp")
-    newest = F.max(F.col(loaded_at).cast("timestamp"))
-    age = F.unix_timestamp(at) - F.unix_timestamp("max_loaded_at")
+    elif isinstance(now, dt.datetime):
+        now = F.lit(now.isoformat())
+    rows = df.agg(
+        F.max(F.col(loaded_at).cast("timestamp_ntz")).alias("max_loaded_at")
+    ).withColumn("now", now.cast("timestamp_ntz"))
+    age = F.timestamp_diff("SECOND", F.col("max_loaded_at"), F.col("now"))
     status = (
-        F.when(F.col("max_loaded_at").isNull(), "error")
-        .when(age > int(error.total_seconds()), "error")
-        .when(age > int(warn.total_seconds()), "warn")
-        .otherwise("pass")
+        F.when(age <= int(warn.total_seconds()), "pass")
+        .when(age <= int(error.total_seconds()), "warn")
+        .otherwise("error")
     )
-    return df.agg(newest.alias("max_loaded_at")).select(
-        "max_loaded_at",
-        (age / 3600.0).alias("age_hours"),
-        status.alias("status"),
+    return rows.select(
+        "max_loaded_at", (age / 3600.0).alias("age_hours"), status.alias("status")
     )
 
 

@@ -164,7 +164,7 @@ def test_freshness(spark):
     df = bars(spark, [1.0])  # loaded 2024-01-05
     for hours, status in ((25, "pass"), (26, "warn"), (50, "error")):
         now = dt.datetime(2024, 1, 5) + dt.timedelta(hours=hours)
-        row = quality.freshness(df, now=F.lit(str(now))).first()
+        row = quality.freshness(df, now=now).first()
         assert (row.status, row.age_hours) == (status, hours)
     assert quality.freshness(df.limit(0)).first().status == "error"
 
