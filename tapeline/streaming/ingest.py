@@ -1,8 +1,16 @@
-"""Newly landed price files, each picked up once, merged into a dataset."""
+"""Newly landed price files, each picked up once, merged into a dataset.
+
+Two datasets lie under the target: ``landed`` keeps every batch as it came, and
+``current`` holds one row per ticker and date, the one loaded last.  ``current``
+is rebuilt from ``landed``, only for the months a batch touches.  A batch that
+runs again after a failure replaces its own part of ``landed`` and rebuilds the
+same months, so nothing is lost or doubled at whatever point it broke off.
+"""
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,35 +31,35 @@ def latest_load(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(newest).select(*KEY, "newest.*").select(FIELDS)
 
 
-def merge_prices(batch: DataFrame, target: str) -> None:
-    """Merge a batch into the dataset at ``target``, partitioned by month.
+def with_month(rows: DataFrame) -> DataFrame:
+    return rows.select(*FIELDS, F.date_format("date", "yyyy-MM").alias("month"))
 
-    Only months the batch touches are read and rewritten.  Merging a batch
-    again, after a lost executor or a restart, gives the same dataset.
-    """
+
+def merge_prices(batch: DataFrame, name: str, target: str) -> None:
+    """Keep a batch under its name and bring the months it touches up to date."""
     spark = batch.sparkSession
-    month = F.date_format("date", "yyyy-MM").alias("month")
-    fresh = batch.select(*FIELDS, month)
-    try:
-        old = spark.read.schema(WITH_MONTH).parquet(target)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        rows = fresh
-    else:
-        touched = fresh.select("month").distinct()
-        rows = old.join(touched, "month", "left_semi").unionByName(fresh)
+    mine = f"{target}/landed/batch={name}"
+    with_month(batch).write.mode("overwrite").partitionBy("month").parquet(mine)
+
+    landed = spark.read.schema(WITH_MONTH).parquet(f"{target}/landed")
+    # Twelve values a year; as literals they prune the folders that are read.
+    touched = spark.read.schema(WITH_MONTH).parquet(mine).select("month").distinct()
+    months = [row.month for row in touched.collect()]
+    rows = landed.filter(F.col("month").isin(months))
     (
-        latest_load(rows)
-        .withColumn("month", F.date_format("date", "yyyy-MM"))
+        with_month(latest_load(rows))
         .hint("rebalance", "month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
-        .parquet(target)
+        .parquet(f"{target}/current")
     )
 
 
+def read_ingested(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.schema(WITH_MONTH).parquet(f"{target}/current").select(FIELDS)
+
+
 def ingest_new_files(
     spark: SparkSession,
     source: str,
@@ -61,8 +69,13 @@ def ingest_new_files(
 ) -> StreamingQuery:
     """Process the files that landed in ``source`` since the last run, then stop.
 
-    The checkpoint remembers the files; keep it on shared storage.
+    The checkpoint remembers the files; keep it and the target on shared storage.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
+
+    def merge(batch: DataFrame, number: int) -> None:
+        merge_prices(batch, f"{stream}-{number}", target)
+
     landed = (
         spark.readStream.schema(PRICES)
         .option("maxFilesPerTrigger", files_per_batch)
@@ -70,7 +83,7 @@ def ingest_new_files(
         .parquet(source)
     )
     return (
-        landed.writeStream.foreachBatch(lambda batch, _: merge_prices(batch, target))
+        landed.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

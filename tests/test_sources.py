@@ -1,4 +1,5 @@
 import datetime as dt
+import shutil
 from pathlib import Path
 
 import pandas as pd
@@ -12,7 +13,7 @@ from tapeline.operators.staging import enrich_from_seed, stg_company_info
 from tapeline.plans.daily_run import build_marts
 from tapeline.plans.data_tests import NOT_NULL, UNIQUE, data_tests
 from tapeline.sources import readers, schemas, shaping, writers
-from tapeline.streaming.ingest import ingest_new_files
+from tapeline.streaming.ingest import ingest_new_files, merge_prices, read_ingested
 
 
 @pytest.fixture
@@ -212,7 +213,7 @@ def test_new_files_are_merged_once(spark, tmp_path):
     def run():
         query = ingest_new_files(spark, source, target, state)
         query.awaitTermination()
-        return by(spark.read.parquet(target), "ticker", "date")
+        return by(read_ingested(spark, target), "ticker", "date")
 
     land(bars(spark, [1.0, 2.0], "AAA"), "a")
     assert len(run()) == 2
@@ -241,3 +242,19 @@ def test_declared_tests_are_all_there(spark, raw_dir):
     assert len(rows) == 7 + 4 + 1 + 1 + 2
     assert rows[("fct_tickers_in_dim_company",)]["violations"] == 1
     assert all(r["passed"] for k, r in rows.items() if "tickers_in" not in k[0])
+
+
+def test_a_repeated_batch_changes_nothing(spark, tmp_path):
+    target = str(tmp_path / "out")
+    january = bars(spark, [1.0, 2.0], "AAA")
+    merge_prices(january, "a", target)
+    february = bars(spark, [3.0], "AAA", start=dt.date(2024, 2, 1))
+    for _ in range(2):
+        merge_prices(february, "b", target)
+    closes = sorted(r.close for r in read_ingested(spark, target).collect())
+    assert closes == [1.0, 2.0, 3.0]
+    # A month lost on the way comes back when its batch runs again.
+    shutil.rmtree(f"{target}/current/month=2024-02")
+    assert read_ingested(spark, target).count() == 2
+    merge_prices(february, "b", target)
+    assert read_ingested(spark, target).count() == 3
