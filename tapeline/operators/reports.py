@@ -27,10 +27,12 @@ def as_of_date(fact: DataFrame) -> DataFrame:
     return fact.agg(F.max("trading_date").alias("as_of_date"))
 
 
-def on_latest_date(fact: DataFrame) -> DataFrame:
+def on_latest_date(fact: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Rows of the last trading date of all tickers; a ticker that did not trade
-    on it is not in the result."""
-    return fact.filter(F.col("trading_date") == as_of_date(fact).scalar())
+    on it is not in the result.  Give ``dates`` to read that date off a frame
+    that is cheaper to compute than the fact."""
+    latest = as_of_date(fact if dates is None else dates)
+    return fact.filter(F.col("trading_date") == latest.scalar())
 
 
 def in_trailing_year(fact: DataFrame, days: int = 365) -> DataFrame:
@@ -56,12 +58,15 @@ def _first_last(price: str = "close_price") -> tuple[Column, Column]:
 
 
 def latest_snapshot(
-    fact: DataFrame, companies: DataFrame, ordered: bool = True
+    fact: DataFrame,
+    companies: DataFrame,
+    ordered: bool = True,
+    dates: DataFrame | None = None,
 ) -> DataFrame:
     """State of every ticker on the latest date, with its company attributes."""
     about = companies.select("ticker", "industry", "market_cap_category", "exchange")
     rows = (
-        on_latest_date(fact)
+        on_latest_date(fact, dates)
         .drop("industry")
         .join(about, "ticker")
         .select(
@@ -142,11 +147,11 @@ def monthly_returns(fact: DataFrame, ticker: str | None = None) -> DataFrame:
     )
 
 
-def sector_summary(fact: DataFrame) -> DataFrame:
+def sector_summary(fact: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     """Sectors on the latest date."""
     above = ratio(F.col("close_price"), F.col("sma_200d")) - 1
     return (
-        on_latest_date(fact)
+        on_latest_date(fact, dates)
         .groupBy("sector")
         .agg(
             F.countDistinct("ticker").alias("num_stocks"),
@@ -238,11 +243,13 @@ def stock_info(snapshot: DataFrame, ticker: str | Column) -> DataFrame:
 # Daily briefing --------------------------------------------------------------
 
 
-def daily_movers(fact: DataFrame, ordered: bool = True) -> DataFrame:
+def daily_movers(
+    fact: DataFrame, ordered: bool = True, dates: DataFrame | None = None
+) -> DataFrame:
     """Tickers on the latest date, best return first."""
     above = ratio(F.col("close_price"), F.col("sma_200d")) - 1
     rows = (
-        on_latest_date(fact)
+        on_latest_date(fact, dates)
         .filter(F.col("daily_return_pct").isNotNull())
         .select(
             "ticker", "company_name", "sector",
@@ -292,9 +299,9 @@ def briefing_macro(fact: DataFrame, ticker: str | Column) -> DataFrame:
     )
 
 
-def briefing_sectors(fact: DataFrame) -> DataFrame:
+def briefing_sectors(fact: DataFrame, dates: DataFrame | None = None) -> DataFrame:
     return (
-        on_latest_date(fact)
+        on_latest_date(fact, dates)
         .groupBy("sector")
         .agg(
             rnd(exact_avg(F.col("daily_return_pct")), 3).alias("avg_return"),

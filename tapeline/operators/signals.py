@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tapeline.functions.finance import TRADING_DAYS, log_return, pct_change
 from tapeline.functions.labels import surrogate_key
 from tapeline.functions.numbers import SCALE, ratio, rnd, rnd_sql, ticks
-from tapeline.operators.series import per_series
+from tapeline.operators.series import REACH, per_series
 
 RETURNS = [
     "price_id", "ticker", "trading_date", "close_price", "open_price", "volume",
@@ -49,6 +49,15 @@ def daily_signals(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
     return with_signals(stg, slice_rows).select(SIGNALS)
 
 
+def latest_signals(stg: DataFrame) -> DataFrame:
+    """The signals of the last bar of each ticker, from as many bars as they
+    reach back to.  Spark drops older bars before the exchange, so what moves
+    does not grow with the years of history."""
+    back = F.expr("row_number() OVER (PARTITION BY ticker ORDER BY trading_date DESC)")
+    tail = stg.withColumn("bars_back", back).filter(F.col("bars_back") <= REACH + 1)
+    return with_signals(tail).filter("bars_back = 1").select(SIGNALS)
+
+
 def with_signals(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """The staged bars with the signals beside their own columns."""
     return per_series(stg, _signals, slice_rows).drop(*_HELPERS)

@@ -88,9 +88,13 @@ class Market:
     def dim_company(self) -> DataFrame:
         return marts.dim_company(self.companies())
 
+    def latest(self) -> DataFrame:
+        """Last bar of each ticker: all that reports on the latest date read."""
+        return marts.with_companies(signals.latest_signals(self.stg()), self.companies())
+
     def snapshot(self, ordered: bool = False) -> DataFrame:
         return reports.latest_snapshot(
-            self.with_companies(), self.dim_company(), ordered
+            self.latest(), self.dim_company(), ordered, self.stg()
         )
 
     def performance(self) -> DataFrame:
@@ -283,7 +287,7 @@ def ticker_monthly(m: Market) -> DataFrame:
 
 @query
 def sector_summary(m: Market) -> DataFrame:
-    return reports.sector_summary(m.with_companies())
+    return reports.sector_summary(m.latest(), m.stg())
 
 
 @query
@@ -303,7 +307,7 @@ def stock_info(m: Market) -> DataFrame:
 
 @query
 def daily_movers(m: Market) -> DataFrame:
-    return reports.daily_movers(m.with_companies())
+    return reports.daily_movers(m.latest(), dates=m.stg())
 
 
 @query
@@ -318,14 +322,14 @@ def briefing_macro(m: Market) -> DataFrame:
 
 @query
 def briefing_sectors(m: Market) -> DataFrame:
-    return reports.briefing_sectors(m.with_companies())
+    return reports.briefing_sectors(m.latest(), m.stg())
 
 
 @query
 def market_facts(m: Market) -> DataFrame:
     bars = marts.with_companies(m.stg(), m.companies())
     return reports.market_facts(
-        reports.daily_movers(m.with_companies(), ordered=False),
+        reports.daily_movers(m.latest(), ordered=False, dates=m.stg()),
         reports.briefing_52w(bars, ordered=False),
     )
 
