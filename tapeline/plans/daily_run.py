@@ -94,7 +94,7 @@ def checks(
     known = companies.select("ticker").distinct().withColumn("has_company", F.lit(True))
     calendar = dates.select(
         F.col("calendar_date").alias("trading_date"), F.lit(True).alias("has_date")
-    )
+    ).distinct()
     staged = (
         quality.with_neighbours(with_signals(stg))
         .join(known, "ticker", "left")
