@@ -7,7 +7,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from tapeline.plans.oracle import oracle_sql
+from tapeline.plans.registry import QUERIES
 
 ORACLE = oracle_sql()
 
@@ -32,12 +33,12 @@ def rows_of(columns, rows):
 
 
 def test_all_have_sql():
-    assert set(ORACLE) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(name, spark, sf_dir, duck):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     ours = rows_of(df.columns, df.collect())
     cursor = duck.execute(ORACLE[name])
     columns = [c[0] for c in cursor.description]
