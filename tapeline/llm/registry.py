@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import exact_dedup, mixing, sharding
+from tapeline.llm import decontamination, exact_dedup, mixing, sharding, warc
 from tapeline.llm.common import table
 
 SHARDS = 24
@@ -15,6 +15,16 @@ MIX_SHARES = {"src0": 6, "src1": 4, "src2": 4, "src3": 3}
 MIX_DEFAULT = 2
 
 
+def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontamination.leaks(docs, benchmark)
+
+
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     shards = sharding.byte_shards(table(spark, sf_dir, "documents"), SHARDS)
     return shards.select(
@@ -39,12 +49,25 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_spaced_seeds": op1_spaced_seeds,
+    "op2_warc": op2_warc,
     "op3_byte_shards": op3_byte_shards,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_mix": op10_mix,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_warc": """
+        SELECT page_id, strlen(t) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr(
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   ((('0x' || substr(sha1(t), (i // 4) * 5 + 1, 5))::BIGINT >> (15 - 5 * (i % 4)))
+                    % 32)::INT + 1, 1)), '') AS payload_digest,
+               CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> f THEN f END AS refers_to
+        FROM (SELECT page_id, t, min(page_id) OVER (PARTITION BY t) AS f
+              FROM (SELECT page_id, coalesce(html, '') AS t FROM pages))
+    """,
     "op8_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
