@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, exact_dedup, mixing, sharding, warc
+from tapeline.llm import decontamination, exact_dedup, jaccard, mixing, sharding, warc
 from tapeline.llm.common import table
 
 SHARDS = 24
@@ -38,6 +38,10 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_warc": op2_warc,
     "op3_byte_shards": op3_byte_shards,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_mix": op10_mix,
 }
