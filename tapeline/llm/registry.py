@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, exact_dedup, jaccard, mixing, sharding, warc
+from tapeline.llm import decontamination, exact_dedup, jaccard, language, mixing, sharding, toxicity, warc
 from tapeline.llm.common import table
 
 SHARDS = 24
@@ -42,10 +42,37 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
 
+def not_in_fold(parts: int, held: int) -> Column:
+    """Whether a document may be learnt from, by the CRC-32 of its id as text."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts != held
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = not_in_fold(3, 1)
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), learn)
+    return toxicity.scored(docs, model).select(
+        "doc_id",
+        F.coalesce(~learn, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "offending",
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = not_in_fold(4, 2)
+    filters = language.train(docs, learn)
+    return language.detected(docs.select("doc_id", "text"), filters).select(
+        "doc_id", F.coalesce(~learn, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     mix = mixing.mixed(docs, MIX_SHARES, MIX_DEFAULT)
@@ -57,7 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_byte_shards": op3_byte_shards,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_toxicity": op6_toxicity,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_language": op9_language,
     "op10_mix": op10_mix,
 }
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -60,14 +60,21 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         i = j
 
 
-def word_hashes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a piece, A-Z in lower case, and how many words
-    each row has."""
+def words_at(
+    data: np.ndarray,
+    edges: np.ndarray,
+    is_word: np.ndarray = IS_WORD,
+    prefixes: Sequence[int] = (),
+) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a piece, A-Z in lower case, and where they
+    start.  ``is_word`` tells which bytes words are made of; no word reaches from a
+    row into the next.  After the words come, for each length asked for, the first
+    so many bytes of the words that are longer."""
     n = len(data)
     if not n:
-        return np.zeros(0, np.uint64), np.zeros(len(edges) - 1, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     word = np.zeros(n + 2, bool)
-    word[1:-1] = IS_WORD[data]
+    word[1:-1] = is_word[data]
     first = np.zeros(n + 1, bool)
     first[edges] = True  # of a row
     starts = np.flatnonzero(word[1:-1] & (~word[:-2] | first[:-1]))
@@ -75,10 +82,40 @@ def word_hashes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
     up, down = Powers.to(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(BYTE[data] * up[:n], out=total[1:])
-    h = mixed((total[ends] - total[starts]) * down[starts])
+    hashes, places = [mixed((total[ends] - total[starts]) * down[starts])], [starts]
+    for length in prefixes:
+        long = starts[ends - starts > length]
+        start = (total[long + length] - total[long]) * down[long]
+        hashes.append(mixed(start ^ np.uint64(length)))
+        places.append(long)
+    return np.concatenate(hashes), np.concatenate(places)
+
+
+def word_hashes(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words between blanks, and how many words each row has."""
+    h, starts = words_at(data, edges)
     return h, np.diff(np.searchsorted(starts, edges))
 
 
+class Lookup:
+    """The place of hashes in a fixed sorted list; -1 for others.  A bit map over
+    the high bits spares most searches."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = hashes
+        self.bits = np.zeros(1 << 20, bool)
+        self.bits[(hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def __call__(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are in the list, and where."""
+        if not len(self.hashes):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        maybe = np.flatnonzero(self.bits[(hashes >> np.uint64(44)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.hashes, hashes[maybe]), len(self.hashes) - 1)
+        good = self.hashes[at] == hashes[maybe]
+        return maybe[good], at[good]
+
+
 def shingle_sets(words: np.ndarray, counts: np.ndarray) -> Iterator[np.ndarray]:
     """For each row the sorted distinct hashes of its shingles: five words in a row,
     or all words of a row that has fewer; none without words."""
