@@ -188,12 +188,14 @@ def prefixes(rows: DataFrame) -> DataFrame:
 
 
 def overlapping(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """The linked ones of distinct pairs (a, b), by the sum of their products."""
-    pairs = cut(pairs)
-    right = rows.select(F.col("key").alias("b"), F.col("n").alias("b_n"), F.col("grams").alias("b_grams"))
-    left = rows.select(F.col("key").alias("a"), F.col("n").alias("a_n"), F.col("grams").alias("a_grams"))
+    """The linked ones of distinct pairs (a_key, b_key, ...), by the sum of their
+    products."""
+    right, left = (
+        rows.select(*[F.col(c).alias(f"{s}_{c}") for c in ("key", "n", "grams")]) for s in "ba"
+    )
     overlap = F.size(F.array_intersect("a_grams", "b_grams"))
-    return pairs.join(right, "b").join(left, "a").filter(linked(overlap)).select("a", "b")
+    found = cut(pairs).join(right, "b_key").join(left, "a_key").filter(linked(overlap))
+    return found.select(*pairs.columns)
 
 
 def possible(a: str, b: str) -> Column:
@@ -211,60 +213,51 @@ def set_links(rows: DataFrame) -> DataFrame:
     left out.
 
     Some rounds look at one set per column (n-gram), its pivot, and link the others
-    to it.  What they join needs no further products.  After that all pairs of a
-    column that are still apart are looked at, so no link that matters is missed;
-    pairs of sets already joined, which are nearly all pairs of a large group, are
-    never made.
+    to it; the linked ones take its label.  Sets of one label need no further
+    products.  After that all pairs of a column that are still apart are looked at,
+    so no link that matters is missed; pairs of sets already joined, which are nearly
+    all pairs of a large group, are never made.
     """
-    entries = stored(prefixes(rows), "prefixes")
-    labels = None
+    entries = stored(prefixes(rows), "prefixes").withColumn("label", F.col("key"))
     links = None
     for turn in range(PIVOT_ROUNDS):
-        named = with_labels(entries, labels)
-        rank = F.struct(F.xxhash64("key", F.lit(turn)), "key", "n", "most", "label")
-        pivots = named.groupBy("gram").agg(F.min(rank).alias("p")).select(
+        rank = F.struct(F.xxhash64("label", F.lit(turn)), "label", "key", "n", "most")
+        pivots = entries.groupBy("gram").agg(F.min(rank).alias("p")).select(
             "gram", *[F.col(f"p.{c}").alias(f"b_{c}") for c in ("key", "n", "most", "label")]
         )
         apart = F.col("a_label") != F.col("b_label")
-        pairs = side(named, "a").join(pivots, "gram").filter(apart & possible("a", "b"))
-        new = cut(overlapping(distinct_pairs(pairs), rows))
+        pairs = side(entries, "a").join(pivots, "gram").filter(apart & possible("a", "b"))
+        columns = ["a_key", "a_label", "b_key", "b_label"]
+        new = cut(overlapping(pairs.select(*columns).distinct(), rows))
         if new.isEmpty():
             break
         links = new if links is None else links.unionByName(new)
-        labels = cut(smallest_reachable(links))
-    named = with_labels(entries, labels)
-    mixed = named.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = mixed.filter("low < high").select("gram")
-    named = cut(named.join(mixed, "gram", "left_semi"))
-    present = named.select("gram", "label").distinct()
+        # labels that a link joins, of which each goes over to one: a label is always
+        # the key of a set that links connect
+        moved = new.groupBy(F.col("a_label").alias("label")).agg(F.min("b_label").alias("to"))
+        entries = cut(
+            entries.join(moved, "label", "left").select(
+                "gram", "key", "n", "most", F.coalesce("to", "label").alias("label")
+            )
+        )
+    spread = entries.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    spread = spread.filter("low < high").select("gram")
+    entries = cut(entries.join(spread, "gram", "left_semi"))
+    present = entries.select("gram", "label").distinct()
     apart = present.select("gram", F.col("label").alias("a_label")).join(
         present.select("gram", F.col("label").alias("b_label")), "gram"
     ).filter("a_label < b_label")
     pairs = (
-        apart.join(side(named, "a"), ["gram", "a_label"])
-        .join(side(named, "b"), ["gram", "b_label"])
+        apart.join(side(entries, "a"), ["gram", "a_label"])
+        .join(side(entries, "b"), ["gram", "b_label"])
         .filter(possible("a", "b"))
     )
-    new = cut(overlapping(distinct_pairs(pairs), rows))
+    new = overlapping(pairs.select("a_key", "a_label", "b_key", "b_label").distinct(), rows)
     links = new if links is None else links.unionByName(new)
+    links = links.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
     return smallest_reachable(links).select(F.col("node").alias("key"), F.col("root").alias("label"))
 
 
-def with_labels(entries: DataFrame, labels: DataFrame | None) -> DataFrame:
-    """Entries with the label of their set, its own key where it has none yet."""
-    if labels is None:
-        return entries.withColumn("label", F.col("key"))
-    known = labels.select(F.col("node").alias("key"), "root")
-    named = entries.join(known, "key", "left")
-    return cut(named.select("gram", "key", "n", "most", F.coalesce("root", "key").alias("label")))
-
-
-def distinct_pairs(pairs: DataFrame) -> DataFrame:
-    return pairs.select(
-        F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")
-    ).distinct()
-
-
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id.
 

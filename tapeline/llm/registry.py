@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, exact_dedup, jaccard, language, mixing, sharding, toxicity, warc
+from tapeline.llm import decontamination, exact_dedup, jaccard, language, licenses, mixing, sharding, toxicity, warc
 from tapeline.llm.common import table
 
 SHARDS = 24
@@ -60,6 +60,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.notices(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_shards": op3_byte_shards,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
+    "op7_licenses": op7_licenses,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language": op9_language,
     "op10_mix": op10_mix,
