@@ -56,7 +56,7 @@ WORD = re.compile(r"[^\W_]+")
 DROP = 4  # a block grows until its score is so far below its best
 MARGIN = 3  # words around it that are looked at, too
 RANKED = 3  # templates that are looked at word by word, best first
-LEAST_SAVED = 0.25  # part of a block's own compressed size that a template must save
+LEAST_SAVED = 0.25  # part of its own or the block's compressed size that a template must save
 MOST_CHANGED = 0.25  # words missing or added, of the template's words
 
 HITS = (
@@ -67,12 +67,14 @@ HITS = (
 
 @lru_cache(maxsize=4)
 def prepared(templates: tuple) -> tuple:
-    """Of each template the compressor and the words, and all words together."""
+    """Of each template the compressor, the compressed size and the words; and all
+    words together."""
     out = []
     for name, text in templates:
         words = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        out.append((name, packer(words), [w.lower() for w in WORD.findall(text)]))
-    return out, frozenset(w for _, _, words in out for w in words)
+        size = len(packer().compress(text.lower().encode()))
+        out.append((name, packer(words), size, [w.lower() for w in WORD.findall(text)]))
+    return out, frozenset(w for *_, words in out for w in words)
 
 
 def packer(words: zstandard.ZstdCompressionDict | None = None) -> zstandard.ZstdCompressor:
@@ -149,15 +151,15 @@ def judged(block: str, templates: tuple) -> tuple:
     ready, _ = prepared(templates)
     raw = block.lower().encode("utf-8", "replace")
     alone = len(packer().compress(raw))
-    sizes = sorted((len(pack.compress(raw)), k) for k, (_, pack, _) in enumerate(ready))
+    sizes = sorted((len(pack.compress(raw)), k) for k, (_, pack, *_) in enumerate(ready))
     places = [(m.start(), m.end(), m[0].lower()) for m in WORD.finditer(block)]
     words = [w for _, _, w in places]
     best = None
     for size, k in sizes[:RANKED]:
-        saved = alone - size >= LEAST_SAVED * alone
+        name, _, own, wanted = ready[k]
+        saved = alone - size >= LEAST_SAVED * min(alone, own)
         if best and not saved:
             break
-        name, _, wanted = ready[k]
         at = around(words, wanted) if len(words) > 2 * len(wanted) + 20 else 0
         near = words[at : at + 2 * len(wanted) + 20]
         missing, added, first, last = differences(near, wanted)
@@ -197,9 +199,9 @@ def notices(
     block's compressed size alone and given the template, the words missing from
     the block and added to it, and whether the notice is confirmed.
 
-    A block is confirmed if the template saves a quarter or more of its size, at
-    most a quarter as many words as the template has differ, and none of these is a
-    name or version number of a license.  Templates that save equally much rank in
+    A block is confirmed if the template saves a quarter or more of the block's
+    compressed size or of its own, at most a quarter as many words as the template
+    has differ, and none of these is a name or version number of a license.  Templates that save equally much rank in
     the order given.  Null and empty texts and those without a trigger word give no
     rows; repeated rows give repeated rows; other columns are not looked at.
 

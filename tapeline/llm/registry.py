@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, exact_dedup, jaccard, language, licenses, mixing, sharding, toxicity, warc
+from tapeline.llm import decontamination, exact_dedup, jaccard, language, licenses, lm, mixing, sharding, toxicity, warc
 from tapeline.llm.common import table
 
 SHARDS = 24
@@ -38,6 +38,11 @@ def op3_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.scored(docs, lm.train(docs)).drop("text")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(table(spark, sf_dir, "documents"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_warc": op2_warc,
     "op3_byte_shards": op3_byte_shards,
+    "op4_pseudo_likelihood": op4_pseudo_likelihood,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
     "op7_licenses": op7_licenses,
