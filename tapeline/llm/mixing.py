@@ -46,6 +46,7 @@ def timetable(totals: DataFrame, block_rows: int) -> DataFrame:
     stretches = (
         totals.withColumn("blocks", F.expr(f"(rows + {block_rows - 1}) DIV {block_rows}"))
         .agg(F.sort_array(F.collect_list(F.struct("_src", "rows", "share", "blocks"))).alias("s"))
+        .filter("size(s) > 0")
         .withColumn("ends", F.expr("transform(s, x -> (x.blocks - 1) DIV x.share)"))
         .selectExpr(
             "s",
