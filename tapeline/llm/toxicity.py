@@ -1,9 +1,9 @@
 """Toxic documents and sentences, learnt from labels of documents only.
 
 Multiple-instance learning: each sentence has a chance to be toxic, a logistic
-function of the weights of its words and of how they begin; a document is toxic if any of its sentences
-is (noisy-or).  The weights are fitted to the labels of documents, and then tell
-which sentences are to blame.
+function of the weights of its words and of how they begin, each counted once; a
+document is toxic if any of its sentences is (noisy-or).  The weights are fitted to
+the labels of documents, and then tell which sentences are to blame.
 """
 
 from __future__ import annotations
@@ -115,9 +115,7 @@ def instances(docs: DataFrame, text_col: str, features: np.ndarray) -> DataFrame
             words, places, sizes = [], [], []
             for _, data, edges in chunks(batch.column(1)):
                 h, sentence, starts = sentences(data, edges)
-                where, column = find(h)
-                order = np.argsort(sentence[where], kind="stable")
-                column, sentence = column[order], sentence[where][order]
+                sentence, column = once(find, h, sentence)
                 firsts = np.searchsorted(starts, edges)
                 at = np.searchsorted(sentence, firsts)
                 for r in range(len(edges) - 1):
@@ -183,6 +181,14 @@ def fitted(features: np.ndarray, docs: list[tuple], toxic_share: float) -> Model
     return Model(features, x[:-1], float(x[-1]))
 
 
+def once(find: Lookup, h: np.ndarray, sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sentence and number of each known feature, repeats within a sentence
+    left out, in the order of the sentences."""
+    where, column = find(h)
+    pairs = np.unique(sentence[where] * max(len(find.hashes), 1) + column)
+    return pairs // max(len(find.hashes), 1), pairs % max(len(find.hashes), 1)
+
+
 def chance(z: np.ndarray) -> np.ndarray:
     return np.minimum(1 / (1 + np.exp(-np.clip(z, -40, 40))), 1 - 1e-12) * (z > -np.inf)
 
@@ -248,8 +254,8 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 def piece_scores(data: np.ndarray, edges: np.ndarray, model: Model, find: Lookup) -> tuple:
     """Score of each row, and the row and span of each sentence to blame."""
     h, sentence, starts = sentences(data, edges)
-    where, column = find(h)
-    z = np.bincount(sentence[where], model.weights[column], len(starts)) + model.bias
+    has, column = once(find, h, sentence)
+    z = np.bincount(has, model.weights[column], len(starts)) + model.bias
     p = chance(z)
     owner = np.searchsorted(edges, starts, side="right") - 1
     score = -np.expm1(np.bincount(owner, np.log1p(-p), len(edges) - 1))
