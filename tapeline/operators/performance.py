@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.functions.finance import TRADING_DAYS, cagr, drawdown, fall_from_peak, sharpe
-from tapeline.functions.numbers import exact_avg, rnd
+from tapeline.functions.numbers import exact_avg, rnd, steady_avg, steady_stddev
 
 
 def cagr_by_ticker(stg: DataFrame) -> DataFrame:
@@ -30,8 +30,8 @@ def sharpe_by_ticker(fact: DataFrame) -> DataFrame:
     annualised volatility; all in percent."""
     log = F.col("log_return_pct")
     mean = exact_avg(log) * TRADING_DAYS
-    free = F.avg("treasury_yield_10y")
-    risk = F.stddev(log) * F.lit(math.sqrt(TRADING_DAYS))
+    free = steady_avg(F.col("treasury_yield_10y"))
+    risk = steady_stddev(log) * F.lit(math.sqrt(TRADING_DAYS))
     return fact.groupBy("ticker").agg(
         rnd(mean, 4).alias("annual_return_pct"),
         rnd(free, 4).alias("risk_free_pct"),

@@ -11,7 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.functions.labels import rate_regime
-from tapeline.functions.numbers import exact_avg, ratio, rnd
+from tapeline.functions.numbers import exact_avg, ratio, rnd, steady_avg, steady_stddev
+
+#: Decimals of a return that is a fraction: four of the percentage and two.
+FRACTION = 1_000_000
 from tapeline.operators.macro import MACRO_COLUMNS
 
 #: Percent columns of the macro context; the price index is none.
@@ -162,7 +165,7 @@ def sector_summary(fact: DataFrame, dates: DataFrame | None = None) -> DataFrame
                 "avg_volatility_20d_pct"
             ),
             rnd(F.avg("volume"), 0).alias("avg_volume"),
-            rnd(F.avg(above), 4).alias("avg_pct_above_200sma"),
+            rnd(steady_avg(above), 4).alias("avg_pct_above_200sma"),
         )
         .orderBy(F.desc("avg_daily_return_pct"))
     )
@@ -176,7 +179,7 @@ def market_summary(snapshot: DataFrame) -> DataFrame:
     change = F.col("daily_return_pct")
     return snapshot.agg(
         F.count("*").alias("num_stocks"),
-        rnd(F.avg(change), 3).alias("avg_daily_return"),
+        rnd(steady_avg(change), 3).alias("avg_daily_return"),
         F.count_if(change > 0).alias("gainers"),
         F.count_if(change < 0).alias("losers"),
         F.max("as_of_date").alias("as_of_date"),
@@ -209,8 +212,8 @@ def regime_performance(versus: DataFrame) -> DataFrame:
     return (
         versus.groupBy("rate_regime")
         .agg(
-            rnd(F.avg(change), 4).alias("avg_daily_return"),
-            rnd(F.stddev(change), 4).alias("std_daily_return"),
+            rnd(steady_avg(change), 4).alias("avg_daily_return"),
+            rnd(steady_stddev(change, FRACTION), 4).alias("std_daily_return"),
             F.count("*").alias("observations"),
         )
         .orderBy(F.desc("avg_daily_return"))
@@ -228,8 +231,8 @@ def ticker_stats(history: DataFrame, ticker: str | None = None) -> DataFrame:
         rnd(F.max(close), 2).alias("high_52w"),
         rnd(exact_avg(close), 2).alias("avg_close"),
         rnd(F.avg("volume"), 0).alias("avg_volume"),
-        rnd(F.avg(change), 4).alias("avg_daily_return"),
-        rnd(F.stddev(change), 4).alias("std_daily_return"),
+        rnd(steady_avg(change), 4).alias("avg_daily_return"),
+        rnd(steady_stddev(change, FRACTION), 4).alias("std_daily_return"),
         F.count("*").alias("trading_days"),
     )
 

@@ -21,11 +21,6 @@ REACH = 252
 SLICE_ROWS = 500_000
 
 
-def long_series(df: DataFrame, rows: int = SLICE_ROWS) -> DataFrame:
-    """Tickers with more rows than one slice: at most (all rows / slice rows) of them."""
-    return df.groupBy("ticker").agg(F.count("*").alias("n")).filter(F.col("n") > rows)
-
-
 def cut_long_series(df: DataFrame, reach: int, rows: int = SLICE_ROWS) -> DataFrame:
     """Add ``slice_no`` and ``is_lead``; lead rows only feed frames and are
     dropped after the windows ran.  Short series stay whole, in slice 0."""

@@ -17,6 +17,7 @@ from tapeline.functions.labels import surrogate_key
 from tapeline.functions.numbers import SCALE, ratio, rnd, rnd_sql, ticks
 from tapeline.operators.series import REACH, per_series
 
+# The columns of the three steps.
 RETURNS = [
     "price_id", "ticker", "trading_date", "close_price", "open_price", "volume",
     "prev_close_price", "daily_return_pct", "log_return_pct", "overnight_gap_pct",
@@ -64,7 +65,10 @@ def with_signals(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
 
 
 def _signals(stg: DataFrame, keys: list[str]) -> DataFrame:
-    series = f"PARTITION BY {', '.join(keys)} ORDER BY trading_date"
+    # Bars of one date follow by their own figures, so that repeated loads give the
+    # same results in any layout.
+    order = "trading_date, close_price, open_price, high_price, low_price, volume"
+    series = f"PARTITION BY {', '.join(keys)} ORDER BY {order}"
     # The key is a hash of two columns at hand: made again after the exchange
     # rather than carried through it.
     rows = _with_returns(stg.drop("price_id"), series)

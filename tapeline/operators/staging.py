@@ -12,11 +12,14 @@ from tapeline.functions.numbers import rnd_sql
 def stg_stock_prices(raw: DataFrame) -> DataFrame:
     """Bars with a key, plain names and four-decimal prices.
 
-    Bars without date or close, or without volume, are dropped.  The key hashes
+    Bars without date or close, or without volume, are dropped; a NaN close is
+    none, as NaN is how pandas stores a missing price.  The key hashes
     the trading date rather than the raw timestamp, so it does not depend on the
     time zone of the session.
     """
-    kept = raw.filter("date IS NOT NULL AND close IS NOT NULL AND volume > 0")
+    kept = raw.filter(
+        "date IS NOT NULL AND close IS NOT NULL AND NOT isnan(close) AND volume > 0"
+    )
     key = surrogate_key(F.col("ticker"), F.col("date").cast("date"))
     change = "try_divide(close - open, open) * 100"
     return kept.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tapeline.operators import quality
-from tapeline.operators.series import SLICE_ROWS, long_series
+from tapeline.operators.series import SLICE_ROWS
 from tapeline.operators.signals import with_signals
 from tapeline.operators.staging import (
     stg_company_info,
@@ -39,9 +39,8 @@ def build_marts(
     ``fact_partition="trading_date"`` stores the fact by day, so that reports on
     the latest date or year read only those days.
 
-    The raw files are not known to hold one bar per ticker and day, so the
-    length of the longest series is checked, by a scan of the ticker column,
-    before the windows are planned.
+    The raw files are not known to hold one bar per ticker and day, so series of
+    more than SLICE_ROWS bars are cut before the windows.
     """
     prices = read_prices(spark, raw_dir)
     companies = read_companies(spark, raw_dir)
@@ -57,9 +56,8 @@ def build_marts(
     for name, df in stg.items():
         materialize(df, name, "staging")
     bars, about, macro = stg.values()
-    slice_rows = None if long_series(bars).isEmpty() else SLICE_ROWS
     marts = {
-        "fct_daily_trading": fct_daily_trading(bars, about, macro, slice_rows),
+        "fct_daily_trading": fct_daily_trading(bars, about, macro, SLICE_ROWS),
         "dim_company": dim_company(about),
         "dim_date": dim_date(bars, start, end, as_of),
     }
@@ -81,8 +79,7 @@ def checks(
     One pass counts over the raw bars.  The other runs over the staged bars in
     the layout of the signals, by ticker and date: there a repeated key is two
     neighbours, the length of a series is the number of its last row, and the
-    companies join without moving a bar.  Only the calendar is broadcast, one
-    row per day.
+    companies join without moving a bar.
     """
     raw_rules = {
         "positive_volume": quality.no_volume(),
@@ -98,7 +95,7 @@ def checks(
     staged = (
         quality.with_neighbours(with_signals(stg))
         .join(known, "ticker", "left")
-        .join(F.broadcast(calendar), "trading_date", "left")
+        .join(calendar, "trading_date", "left")
     )
     day, following = F.col("trading_date"), F.col("next_trading_date")
     is_last = following.isNull()
@@ -113,14 +110,13 @@ def checks(
         "unique_price_id": starts_repeat,
         "tickers_in_dim": is_last & F.col("has_company").isNull(),
     }
-    # Distinct dates: no more than the calendar has days.
-    orphans = F.collect_set(F.when(F.col("has_date").isNull(), day))
+    orphans = F.count_distinct(F.when(F.col("has_date").isNull(), day))
     return quality.quality_report(
         [
             quality.count_breaks(raw, quality.count_rules(raw_rules)),
             quality.count_breaks(
                 staged,
-                quality.count_rules(stg_rules) | {"dates_in_dim": F.size(orphans)},
+                quality.count_rules(stg_rules) | {"dates_in_dim": orphans},
             ),
         ]
     )

@@ -15,6 +15,7 @@ from tapeline.operators.signals import daily_signals
 CALENDAR_START = dt.date(2020, 1, 1)
 CALENDAR_END = dt.date(2028, 1, 1)
 
+# The columns of the fact.
 FACT = [
     "price_id", "ticker", "trading_date",
     "open_price", "close_price", "prev_close_price",
@@ -57,11 +58,11 @@ def with_companies(signals: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def with_macro(signals: DataFrame, macro: DataFrame) -> DataFrame:
-    """The macro side has one row per calendar day, some 25 KB a year.  It is
-    the one side that is always broadcast: a shuffle by date would put a day's
-    bars of all tickers in one task."""
+    """The macro side has one row per trading date.  Spark broadcasts it if it is
+    as small as clean dates make it (25 KB a year); else it joins by date and
+    splits a day of too many bars as skew."""
     context = macro.select(F.col("calendar_date").alias("trading_date"), *MACRO_COLUMNS)
-    return signals.join(F.broadcast(context), "trading_date", "left")
+    return signals.join(context, "trading_date", "left")
 
 
 def dim_company(companies: DataFrame) -> DataFrame:

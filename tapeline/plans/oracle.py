@@ -534,6 +534,9 @@ FINAL: dict[str, str] = {
     "restrict_history": f"""
         SELECT * FROM raw_prices
         WHERE date >= DATE '{HISTORY[0]}' AND date < DATE '{HISTORY[1]}'""",
+    "restrict_macro_history": f"""
+        SELECT * FROM raw_indicators
+        WHERE observation_date BETWEEN DATE '{HISTORY[0]}' AND DATE '{HISTORY[1]}'""",
     "infer_frequency": """
         SELECT series_id, g AS median_gap_days,
                CASE WHEN g IS NULL THEN 'unknown' WHEN g <= 1 THEN 'daily'

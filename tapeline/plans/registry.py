@@ -393,6 +393,13 @@ def restrict_history(m: Market) -> DataFrame:
     return shaping.restrict_history(m.raw_prices(), "date", *HISTORY)
 
 
+@query
+def restrict_macro_history(m: Market) -> DataFrame:
+    return shaping.restrict_history(
+        m.raw_indicators(), "observation_date", *HISTORY, through_end=True
+    )
+
+
 @query
 def infer_frequency(m: Market) -> DataFrame:
     return shaping.infer_frequency(m.raw_indicators())

@@ -30,24 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal the rows of a small input out to all cores, by their group.
-
-    A file of one row group is read by one task, which would then do all the
-    work up to the first shuffle.  An input with as many splits as there are
-    cores, and so any large one, is left alone and aggregates map-side.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
-
-
 def raw_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars.  Trades collapse map-side per (supplier, day), so that a
     supplier with a third of all trades still sends at most one partial bar per
     day and task through the shuffle."""
     day = F.col("l_shipdate").cast("date")
     trades = table(spark, sf_dir, "lineitem").withColumn("date", day)
-    trades = spread(trades, "l_suppkey", "date")
     price = F.col("l_extendedprice") / F.col("l_quantity")
     # The order of trades within a day; the price rides along in the minimum.
     place = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"]

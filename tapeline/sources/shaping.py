@@ -38,12 +38,15 @@ def restrict_history(
     start: dt.date | None = None,
     end: dt.date | None = None,
     days: int = PRICE_DAYS,
+    through_end: bool = False,
 ) -> DataFrame:
-    """Rows from start up to, not including, end; by default the last ``days``
-    days.  Plain comparisons on the column, so they reach the file scan."""
+    """Rows from start up to end, by default the last ``days`` days.  Prices stop
+    before the end; macro series go ``through_end``, with all times of that day.
+    Plain comparisons on the column, so they reach the file scan."""
     end = end or dt.date.today()
     start = start or end - dt.timedelta(days=days)
-    return df.filter((F.col(date) >= F.lit(start)) & (F.col(date) < F.lit(end)))
+    stop = end + dt.timedelta(days=1) if through_end else end
+    return df.filter((F.col(date) >= F.lit(start)) & (F.col(date) < F.lit(stop)))
 
 
 def infer_frequency(observations: DataFrame) -> DataFrame:

@@ -21,28 +21,35 @@ from tapeline.sources.schemas import PRICES
 KEY = ["ticker", "date"]
 FIELDS = [f.name for f in PRICES]
 WITH_MONTH = StructType([*PRICES, StructField("month", StringType())])
+LANDED = StructType([*WITH_MONTH, StructField("batch", StringType())])
+#: The month of bars without a date.
+UNDATED = "undated"
 
 
 def latest_load(rows: DataFrame) -> DataFrame:
-    """One row per ticker and date, the one loaded last.  A maximum, so repeated
-    loads of a bar collapse map-side instead of meeting in one task."""
+    """One row per ticker and date, the one loaded last: of the latest extraction,
+    and of several with that time from the latest batch, by its name.  Only bars of
+    one batch are settled by their figures.  A maximum, so repeated loads of a bar
+    collapse map-side instead of meeting in one task."""
     rest = [c for c in FIELDS if c not in (*KEY, "extracted_at")]
-    newest = F.max(F.struct("extracted_at", *rest)).alias("newest")
+    newest = F.max(F.struct("extracted_at", "batch", *rest)).alias("newest")
     return rows.groupBy(*KEY).agg(newest).select(*KEY, "newest.*").select(FIELDS)
 
 
 def with_month(rows: DataFrame) -> DataFrame:
-    return rows.select(*FIELDS, F.date_format("date", "yyyy-MM").alias("month"))
+    month = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(UNDATED))
+    return rows.select(*FIELDS, month.alias("month"))
 
 
 def merge_prices(batch: DataFrame, name: str, target: str) -> None:
-    """Keep a batch under its name and bring the months it touches up to date."""
+    """Keep a batch under its name and bring the months it touches up to date.
+    Names of later batches sort behind those of earlier ones."""
     spark = batch.sparkSession
     mine = f"{target}/landed/batch={name}"
     with_month(batch).write.mode("overwrite").partitionBy("month").parquet(mine)
 
-    landed = spark.read.schema(WITH_MONTH).parquet(f"{target}/landed")
-    # Twelve values a year; as literals they prune the folders that are read.
+    landed = spark.read.schema(LANDED).parquet(f"{target}/landed")
+    # Twelve values a year reach the driver; as literals they prune the folders read.
     touched = spark.read.schema(WITH_MONTH).parquet(mine).select("month").distinct()
     months = [row.month for row in touched.collect()]
     rows = landed.filter(F.col("month").isin(months))
@@ -74,7 +81,7 @@ def ingest_new_files(
     stream = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def merge(batch: DataFrame, number: int) -> None:
-        merge_prices(batch, f"{stream}-{number}", target)
+        merge_prices(batch, f"{stream}-{number:012d}", target)
 
     landed = (
         spark.readStream.schema(PRICES)

@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import pytest
@@ -6,7 +7,16 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tapeline.functions import finance, labels
-from tapeline.functions.numbers import exact_avg, ratio, rnd, rnd_sql
+from tapeline.functions.numbers import (
+    exact_avg,
+    ratio,
+    rnd,
+    rnd_sql,
+    steady_avg,
+    steady_stddev,
+    ticks,
+)
+from tapeline.operators.performance import cagr_by_ticker
 
 
 def one(spark, column):
@@ -31,11 +41,12 @@ def test_rounding_goes_away_from_zero(spark):
 
 
 @settings(max_examples=5, deadline=None)
-@given(st.lists(st.floats(-1e8, 1e8, allow_nan=False), min_size=1, max_size=200))
+@given(st.lists(st.floats(allow_nan=False), min_size=1, max_size=200))
 def test_rounding_of_any_number(spark, values):
     rows = spark.createDataFrame([(v,) for v in values], "v double")
     got = [r.a for r in rows.select(rnd(F.col("v"), 4).alias("a")).collect()]
-    assert got == [half_away(v, 4) for v in values]
+    whole = [abs(v * 1e4) >= 2.0**52 for v in values]
+    assert got == [v if w else half_away(v, 4) for v, w in zip(values, whole)]
 
 
 def test_rounding_keeps_null(spark):
@@ -54,6 +65,41 @@ def test_average_does_not_depend_on_order(spark):
     assert a == b
 
 
+@pytest.mark.parametrize("digits", [0, 2, 4, 6])
+def test_numbers_without_digits_to_round_come_back(spark, digits):
+    values = [1e15, -1e15, 1e20, 1.7e308, float("inf"), float("-inf"), 2.0**52, 5e-324]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.select(
+        "v", rnd(F.col("v"), digits).alias("a"), F.expr(rnd_sql("v", digits)).alias("b")
+    ).collect()
+    for r in got:
+        assert r.a == r.b == (0.0 if r.v < 1e-300 and r.v > 0 else r.v)
+    nan = spark.sql("SELECT double('NaN') AS v").select(rnd(F.col("v"), digits).alias("x")).first().x
+    assert nan != nan
+
+
+def test_ticks_of_what_no_whole_number_holds(spark):
+    df = spark.createDataFrame([(float("nan"),), (1e300,), (1.5,)], "v double")
+    assert [r[0] for r in df.select(ticks(F.col("v"))).collect()] == [None, None, 15000]
+
+
+def test_growth_over_two_days(spark):
+    rows = [("A", dt.date(2024, 1, 1), 100.0), ("A", dt.date(2024, 1, 2), 115.0)]
+    df = spark.createDataFrame(rows, "ticker string, trading_date date, close_price double")
+    assert cagr_by_ticker(df).first().cagr == pytest.approx(1.15**365.25 - 1)
+
+
+@pytest.mark.parametrize("parts", [1, 8, 200])
+def test_deviation_and_mean_do_not_depend_on_the_layout(spark, parts):
+    values = [((k * 7919 % 100_003) / 10_000 - 5,) for k in range(5_000)]
+    df = spark.createDataFrame(values, "v double").repartition(parts)
+    mean, risk = df.agg(steady_avg(F.col("v")), steady_stddev(F.col("v"))).first()
+    exact = [round(v[0] * 10_000) for v in values]
+    n, total, squares = len(exact), sum(exact), sum(t * t for t in exact)
+    assert risk == math.sqrt((squares - total * total / n) / (n - 1)) / 10_000
+    assert mean == pytest.approx(total / n / 10_000, abs=1e-11)
+
+
 def test_finance_formulas(spark):
     lit = F.lit
     assert one(spark, finance.pct_change(lit(110), lit(100))) == 10.0

@@ -37,19 +37,3 @@ def test_hot_ticker(name, spark, skewed):
     cursor = con.execute(f"SELECT {', '.join(columns)} FROM ({oracle_sql()[name]})")
     ours = Counter(tuple(r) for r in df.select(*columns).collect())
     assert ours == Counter(cursor.fetchall())
-
-
-def test_large_inputs_aggregate_without_spreading(spark, sf_dir, monkeypatch):
-    """An input with many splits takes the plain two-step aggregation."""
-    few = driver_tables.raw_prices(spark, sf_dir)
-    monkeypatch.setattr(driver_tables, "spread", lambda df, *keys: df)
-    many = driver_tables.raw_prices(spark, sf_dir)
-    assert Counter(few.collect()) == Counter(many.collect())
-
-
-def test_spread_leaves_large_inputs_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    large = spark.range(0, 1000, 1, cores)
-    assert driver_tables.spread(large, "id") is large
-    small = driver_tables.spread(spark.range(0, 1000, 1, 1), "id")
-    assert small.rdd.getNumPartitions() == cores
