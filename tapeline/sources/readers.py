@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -16,6 +20,8 @@ from pyspark.sql.types import (
 
 from tapeline.sources.schemas import COMPANIES, INDICATORS, PRICES, SEED
 
+FOOTERS_AT_ONCE = 16
+
 
 def read_parquet_if_there(
     spark: SparkSession, path: str, schema: StructType
@@ -24,23 +30,61 @@ def read_parquet_if_there(
     there are none.
 
     A column a file lacks reads as NULL; a column stored in another type is
-    cast.  Times may be stored in nanoseconds, as pandas writes them.
+    cast, file by file: files may store a column in different types, as pandas
+    does with whole numbers once one is missing.  Times may be stored in
+    nanoseconds, as pandas writes them.
     """
     try:
-        stored = {f.name: f.dataType for f in spark.read.parquet(path).schema}
+        rows = spark.read.parquet(path)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         if e.getCondition() != "PARQUET_TYPE_ILLEGAL":
             raise
         stored = {f.name: LongType() for f in schema if _is_time(f)}
+        return _read_as(spark, [path], stored, schema)
+    groups = _by_types(spark, path, rows, schema)
+    return reduce(
+        DataFrame.unionByName,
+        [_read_as(spark, files, dict(types), schema) for types, files in groups.items()],
+    )
+
+
+def _read_as(
+    spark: SparkSession, paths: list[str], stored: dict[str, DataType], schema: StructType
+) -> DataFrame:
     as_stored = StructType(
         [StructField(f.name, stored.get(f.name, f.dataType)) for f in schema]
     )
-    rows = spark.read.schema(as_stored).parquet(path)
+    rows = spark.read.schema(as_stored).parquet(*paths)
     return rows.select(*[_declared(f, as_stored[f.name].dataType) for f in schema])
 
 
+def _by_types(
+    spark: SparkSession, path: str, rows: DataFrame, schema: StructType
+) -> dict[tuple, list[str]]:
+    """The paths to read, by the types in which they store the declared columns:
+    one path if all files agree, as a distributed look at their footers tells."""
+    names = set(schema.names)
+
+    def types(found: StructType) -> tuple:
+        return tuple(sorted(((f.name, f.dataType) for f in found if f.name in names), key=str))
+
+    try:
+        merged = spark.read.option("mergeSchema", True).parquet(path).schema
+        return {types(merged): [path]}
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    files = sorted(rows.inputFiles())
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        own = list(pool.map(lambda file: types(spark.read.parquet(file).schema), files))
+    groups: dict[tuple, list[str]] = {}
+    for kind, file in zip(own, files):
+        groups.setdefault(kind, []).append(file)
+    return groups
+
+
 def _is_time(field: StructField) -> bool:
     return isinstance(field.dataType, (DateType, TimestampNTZType))
 

@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from frames import bars, by, companies, observations
+from frames import bars, by, column, companies, day, observations
 from tapeline.operators import quality
-from tapeline.operators.staging import enrich_from_seed, stg_company_info
+from tapeline.operators.signals import daily_signals
+from tapeline.operators.staging import enrich_from_seed, stg_company_info, stg_stock_prices
 from tapeline.plans.daily_run import build_marts
 from tapeline.plans.data_tests import NOT_NULL, UNIQUE, data_tests
 from tapeline.sources import readers, schemas, shaping, writers
@@ -244,6 +245,46 @@ def test_declared_tests_are_all_there(spark, raw_dir):
     assert all(r["passed"] for k, r in rows.items() if "tickers_in" not in k[0])
 
 
+def test_files_of_different_types_read_as_one(spark, tmp_path):
+    whole = bars(spark, [1.0, 2.0], "AAA")
+    gaps = bars(spark, [3.0], "BBB").withColumn("volume", F.col("volume").cast("double"))
+    less = bars(spark, [4.0], "CCC").drop("volume")
+    for name, df in (("AAA", whole), ("BBB", gaps), ("CCC", less)):
+        df.write.parquet(str(tmp_path / f"{name}_prices.parquet"))
+    rows = readers.read_prices(spark, str(tmp_path))
+    assert rows.schema["volume"].dataType.simpleString() == "bigint"
+    got = sorted((r.ticker, r.close, r.volume) for r in rows.filter("ticker <> 'CCC'").collect())
+    assert got == [("AAA", 1.0, 100), ("AAA", 2.0, 101), ("BBB", 3.0, 100)]
+    assert [r.volume for r in rows.filter("ticker = 'CCC'").collect()] == [None]
+
+
+def test_a_missing_close_stored_as_nan_is_dropped(spark):
+    df = bars(spark, [1.0, float("nan"), 3.0], "AAA")
+    staged = stg_stock_prices(df)
+    assert column(staged, "close_price") == [1.0, 3.0]
+    assert column(daily_signals(staged), "prev_close_price") == [None, 1.0]
+
+
+def test_macro_history_runs_through_its_end(spark):
+    days = [(day(k),) for k in range(6)]
+    df = spark.createDataFrame(days, "observation_date date")
+    got = shaping.restrict_history(df, "observation_date", day(1), day(4), through_end=True)
+    assert got.count() == 4
+    assert shaping.restrict_history(df, "observation_date", day(1), day(4)).count() == 3
+
+
+def test_bars_without_a_date_and_equal_loads(spark, tmp_path):
+    target = str(tmp_path / "out")
+    dated = bars(spark, [5.0], "AAA")
+    undated = bars(spark, [1.0], "BBB").withColumn("date", F.lit(None).cast("timestamp_ntz"))
+    merge_prices(dated.unionByName(undated), "s-000000000001", target)
+    assert read_ingested(spark, target).count() == 2
+    # loaded at the same time, in a later batch, at a lower price
+    merge_prices(bars(spark, [4.0], "AAA"), "s-000000000002", target)
+    closes = {r.ticker: r.close for r in read_ingested(spark, target).collect()}
+    assert closes == {"AAA": 4.0, "BBB": 1.0}
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     target = str(tmp_path / "out")
     january = bars(spark, [1.0, 2.0], "AAA")
