@@ -113,6 +113,55 @@ ORACLE: dict[str, str] = {
         FROM (SELECT page_id, t, min(page_id) OVER (PARTITION BY t) AS f
               FROM (SELECT page_id, coalesce(html, '') AS t FROM pages))
     """,
+    # CRC-32 byte by byte, with the table of 256 remainders made from the polynomial
+    "op3_byte_shards": """
+        WITH polynomial AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(
+                range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384)
+                                            ELSE c >> 1 END, b)) AS t),
+        texts AS (
+            SELECT doc_id, strlen(coalesce(text, '')) AS n, hex(encode(coalesce(text, ''))) AS h
+            FROM documents),
+        sized AS (
+            SELECT doc_id, n + 8 AS size, xor(list_reduce(
+                list_transform(regexp_extract_all(h, '..'), lambda b: ('0x' || b)::BIGINT),
+                lambda c, b: xor(c >> 8, t[(xor(c, b) % 256 + 1)::INT]), 4294967295::BIGINT),
+                4294967295) AS text_crc32
+            FROM texts, polynomial),
+        placed AS (
+            SELECT *, sum(size) OVER (ORDER BY doc_id, size, text_crc32
+                                      ROWS UNBOUNDED PRECEDING) AS stop,
+                   sum(size) OVER () AS total
+            FROM sized)
+        SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+               row_number() OVER (PARTITION BY shard ORDER BY stop) - 1 AS slot,
+               NULL::INT AS grown_shard
+        FROM (SELECT *, (24 * (2 * stop - size) // (2 * total))::INT AS shard FROM placed)
+    """,
+    "op5_ngram_jaccard": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(
+                CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+                     ELSE list_transform(range(1, len(w) - 3), lambda i: w[i:i + 4]) END) AS g
+            FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        e AS MATERIALIZED (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * c >= 75 * (x.n + y.n - c)),
+        r(doc_id, other) AS (
+            SELECT doc_id, doc_id FROM documents
+            UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
+        SELECT r.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+        FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+    """,
     "op8_exact_dedup": r"""
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
