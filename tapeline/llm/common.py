@@ -47,12 +47,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(folder)
 
 
-def kept(df: DataFrame, *columns: str) -> list[str]:
-    """The columns of df; those that an operator adds must not be among them."""
-    taken = {c.lower() for c in df.columns} & {c.lower() for c in columns}
-    if taken:
-        raise ValueError(f"the input already has columns named {sorted(taken)}")
-    return df.columns
+def without(df: DataFrame, *added: str) -> DataFrame:
+    """df without columns of the names that an operator adds: its own replace them."""
+    names = {c.lower() for c in added}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
 
 
 def utf8(text: str | Column) -> Column:

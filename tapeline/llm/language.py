@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import kept
+from tapeline.llm.common import without
 from tapeline.llm.shingles import mixed
 
 GRAM = 4  # characters; the edge of a word counts as one
@@ -197,9 +197,11 @@ def detected(docs: DataFrame, filters: Filters, text_col: str = "text") -> DataF
     training documents if two are equal.  The score is its part of all languages'
     counts.  Texts that are null or have no letter are ``und`` with score 0, as is
     every text if no language was learnt.  A text with letters that no language
-    knows gets the most frequent language and score 0.  Rows are judged one by one,
+    knows gets the most frequent language and score 0.  Input columns of the added
+    names are replaced.  Rows are judged one by one,
     whole; no rows give no rows."""
-    columns = kept(docs, "lang_pred", "score")
+    docs = without(docs, "lang_pred", "score")
+    columns = docs.columns
     place = columns.index(text_col)
     schema = docs.select(
         *[F.col(f"`{c}`") for c in columns], F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")

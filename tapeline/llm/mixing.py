@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import cut, kept
+from tapeline.llm.common import cut, without
 
 BLOCK_ROWS = 8
 CHUNK_DIGITS = 3  # a source is numbered in 16 ** 3 parts at a time
@@ -114,7 +114,8 @@ def mixed(
     with their weights to each other.  Shares are whole numbers of 1 or more.
 
     A null source counts as the source ''.  Rows of equal ids are ordered by all
-    their columns; wholly equal rows are interchangeable.  No rows give no rows.
+    their columns; wholly equal rows are interchangeable.  Input columns of the added names are
+    replaced.  No rows give no rows.
 
     Rows are numbered within (source, chunk of the MD5) and chunks within sources,
     so no task holds a source.  The timetable is broadcast if it has few rows, which
@@ -122,7 +123,8 @@ def mixed(
     """
     if min([default_share, *shares.values()]) < 1:
         raise ValueError("shares are whole numbers of 1 or more")
-    columns = kept(docs, "source_block", "position")
+    docs = without(docs, "source_block", "position")
+    columns = docs.columns
     everything = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
     order = F.md5(F.coalesce(F.col(id_col).cast("string"), everything.cast("string")))
     source = F.coalesce(F.col(source_col).cast("string"), F.lit(""))

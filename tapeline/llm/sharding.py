@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tapeline.llm.common import kept, stored, utf8
+from tapeline.llm.common import stored, utf8, without
 
 ROW_OVERHEAD = 8  # bytes a row counts beside its text
 
@@ -38,14 +38,15 @@ def shards_in_stored_order(rows: DataFrame, n_shards: int, size: str) -> DataFra
 
     A shard takes the rows whose middle byte falls into its n-th of all bytes, so
     no cut is further from its target than half a row.  Slots count from 0 within
-    a shard.  The column named by ``size`` holds positive bytes per row.
+    a shard.  The column named by ``size`` holds positive bytes per row.  Input
+    columns named shard or slot are replaced.
 
     The prefix sums need no shuffle: the totals of each input split (one entry per
     split reach the driver) give each split its first byte and row; a running sum
     within the split does the rest.  Only splits with a cut are read once more, to
     see which row the cut falls on.
     """
-    columns = kept(rows, "shard", "slot", "_file", "_start", "_part")
+    columns = without(rows, "shard", "slot").columns
     part = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1)
     marked = rows.select(
         *[F.col(f"`{c}`") for c in columns],

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapeline.llm.common import kept, stored
+from tapeline.llm.common import stored, without
 from tapeline.llm.shingles import Lookup, chunks, words_at
 
 MAX_LABELLED = 4_000  # documents of each label that the model is fitted on
@@ -223,9 +223,11 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     each sentence with a chance of a half or more the start and stop, in bytes of
     the text, and the chance.
 
-    Texts without words score 0, null and empty ones too.  Rows are scored one by
+    Texts without words score 0, null and empty ones too.  Input columns of the
+    added names are replaced.  Rows are scored one by
     one, whole, in the order they come; no rows give no rows."""
-    columns = kept(docs, "score", "offending")
+    docs = without(docs, "score", "offending")
+    columns = docs.columns
     place = columns.index(text_col)
     schema = docs.select(*[F.col(f"`{c}`") for c in columns], F.lit(0.0).alias("score"), F.array(
         F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit(0.0).alias("score"))

@@ -75,8 +75,9 @@ def test_null_repeated_and_no_rows(spark):
     assert mixing.mixed(df.limit(0), {}).collect() == []
     with pytest.raises(ValueError):
         mixing.mixed(df, {"a": 0})
-    with pytest.raises(ValueError):
-        mixing.mixed(df.withColumnRenamed("doc_id", "position"), {}, id_col="position")
+    clash = mixing.mixed(df.selectExpr("*", "-1 AS Position", "'x' AS held"), {"a": 2})
+    assert clash.columns == ["doc_id", "source", "held", "source_block", "position"]
+    assert sorted(r.position for r in clash.collect()) == list(range(6))
 
 
 def test_runs_without_python(spark, sf_dir):

@@ -64,6 +64,14 @@ def test_stages_take_odd_rows(spark, sf_dir):
         for name, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, sf_dir), name)
             assert docs.count() == n
+    more = "doc_id", "text", "lang", "source", "n_chars", "score", "Shard", "position", "key", "_gone"
+    docs = spark.createDataFrame([(*r, 9.5, 1, 2, 3, 4) for r in rows], list(more))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+        assert docs.columns == list(more) and docs.first().score == 9.5
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir)
+    assert last.columns == [c for c in more if c != "Shard"] + ["shard", "slot"]
+    assert {r.slot for r in last.collect()} == {0}  # of 24 shards each has one row or none
     assert toxicity.THRESHOLD == 0.7
 
 
