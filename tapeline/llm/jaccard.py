@@ -10,6 +10,7 @@ that could join what is not joined yet are added up.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,11 @@ from tapeline.llm.shingles import set_key, sets_of
 
 PERCENT = 75  # least share of the common n-grams in all n-grams of a pair
 FLUSH = 500_000  # entries that a task gathers before it sends them to the blocks
-PIVOT_ROUNDS = 4
+BLOCK_ENTRIES = 4_000_000  # entries of a block of columns, some 200 MB while it is read
+PIVOTS = 4  # sets of a column that the others are held against in a round
+ROUNDS = 2
+SIGNATURE = 8  # words of 64 bits
+BITS = [f"bits_{k}" for k in range(SIGNATURE)]
 
 
 def linked(overlap: str | Column, a: str = "a_n", b: str = "b_n") -> Column:
@@ -158,21 +163,37 @@ def shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         )
 
 
-def survivors(docs: DataFrame, text_col: str) -> DataFrame:
-    """key, n, grams (those in two sets or more, rarest first) of the sets of which
-    so many n-grams are shared that a link is possible: an overlap is at most the
-    number of shared n-grams, and a union at least the size of the set."""
-    blocks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    entries = column_blocks(docs, text_col, blocks).repartitionById(blocks, F.col("block"))
-    parts = entries.mapInArrow(shared_entries, SHARED)
+def survivors(docs: DataFrame, text_col: str, entries: int) -> DataFrame:
+    """key, n, grams (those in two sets or more, rarest first) and signature of the
+    sets of which so many n-grams are shared that a link is possible: an overlap is
+    at most the number of shared n-grams, and a union at least the size of the set.
+    ``entries`` of the matrix, or more, tell the number of blocks."""
+    blocks = max(1, -(-entries // BLOCK_ENTRIES))
+    matrix = column_blocks(docs, text_col, blocks).repartitionById(blocks, F.col("block"))
+    parts = matrix.mapInArrow(shared_entries, SHARED)
     whole = parts.groupBy("key", "n").agg(
         F.sum(F.size("grams")).alias("shared"),
         F.collect_list(F.arrays_zip("degrees", "grams")).alias("parts"),
     )
     rarest = F.array_sort(F.flatten("parts"))
-    return whole.filter(100 * F.col("shared") >= PERCENT * F.col("n")).select(
+    rows = whole.filter(100 * F.col("shared") >= PERCENT * F.col("n")).select(
         "key", "n", F.transform(rarest, lambda x: x["grams"]).alias("grams")
     )
+    kinds = ", ".join(f"{b} bigint" for b in BITS)
+    return rows.mapInArrow(signed, f"key binary, n bigint, grams array<bigint>, {kinds}")
+
+
+def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the signature of their n-grams: each turns over one of its bits."""
+    for batch in batches:
+        lists = batch.column("grams")
+        grams = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        bits = np.zeros((len(lists), SIGNATURE), np.uint64)
+        word = ((grams >> np.uint64(40)) % np.uint64(SIGNATURE)).astype(np.int64)
+        np.bitwise_xor.at(bits, (row, word), np.uint64(1) << ((grams >> np.uint64(32)) & np.uint64(63)))
+        bits = [pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(SIGNATURE)]
+        yield pa.RecordBatch.from_arrays([*batch.columns, *bits], ["key", "n", "grams", *BITS])
 
 
 def prefixes(rows: DataFrame) -> DataFrame:
@@ -187,6 +208,15 @@ def prefixes(rows: DataFrame) -> DataFrame:
     )
 
 
+def distinct_columns(entries: DataFrame) -> DataFrame:
+    """The entries of one column of all that hold the same sets (by 128 bits); the
+    others would only meet the same pairs again.  Columns of one set meet none."""
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), "key")).alias(f"x{k}") for k in (1, 2)]
+    columns = entries.groupBy("gram").agg(F.count("*").alias("sets"), *marks)
+    columns = columns.filter("sets > 1").groupBy("sets", "x1", "x2").agg(F.min("gram").alias("gram"))
+    return entries.join(columns.select("gram"), "gram", "left_semi")
+
+
 def overlapping(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     """The linked ones of distinct pairs (a_key, b_key, ...), by the sum of their
     products."""
@@ -204,58 +234,75 @@ def possible(a: str, b: str) -> Column:
     return linked(most, f"{a}_n", f"{b}_n")
 
 
-def side(entries: DataFrame, name: str) -> DataFrame:
-    return entries.select("gram", *[F.col(c).alias(f"{name}_{c}") for c in ("key", "n", "most", "label")])
+def signatures_allow(a: str, b: str) -> Column:
+    """Whether the signatures allow a link: where bits differ, one set has an n-gram
+    that the other lacks, so the overlap is at most half of what is left of the
+    shared n-grams of both after as many."""
+    differ = sum(F.bit_count(F.col(f"{a}_{x}").bitwiseXOR(F.col(f"{b}_{x}"))) for x in BITS)
+    most = F.floor((F.col(f"{a}_most") + F.col(f"{b}_most") - differ) / 2)
+    return linked(most, f"{a}_n", f"{b}_n")
+
+
+ENTRY = ["key", "n", "most", "label"]
+
+
+def side(entries: DataFrame, name: str, *more: str) -> DataFrame:
+    return entries.select("gram", *[F.col(c).alias(f"{name}_{c}") for c in (*ENTRY, *more)])
 
 
 def set_links(rows: DataFrame) -> DataFrame:
     """key, label: equal labels for sets that links connect; unlinked sets may be
     left out.
 
-    Some rounds look at one set per column (n-gram), its pivot, and link the others
-    to it; the linked ones take its label.  Sets of one label need no further
-    products.  After that all pairs of a column that are still apart are looked at,
-    so no link that matters is missed; pairs of sets already joined, which are nearly
-    all pairs of a large group, are never made.
+    In some rounds a few sets of each column (n-gram) are pivots that its others are
+    held against; the linked ones take a pivot's label.  Sets of one label need no
+    further products.  After that, in each column all sets outside its most frequent
+    label are held against all sets of other labels, so no link that matters is
+    missed; pairs within that label, which are nearly all pairs of a large group,
+    are never looked at.  Only pairs that the bounds of sizes and signatures allow
+    leave the join, and only of these the products are added up.
     """
-    entries = stored(prefixes(rows), "prefixes").withColumn("label", F.col("key"))
-    links = None
-    for turn in range(PIVOT_ROUNDS):
-        rank = F.struct(F.xxhash64("label", F.lit(turn)), "label", "key", "n", "most")
-        pivots = entries.groupBy("gram").agg(F.min(rank).alias("p")).select(
-            "gram", *[F.col(f"p.{c}").alias(f"b_{c}") for c in ("key", "n", "most", "label")]
-        )
-        apart = F.col("a_label") != F.col("b_label")
+    entries = cut(distinct_columns(stored(prefixes(rows), "prefixes")))
+    entries = entries.withColumn("label", F.col("key"))
+    apart = F.col("a_label") != F.col("b_label")
+    links = []
+    for turn in range(ROUNDS):
+        ranks = [
+            F.min(F.struct(F.xxhash64("label", "key", F.lit(turn * PIVOTS + k)), *ENTRY)).alias(f"p{k}")
+            for k in range(PIVOTS)
+        ]
+        few = F.explode(F.array_distinct(F.array(*[
+            F.struct(*[F.col(f"p{k}.{c}") for c in ENTRY]) for k in range(PIVOTS)
+        ])))
+        pivots = entries.groupBy("gram").agg(*ranks).select("gram", few.alias("p"))
+        pivots = pivots.select("gram", *[F.col(f"p.{c}").alias(f"b_{c}") for c in ENTRY])
         pairs = side(entries, "a").join(pivots, "gram").filter(apart & possible("a", "b"))
-        columns = ["a_key", "a_label", "b_key", "b_label"]
-        new = cut(overlapping(pairs.select(*columns).distinct(), rows))
-        if new.isEmpty():
-            break
-        links = new if links is None else links.unionByName(new)
-        # labels that a link joins, of which each goes over to one: a label is always
-        # the key of a set that links connect
-        moved = new.groupBy(F.col("a_label").alias("label")).agg(F.min("b_label").alias("to"))
+        new = cut(overlapping(pairs.select("a_key", "a_label", "b_key", "b_label").distinct(), rows))
+        links.append(new.select("a_key", "b_key"))
+        # Labels that links join become one: a label is always the key of a set that
+        # links connect to those that bear it.
+        joined = new.select(F.col("a_label").alias("a"), F.col("b_label").alias("b"))
+        moved = smallest_reachable(joined).select(F.col("node").alias("label"), "root")
         entries = cut(
             entries.join(moved, "label", "left").select(
-                "gram", "key", "n", "most", F.coalesce("to", "label").alias("label")
+                "gram", "key", "n", "most", F.coalesce("root", "label").alias("label")
             )
         )
-    spread = entries.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    spread = spread.filter("low < high").select("gram")
-    entries = cut(entries.join(spread, "gram", "left_semi"))
-    present = entries.select("gram", "label").distinct()
-    apart = present.select("gram", F.col("label").alias("a_label")).join(
-        present.select("gram", F.col("label").alias("b_label")), "gram"
-    ).filter("a_label < b_label")
-    pairs = (
-        apart.join(side(entries, "a"), ["gram", "a_label"])
-        .join(side(entries, "b"), ["gram", "b_label"])
-        .filter(possible("a", "b"))
+    sizes = entries.groupBy("gram", "label").agg(F.count("*").alias("sets"))
+    frequent = F.max_by("label", F.struct("sets", "label")).alias("frequent")
+    columns = sizes.groupBy("gram").agg(F.count("*").alias("labels"), frequent)
+    entries = entries.join(columns.filter("labels > 1").select("gram", "frequent"), "gram")
+    entries = cut(entries.join(rows.select("key", *BITS), "key"))
+    others = side(entries.filter("label <> frequent"), "a", *BITS)
+    bounds = apart & possible("a", "b") & signatures_allow("a", "b")
+    pairs = others.join(side(entries, "b", *BITS), "gram").filter(bounds)
+    pairs = pairs.select(
+        F.least("a_key", "b_key").alias("a_key"), F.greatest("a_key", "b_key").alias("b_key")
     )
-    new = overlapping(pairs.select("a_key", "a_label", "b_key", "b_label").distinct(), rows)
-    links = new if links is None else links.unionByName(new)
-    links = links.select(F.col("a_key").alias("a"), F.col("b_key").alias("b"))
-    return smallest_reachable(links).select(F.col("node").alias("key"), F.col("root").alias("label"))
+    links.append(overlapping(pairs.distinct(), rows))
+    every = reduce(DataFrame.unionByName, links)
+    found = smallest_reachable(every.select(F.col("a_key").alias("a"), F.col("b_key").alias("b")))
+    return found.select(F.col("node").alias("key"), F.col("root").alias("label"))
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -272,12 +319,12 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Shingles are 64-bit hashes and sets are named by 96 bits.  Equal sets are one
     row of the matrix, however many documents have them.  The text is read twice,
-    and of the matrix only the blocks are shuffled (8 bytes an entry and some 16 per
-    document and block); the number of blocks is spark.sql.shuffle.partitions, so
-    it sets what a task holds.
+    and of the matrix only the blocks are shuffled (8 bytes an entry and some 20 per
+    document and block); there are as many blocks as BLOCK_ENTRIES asks for.
     """
     named = stored(sets(docs, id_col, text_col), "sets")
-    rows = stored(survivors(docs, text_col), "survivors")
+    entries = named.agg(F.sum("n")).collect()[0][0] or 0
+    rows = stored(survivors(docs, text_col, entries), "survivors")
     labels = set_links(rows)
     firsts = named.filter("n > 0").groupBy("key").agg(F.min("_id").alias("first"))
     firsts = firsts.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
@@ -292,10 +339,13 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def without_similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Of each group the documents of the smallest id, with all their columns."""
-    groups = similar_groups(docs, id_col, text_col)
-    keep = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(
-        F.col(id_col).alias("_keep")
-    )
-    keep = stored(keep.distinct(), "keep")
-    return docs.join(keep, docs[id_col].eqNullSafe(keep["_keep"]), "left_semi")
+    """Of each group the documents of the smallest id, with all their columns.
+
+    Rows without an id stay, as do all rows of an id that one of them keeps.  The ids
+    that go are far fewer than those that stay; Spark broadcasts them if their table
+    is small enough, and joins by shuffle if not."""
+    groups = similar_groups(docs, id_col, text_col).filter(F.col(id_col).isNotNull())
+    stays = F.bool_or(F.col(id_col) == F.col("component_id")).alias("_stays")
+    gone = groups.groupBy(F.col(id_col).alias("_gone")).agg(stays).filter("NOT _stays")
+    gone = stored(gone.select("_gone"), "gone")
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
