@@ -14,7 +14,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapeline.llm.common import cut, stored
@@ -110,56 +110,112 @@ def by_block(keys: list[bytes], grams: list[np.ndarray], blocks: int) -> pa.Reco
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
 
 
-SHARED = "key binary, n bigint, grams array<bigint>, degrees array<int>"
+SHARED = PIECE + ", degrees binary"
+SURVIVORS = "key binary, n bigint, grams array<bigint>, " + ", ".join(f"{b} bigint" for b in BITS)
 
 
-def shared_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one or more whole blocks the entries in columns of two sets or more, by
-    set, with the number of sets in the column."""
-    names = ("keys", "sizes", "counts", "grams")
-    parts: dict[str, list] = {n: [] for n in names}
+def read_all(batches: Iterator[pa.RecordBatch], names: list[str]) -> dict[str, bytes]:
+    """The pieces of one or more whole blocks, put together."""
+    parts: dict[str, list[bytes]] = {n: [] for n in names}
     for batch in batches:
         for n in names:
             parts[n].extend(x.as_py() for x in batch.column(n))
-    if not parts["keys"]:
-        return
-    keys = pa.array(np.frombuffer(b"".join(parts["keys"]), "V12").tolist(), pa.binary())
-    sizes = np.frombuffer(b"".join(parts["sizes"]), np.uint32)
-    counts = np.frombuffer(b"".join(parts["counts"]), np.uint32).astype(np.int64)
-    # Two tasks may have sent one set; a block of it then comes twice, whole.  A set
-    # may also have runs in several blocks of this task, which stay apart.
-    grams = np.frombuffer(b"".join(parts.pop("grams")), np.uint64)
-    starts = np.cumsum(counts) - counts
+    return {n: b"".join(parts.pop(n)) for n in names}
+
+
+def runs(pieces: dict[str, bytes]) -> tuple:
+    """Key, number of the key, size of the set and number of entries of each run."""
+    keys = pa.array(np.frombuffer(pieces["keys"], "V12").tolist(), pa.binary())
     code = keys.dictionary_encode().indices.to_numpy(zero_copy_only=False)
-    run_order = np.lexsort((grams[starts], code))
-    new = np.append(True, (np.diff(code[run_order]) != 0) | (np.diff(grams[starts][run_order]) != 0))
-    first = np.zeros(len(code), bool)
-    first[run_order[new]] = True
-    grams = grams[np.repeat(first, counts)]
-    keys, sizes, counts = keys.filter(pa.array(first)), sizes[first], counts[first]
-    order = np.argsort(grams, kind="stable")
-    ordered = grams[order]
-    edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-    width = np.diff(np.append(edges, len(ordered)))
-    degree = np.empty(len(grams), np.int32)
-    degree[order] = np.repeat(width, width)
-    many = degree > 1
-    run = np.repeat(np.arange(len(counts)), counts)[many]
-    counts = np.bincount(run, minlength=len(counts))
-    grams, degree = grams[many].view(np.int64), degree[many]
-    rows = np.flatnonzero(counts)
-    offsets = np.append(0, np.cumsum(counts[rows]))
+    counts = np.frombuffer(pieces["counts"], np.uint32).astype(np.int64)
+    return keys, code, np.frombuffer(pieces["sizes"], np.uint32), counts
+
+
+def shared_entries(blocks: int):
+    """Of blocks of columns the entries in columns of two sets or more, with the
+    number of sets in the column, dealt out to as many blocks of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = read_all(batches, ["keys", "sizes", "counts", "grams"])
+        if not pieces["keys"]:
+            return
+        keys, code, sizes, counts = runs(pieces)
+        grams = np.frombuffer(pieces.pop("grams"), np.uint64)
+        # Two tasks may have sent one set; a block of it then comes twice, whole.  A
+        # set may also have runs in several blocks of this task, which stay apart.
+        start = grams[np.cumsum(counts) - counts]
+        order = np.lexsort((start, code))
+        new = np.append(True, (np.diff(code[order]) != 0) | (start[order][1:] != start[order][:-1]))
+        first = np.zeros(len(code), bool)
+        first[order[new]] = True
+        grams = grams[np.repeat(first, counts)]
+        keys, sizes, counts = keys.filter(pa.array(first)), sizes[first], counts[first]
+        order = np.argsort(grams, kind="stable")
+        ordered = grams[order]
+        edges = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+        width = np.diff(np.append(edges, len(ordered)))
+        degree = np.empty(len(grams), np.int32)
+        degree[order] = np.repeat(width, width)
+        many = degree > 1
+        row = np.repeat(np.arange(len(counts)), counts)[many]
+        grams, degree = grams[many], degree[many]
+        name = np.frombuffer(b"".join(keys.to_pylist()), np.uint32).reshape(-1, 3)[:, 0]
+        block = (name % np.uint32(blocks)).astype(np.int64)
+        order = np.argsort(block[row], kind="stable")
+        row, grams, degree = row[order], grams[order], degree[order]
+        edges = np.searchsorted(block[row], np.arange(blocks + 1))
+        for b in np.flatnonzero(np.diff(edges)).tolist():
+            part = slice(edges[b], edges[b + 1])
+            rows, n = np.unique(row[part], return_counts=True)
+            piece = {
+                "block": b,
+                "keys": b"".join(keys.take(pa.array(rows)).to_pylist()),
+                "sizes": sizes[rows].tobytes(),
+                "counts": n.astype(np.uint32).tobytes(),
+                "grams": grams[part].tobytes(),
+                "degrees": degree[part].tobytes(),
+            }
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], pa.int32() if k == "block" else pa.binary()) for k, v in piece.items()],
+                list(piece),
+            )
+
+    return run
+
+
+def whole_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of blocks of rows the sets that a link is possible for, with their shared
+    n-grams, rarest first, and signature: each n-gram turns over one of its bits."""
+    pieces = read_all(batches, ["keys", "sizes", "counts", "grams", "degrees"])
+    if not pieces["keys"]:
+        return
+    keys, code, sizes, counts = runs(pieces)
+    number = int(code.max()) + 1
+    n = np.zeros(number, np.int64)
+    n[code] = sizes
+    shared = np.bincount(code, counts, number).astype(np.int64)
+    good = 100 * shared >= PERCENT * n
+    row = np.repeat(code, counts)
+    keep = good[row]
+    grams = np.frombuffer(pieces["grams"], np.uint64)[keep]
+    degree = np.frombuffer(pieces["degrees"], np.int32)[keep]
+    row = row[keep]
+    order = np.lexsort((grams.view(np.int64), degree, row))
+    grams, row = grams[order], row[order]
+    bits = np.zeros((number, SIGNATURE), np.uint64)
+    word = ((grams >> np.uint64(40)) % np.uint64(SIGNATURE)).astype(np.int64)
+    np.bitwise_xor.at(bits, (row, word), np.uint64(1) << ((grams >> np.uint64(32)) & np.uint64(63)))
+    names = keys.dictionary_encode().dictionary
+    rows = np.flatnonzero(good)
+    edges = np.searchsorted(row, np.append(rows, number))
     for i in range(0, len(rows), 10_000):
-        part, edge = rows[i : i + 10_000], offsets[i : i + 10_001]
+        part, edge = rows[i : i + 10_000], edges[i : i + 10_001]
         at = pa.array((edge - edge[0]).astype(np.int32))
+        lists = pa.ListArray.from_arrays(at, pa.array(grams[edge[0] : edge[-1]].view(np.int64)))
+        signs = [pa.array(np.ascontiguousarray(bits[part, k]).view(np.int64)) for k in range(SIGNATURE)]
         yield pa.RecordBatch.from_arrays(
-            [
-                keys.take(pa.array(part)),
-                pa.array(sizes[part].astype(np.int64)),
-                pa.ListArray.from_arrays(at, pa.array(grams[edge[0] : edge[-1]])),
-                pa.ListArray.from_arrays(at, pa.array(degree[edge[0] : edge[-1]])),
-            ],
-            ["key", "n", "grams", "degrees"],
+            [names.take(pa.array(part)), pa.array(n[part]), lists, *signs],
+            ["key", "n", "grams", *BITS],
         )
 
 
@@ -169,52 +225,39 @@ def survivors(docs: DataFrame, text_col: str, entries: int) -> DataFrame:
     at most the number of shared n-grams, and a union at least the size of the set.
     ``entries`` of the matrix, or more, tell the number of blocks."""
     blocks = max(1, -(-entries // BLOCK_ENTRIES))
-    matrix = column_blocks(docs, text_col, blocks).repartitionById(blocks, F.col("block"))
-    parts = matrix.mapInArrow(shared_entries, SHARED)
-    whole = parts.groupBy("key", "n").agg(
-        F.sum(F.size("grams")).alias("shared"),
-        F.collect_list(F.arrays_zip("degrees", "grams")).alias("parts"),
-    )
-    rarest = F.array_sort(F.flatten("parts"))
-    rows = whole.filter(100 * F.col("shared") >= PERCENT * F.col("n")).select(
-        "key", "n", F.transform(rarest, lambda x: x["grams"]).alias("grams")
-    )
-    kinds = ", ".join(f"{b} bigint" for b in BITS)
-    return rows.mapInArrow(signed, f"key binary, n bigint, grams array<bigint>, {kinds}")
-
-
-def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the signature of their n-grams: each turns over one of its bits."""
-    for batch in batches:
-        lists = batch.column("grams")
-        grams = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-        row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        bits = np.zeros((len(lists), SIGNATURE), np.uint64)
-        word = ((grams >> np.uint64(40)) % np.uint64(SIGNATURE)).astype(np.int64)
-        np.bitwise_xor.at(bits, (row, word), np.uint64(1) << ((grams >> np.uint64(32)) & np.uint64(63)))
-        bits = [pa.array(np.ascontiguousarray(bits[:, k]).view(np.int64)) for k in range(SIGNATURE)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *bits], ["key", "n", "grams", *BITS])
+    columns = column_blocks(docs, text_col, blocks).repartitionById(blocks, F.col("block"))
+    rows = columns.mapInArrow(shared_entries(blocks), SHARED)
+    return rows.repartitionById(blocks, F.col("block")).mapInArrow(whole_rows, SURVIVORS)
 
 
 def prefixes(rows: DataFrame) -> DataFrame:
-    """gram, key, n, most: the rarest n-grams of a set, so many that two linked sets
-    have one in common.  Of any n - ceil(3n/4) + 1 n-grams of a set a linked one has
-    at least one; the unshared ones come first in this order and meet nothing."""
-    total = F.size("grams")
-    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - (F.col("n") - total)
-    few = F.slice("grams", 1, length.cast("int"))
-    return rows.select(
-        F.explode(few).alias("gram"), "key", "n", total.cast("bigint").alias("most")
-    )
+    """gram, key, n, most, early: the rarest n-grams of a set, so many that the first
+    one that two linked sets have in common, in this order, is among those of both.
+
+    A linked set has three quarters of a set's n-grams or more, so their first common
+    one is among any n - ceil(3n/4) + 1; and six sevenths of those of the smaller set,
+    so there it is among n - ceil(6n/7) + 1: it is early.  The unshared n-grams come
+    first and meet nothing."""
+    most = F.size("grams").cast("bigint")
+    unshared = F.col("n") - most
+    length = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1 - unshared
+    first = F.col("n") - F.ceil(F.col("n") * 2 * PERCENT / (100 + PERCENT)) + 1 - unshared
+    few = F.posexplode(F.slice("grams", 1, length.cast("int"))).alias("place", "gram")
+    found = rows.select("key", "n", most.alias("most"), first.alias("first"), few)
+    return found.select("gram", "key", "n", "most", (F.col("place") < F.col("first")).alias("early"))
 
 
 def distinct_columns(entries: DataFrame) -> DataFrame:
-    """The entries of one column of all that hold the same sets (by 128 bits); the
-    others would only meet the same pairs again.  Columns of one set meet none."""
+    """The entries of columns that hold the same sets (by 128 bits) as those of one
+    of them, early if they are in any; the others would only meet the same pairs
+    again.  Columns of one set meet none."""
     marks = [F.bit_xor(F.xxhash64(F.lit(k), "key")).alias(f"x{k}") for k in (1, 2)]
-    columns = entries.groupBy("gram").agg(F.count("*").alias("sets"), *marks)
-    columns = columns.filter("sets > 1").groupBy("sets", "x1", "x2").agg(F.min("gram").alias("gram"))
-    return entries.join(columns.select("gram"), "gram", "left_semi")
+    columns = entries.groupBy("gram").agg(F.count("*").alias("sets"), *marks).filter("sets > 1")
+    columns = columns.withColumn("as", F.min("gram").over(Window.partitionBy("sets", "x1", "x2")))
+    named = entries.join(columns.select("gram", "as"), "gram")
+    return named.groupBy(F.col("as").alias("gram"), "key", "n", "most").agg(
+        F.bool_or("early").alias("early")
+    )
 
 
 def overlapping(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -246,6 +289,12 @@ def signatures_allow(a: str, b: str) -> Column:
 ENTRY = ["key", "n", "most", "label"]
 
 
+def first_common(a: str, b: str) -> Column:
+    """Whether the column can be the first common one of two linked sets."""
+    n, m = F.col(f"{a}_n"), F.col(f"{b}_n")
+    return ((n > m) | F.col(f"{a}_early")) & ((m > n) | F.col(f"{b}_early"))
+
+
 def side(entries: DataFrame, name: str, *more: str) -> DataFrame:
     return entries.select("gram", *[F.col(c).alias(f"{name}_{c}") for c in (*ENTRY, *more)])
 
@@ -285,7 +334,7 @@ def set_links(rows: DataFrame) -> DataFrame:
         moved = smallest_reachable(joined).select(F.col("node").alias("label"), "root")
         entries = cut(
             entries.join(moved, "label", "left").select(
-                "gram", "key", "n", "most", F.coalesce("root", "label").alias("label")
+                "gram", "key", "n", "most", "early", F.coalesce("root", "label").alias("label")
             )
         )
     sizes = entries.groupBy("gram", "label").agg(F.count("*").alias("sets"))
@@ -293,9 +342,9 @@ def set_links(rows: DataFrame) -> DataFrame:
     columns = sizes.groupBy("gram").agg(F.count("*").alias("labels"), frequent)
     entries = entries.join(columns.filter("labels > 1").select("gram", "frequent"), "gram")
     entries = cut(entries.join(rows.select("key", *BITS), "key"))
-    others = side(entries.filter("label <> frequent"), "a", *BITS)
-    bounds = apart & possible("a", "b") & signatures_allow("a", "b")
-    pairs = others.join(side(entries, "b", *BITS), "gram").filter(bounds)
+    others = side(entries.filter("label <> frequent"), "a", "early", *BITS)
+    bounds = apart & first_common("a", "b") & possible("a", "b") & signatures_allow("a", "b")
+    pairs = others.join(side(entries, "b", "early", *BITS), "gram").filter(bounds)
     pairs = pairs.select(
         F.least("a_key", "b_key").alias("a_key"), F.greatest("a_key", "b_key").alias("b_key")
     )
