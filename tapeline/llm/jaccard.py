@@ -23,7 +23,7 @@ from tapeline.llm.shingles import set_key, sets_of
 
 PERCENT = 75  # least share of the common n-grams in all n-grams of a pair
 FLUSH = 500_000  # entries that a task gathers before it sends them to the blocks
-BLOCK_ENTRIES = 4_000_000  # entries of a block of columns, some 200 MB while it is read
+BLOCK_ENTRIES = 2_000_000  # entries of a block of columns, some 150 MB while it is read
 PIVOTS = 4  # sets of a column that the others are held against in a round
 ROUNDS = 2
 SIGNATURE = 8  # words of 64 bits
