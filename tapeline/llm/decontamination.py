@@ -3,7 +3,7 @@
 A seed is a fixed mask over a few neighbouring words.  Only the words under its
 ones are hashed, so a changed word under a zero does not hide a passage.  Equal
 hashes of test and training text are hits; around each hit the two texts are laid
-over each other word by word, and the best stretch decides.
+over each other word by word, and any stretch that is equal enough is a leak.
 """
 
 from __future__ import annotations
@@ -110,10 +110,33 @@ def best_stretch(equal: np.ndarray) -> tuple[int, int, int]:
     return start, end - start, int(equal[start:end].sum())
 
 
-def enough(length: int, equal: int, item_words: int) -> bool:
-    """Whether a stretch is a leak."""
-    least = MIN_WORDS if item_words >= MIN_WORDS else -(-9 * item_words // 10)
-    return length >= least and equal >= IDENTITY * length
+def least_words(item_words: int) -> int:
+    """Of a stretch that is a leak of an item of so many words."""
+    return MIN_WORDS if item_words >= MIN_WORDS else -(-9 * item_words // 10)
+
+
+def leak_in(equal: np.ndarray, least: int) -> tuple[int, int, int] | None:
+    """Start, length and equal words of a stretch of at least so many words of which
+    three quarters are equal, if there is any: the best stretch if it is one, else the
+    one with the most equal words less three times the unequal ones; the shortest of
+    equals, then the first."""
+    if len(equal) < least:
+        return None
+    start, n, same = best_stretch(equal)
+    if n >= least and same >= IDENTITY * n:
+        return start, n, same
+    # a stretch has its share of equal words if its sum is not below 0
+    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, IDENTITY / (IDENTITY - 1)))])
+    starts = total[: len(total) - least]
+    lowest = np.minimum.accumulate(starts)
+    gain = total[least:] - lowest
+    if gain.max() < 0:
+        return None
+    last = np.maximum.accumulate(np.where(starts == lowest, np.arange(len(starts)), 0))
+    ends = np.flatnonzero(gain == gain.max())
+    end = int(ends[np.argmin(ends - last[ends])])
+    start, end = int(last[end]), end + least
+    return start, end - start, int(equal[start:end].sum())
 
 
 def found(words: np.ndarray, starts: np.ndarray, seeds: Seeds) -> Iterator[tuple]:
@@ -149,8 +172,9 @@ def found(words: np.ndarray, starts: np.ndarray, seeds: Seeds) -> Iterator[tuple
                 seen.add((item, lies, doc))
                 first = int(seeds.starts[item])
                 mine = seeds.flat[first + low - lies : first + high - lies]
-                start, n, equal = best_stretch(words[low:high] == mine)
-                if n and enough(n, equal, length):
+                leak = leak_in(words[low:high] == mine, least_words(length))
+                if leak:
+                    start, n, equal = leak
                     hit = (equal, -n, -(low + start), low + start - lies)
                     best[doc, item] = max(best.get((doc, item), hit), hit)
             doc += 1
@@ -170,10 +194,12 @@ def leaks(
     and equal_words.
 
     The item is laid over the document word by word, case and punctuation apart,
-    where a seed hits; of each way to lay it the stretch with the most equal less
-    unequal words is taken.  It is a leak if it has 10 words or more (nine tenths of
-    a shorter item) and three quarters of them are equal.  Of several in a document
-    the one with the most equal words is given, then the shortest, then the first.
+    where a seed hits.  It is a leak if any stretch of 10 words or more (nine tenths of
+    a shorter item) has three quarters equal words, changed ones at its edges counted.
+    Of each way to lay it the stretch with the most equal less unequal words is given
+    if it is such a stretch, else the one with the most equal words less three times
+    the unequal ones; of several in a document the one with the most equal words, then
+    the shortest, then the first.
     Any passage of 10 words with at most two changed is hit.
 
     Null and empty texts hold nothing and are held by nothing.  Repeated rows of

@@ -99,3 +99,41 @@ def test_whole_table(spark, sf_dir):
     have = {(d, i) for d, t in docs for i, p in items if b" ".join(D.words_of(p)) in b" ".join(D.words_of(t))}
     assert have <= {g[:2] for g in got}
     assert all(n >= 0.75 * words >= 7.5 for *_, words, n in got)
+
+
+def any_stretch(equal, least):
+    """Whether some stretch is a leak, by trying all."""
+    n = len(equal)
+    return any(4 * sum(equal[i:j]) >= 3 * (j - i) for i in range(n) for j in range(i + least, n + 1))
+
+
+def test_any_stretch_of_an_alignment_is_a_leak():
+    rng = random.Random(3)
+    found = 0
+    for _ in range(3000):
+        equal = [rng.random() < rng.choice((0.5, 0.7, 0.8)) for _ in range(rng.randrange(1, 40))]
+        least = rng.choice((3, 7, 10))
+        leak = D.leak_in(D.np.array(equal), least)
+        assert (leak is not None) == any_stretch(equal, least)
+        if leak:
+            start, n, same = leak
+            assert same == sum(equal[start : start + n]) and n >= least and 4 * same >= 3 * n
+            found += 1
+    assert 500 < found < 2500
+
+
+def test_more_of_an_item_hides_no_leak(spark):
+    words = lambda name, n: [f"{name}{k}" for k in range(n)]
+    items = [words("a", 33), words("b", 230), *(words(f"c{k}x", 10) for k in range(4))]
+    texts = [
+        items[0][:12] + words("x", 10) + items[0][22:],
+        items[1][:100] + words("y", 60) + items[1][160:],
+    ]
+    for k, at in enumerate((0, 1, 8, 9)):
+        texts.append(words("p", 5) + items[k + 2][:at] + ["changed"] + items[k + 2][at + 1 :] + words("q", 5))
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.words, r.equal_words) for r in D.leaks(df, bench).collect()}
+    assert set(got) == {(k, k) for k in range(6)}
+    assert [got[k, k] for k in range(2, 6)] == [(10, 9)] * 4
+    assert D.without_leaks(df, bench).count() == 0
