@@ -232,6 +232,13 @@ def test_training_helps_and_odd_texts_have_a_score(spark, sf_dir):
     assert lm.train(odd.limit(0)).words.words.size == 0
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 13, 700])
+def test_every_token_is_predicted_once(n):
+    place = np.arange(n) + lm.SIDE
+    seen = np.concatenate([lm.targets(place, turn) for turn in range(lm.ROUNDS)])
+    assert sorted(seen.tolist()) == place.tolist()
+
+
 def test_scores_of_the_whole_table(spark, sf_dir):
     rows = registry.QUERIES["op4_pseudo_likelihood"](spark, sf_dir).collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
