@@ -12,6 +12,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -51,11 +52,12 @@ NAMES = frozenset(
 COMMON = frozenset("a and any at by for from if in is it may of or that the this to was with you".split())
 
 #: A candidate holds one of these words.
-TRIGGER = r"(?i)licen[cs]e|sublicense|redistribut|permission is hereby|waived all copyright"
+TRIGGER = r"(?i)licen[cs]e|sublicense|redistribut|permission[\W_]+is[\W_]+hereby|waived[\W_]+all[\W_]+copyright"
 WORD = re.compile(r"[^\W_]+")
+#: Blanks, line ends and signs between them (of a comment, say): one blank to the compressor.
+GAP = re.compile(r"\s+(?:[^\w\s]+\s+)*")
 DROP = 4  # a block grows until its score is so far below its best
 MARGIN = 3  # words around it that are looked at, too
-RANKED = 3  # templates that are looked at word by word, best first
 LEAST_SAVED = 0.25  # part of its own or the block's compressed size that a template must save
 MOST_CHANGED = 0.25  # words missing or added, of the template's words
 
@@ -71,12 +73,18 @@ def prepared(templates: tuple) -> tuple:
     words together."""
     out = []
     for name, text in templates:
-        words = zstandard.ZstdCompressionDict(text.lower().encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        size = len(packer().compress(text.lower().encode()))
+        raw = packed(text)
+        words = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        size = len(packer().compress(raw))
         out.append((name, packer(words), size, [w.lower() for w in WORD.findall(text)]))
     return out, frozenset(w for *_, words in out for w in words)
 
 
+def packed(text: str) -> bytes:
+    """What the compressor is given of a text."""
+    return GAP.sub(" ", text.lower()).encode("utf-8", "replace")
+
+
 def packer(words: zstandard.ZstdCompressionDict | None = None) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(level=19, dict_data=words, write_content_size=False, write_dict_id=False)
 
@@ -116,22 +124,25 @@ def candidates(text: str, known: frozenset) -> list[tuple[int, int]]:
 
 
 def differences(block: list[str], template: list[str]) -> tuple[list[str], list[str], int, int]:
-    """Words to add to the block and to take from it to get the template: those
-    outside a longest common subsequence.  Words of the block before the first and
-    after the last common one are its surroundings and no difference; the stretch
-    between is given, too."""
-    rows = [[0] * (len(template) + 1)]
+    """Words to add to a stretch of the block and to take from it to get the template:
+    of all stretches and common subsequences with the fewest such words the one with
+    the most common words, the last of equals.  Words of the block around the stretch
+    are no difference; where it lies is given, too."""
+    n = len(template)
+    # the words in common less those added, and of equals more words in common
+    rows = [[0] * (n + 1)]
     for b in block:
         last, row = rows[-1], [0]
         for j, t in enumerate(template):
-            row.append(last[j] + 1 if b == t else max(last[j + 1], row[j]))
+            row.append(max(last[j] + 1001 if b == t else 0, last[j + 1] - 1000, row[j]))
         rows.append(row)
-    i, j, missing, common = len(block), len(template), [], []
-    while i and j:
-        if block[i - 1] == template[j - 1]:
+    i = max(range(len(rows)), key=lambda k: (rows[k][n], k))
+    j, missing, common = n, [], []
+    while rows[i][j] > 0:
+        if block[i - 1] == template[j - 1] and rows[i][j] == rows[i - 1][j - 1] + 1001:
             i, j = i - 1, j - 1
             common.append(i)
-        elif rows[i][j - 1] >= rows[i - 1][j]:
+        elif rows[i][j] == rows[i][j - 1]:
             j -= 1
             missing.append(template[j])
         else:
@@ -146,33 +157,76 @@ def differences(block: list[str], template: list[str]) -> tuple[list[str], list[
 
 def judged(block: str, templates: tuple) -> tuple:
     """(start, stop, license, number of the template, own size, size given the
-    template, missing, added, confirmed) of a block; of the best ranked template if
-    none is confirmed.  The start and stop leave out words around the notice."""
+    template, missing, added, confirmed) of a block, of the best ranked template that
+    is confirmed, or of the best ranked one if none is.  The start and stop leave out
+    words around the notice."""
     ready, _ = prepared(templates)
-    raw = block.lower().encode("utf-8", "replace")
+    raw = packed(block)
     alone = len(packer().compress(raw))
     sizes = sorted((len(pack.compress(raw)), k) for k, (_, pack, *_) in enumerate(ready))
     places = [(m.start(), m.end(), m[0].lower()) for m in WORD.finditer(block)]
     words = [w for _, _, w in places]
     best = None
-    for size, k in sizes[:RANKED]:
+    for size, k in sizes:
         name, _, own, wanted = ready[k]
         saved = alone - size >= LEAST_SAVED * min(alone, own)
         if best and not saved:
-            break
-        at = around(words, wanted) if len(words) > 2 * len(wanted) + 20 else 0
-        near = words[at : at + 2 * len(wanted) + 20]
-        missing, added, first, last = differences(near, wanted)
-        few = len(missing) + len(added) <= MOST_CHANGED * len(wanted)
-        good = saved and few and not NAMES & {*missing, *added}
-        start, stop = (places[at + first][0], places[at + last - 1][1]) if last else (0, len(block))
-        found = (start, stop, name, k, alone, size, missing, added, good)
-        if good:
-            return found
-        best = best or found
+            continue
+        for at, end in stretches(words, wanted):
+            missing, added, first, last = differences(words[at:end], wanted)
+            few = len(missing) + len(added) <= MOST_CHANGED * len(wanted)
+            good = saved and few and not NAMES & {*missing, *added}
+            start, stop = (places[at + first][0], places[at + last - 1][1]) if last else (0, len(block))
+            found = (start, stop, name, k, alone, size, missing, added, good)
+            if good:
+                return found
+            best = best or found
     return best
 
 
+def verdicts(block: str, templates: tuple) -> list[tuple]:
+    """As judged, of all notices of a block: what lies before and after a confirmed
+    one is judged again, until none is confirmed.  One row if none is at all."""
+    whole = judged(block, templates)
+    if not whole[-1]:
+        return [whole]
+    out, parts = [], [(0, len(block), whole)]
+    while parts:
+        low, high, (start, stop, *rest) = parts.pop()
+        start, stop = low + start, low + stop
+        out.append((start, stop, *rest))
+        for a, b in ((low, start), (stop, high)):
+            if re.search(TRIGGER, block[a:b]):
+                found = judged(block[a:b], templates)
+                if found[-1]:
+                    parts.append((a, b, found))
+    return sorted(out)
+
+
+def stretches(words: list[str], wanted: list[str]) -> list[tuple[int, int]]:
+    """Parts of a block in which a notice can be confirmed: all that have enough of
+    the template's words close together, and the whole of a short block.  If there are
+    none, the part with most of the words."""
+    n = len(wanted)
+    if len(words) <= 2 * n + 20:
+        return [(0, len(words))]
+    known = set(wanted)
+    total = np.cumsum([0, *(w in known for w in words)])
+    changed = int(MOST_CHANGED * n)
+    ends = np.minimum(np.arange(len(words)) + n + changed, len(words))
+    starts = np.flatnonzero(total[ends] - total[:-1] >= n - changed)
+    if not len(starts):
+        at = around(words, wanted)
+        return [(at, at + 2 * n + 20)]
+    out: list[tuple[int, int]] = []
+    for start in starts.tolist():
+        if out and start <= out[-1][1]:
+            out[-1] = (out[-1][0], int(ends[start]))
+        else:
+            out.append((start, int(ends[start])))
+    return out
+
+
 def around(words: list[str], wanted: list[str]) -> int:
     """Where the stretch of a long block, as long as the template, with most of its
     words begins; some words earlier."""
@@ -194,7 +248,7 @@ def notices(
     text_col: str = "text",
     templates: tuple = TEMPLATES,
 ) -> DataFrame:
-    """One row per candidate block: the id, block (number in the document), start and
+    """One row per confirmed notice of a candidate block, or per block without one: the id, block (number in the document), start and
     stop (characters), the license and number of the template that fits best, the
     block's compressed size alone and given the template, the words missing from
     the block and added to it, and whether the notice is confirmed.
@@ -221,9 +275,9 @@ def notices(
             for r, text in enumerate(batch.column(1)):
                 text = text.as_py()
                 for k, (start, stop) in enumerate(candidates(text, known)):
-                    rows.append(r)
-                    first, last, *rest = judged(text[start:stop], templates)
-                    found.append((k, start + first, start + last, *rest))
+                    for first, last, *rest in verdicts(text[start:stop], templates):
+                        rows.append(r)
+                        found.append((k, start + first, start + last, *rest))
             columns = [pa.array([f[i] for f in found], kinds[i]) for i in range(len(kinds))]
             ids = batch.column(0).take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *columns], names)

@@ -66,3 +66,41 @@ def test_whole_table(spark, sf_dir):
     texts = {d.doc_id: d.text for d in docs}
     for r in got:
         assert re.search(licenses.TRIGGER, texts[r.doc_id][r.start : r.stop])
+
+
+def found_in(text):
+    known = licenses.prepared(licenses.TEMPLATES)[1]
+    spans = licenses.candidates(text, known)
+    hits = [(a, h) for a, b in spans for h in licenses.verdicts(text[a:b], licenses.TEMPLATES)]
+    return [(h[2], text[a + h[0] : a + h[1]]) for a, h in hits if h[-1]]
+
+
+@pytest.mark.parametrize("one, first", KNOWN)
+@pytest.mark.parametrize("other, second", KNOWN)
+def test_neighbouring_notices_are_all_found(one, first, other, second):
+    assert [h[0] for h in found_in(f"Code: {one} Docs: {other}")] == [first, second]
+    assert [h[0] for h in found_in(f"{one}\n{other}\n{one}")] == [first, second, first]
+
+
+def test_all_notices_of_a_header_are_found():
+    texts = dict(licenses.TEMPLATES)
+    names = ["Apache-2.0", "MIT", "GPL-3.0", "CC-BY-SA-4.0", "CC0-1.0"]
+    assert [h[0] for h in found_in("\n".join(texts[n] for n in names))] == names
+    assert found_in("Released under the MIT License. You need a driving license.") == [
+        ("MIT", "Released under the MIT License")
+    ]
+
+
+@pytest.mark.parametrize("name, text", licenses.TEMPLATES)
+@pytest.mark.parametrize("blank", ["\n", "\n * ", "  "])
+def test_every_template_is_found_over_lines(name, text, blank):
+    broken = text.replace(" ", blank)
+    assert re.search(licenses.TRIGGER, broken)
+    assert name in [h[0] for h in found_in(broken)]
+
+
+def test_rows_of_neighbouring_notices(spark):
+    text = "Code: Released under the MIT License. Docs: Licensed under CC BY 4.0."
+    cc0 = licenses.TEMPLATES[-1][1].replace(" ", "\n")
+    got = licenses.notices(spark.createDataFrame([(1, text), (2, cc0)], "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.license) for r in got if r.confirmed] == [(1, "MIT"), (1, "CC-BY-4.0"), (2, "CC0-1.0")]
