@@ -2,13 +2,14 @@
 
 One Bloom filter per language would be looked up once per language.  Here the
 filters are sliced by bits: a slot is a mask with one bit per language, and the AND
-of the few slots of an n-gram gives all languages that contain it.
+of the few slots of an n-gram gives all languages that contain it.  Masks have 64
+bits; each 64 languages have slots of their own, under the same numbers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ GRAM = 4  # characters; the edge of a word counts as one
 HASHES = 3
 SLOTS_PER_GRAM = 16  # slots for each n-gram of the language that has the most
 MAX_LABELLED = 2_000  # documents of a language that its n-grams are taken from
-MAX_LANGUAGES = 64
+MASK_BITS = 64  # languages that a mask has bits for
 LEAST_DOCS = 2  # of a language that an n-gram must be in
 LEAST_SHARE = 0.1  # of its rate in the language where it is most frequent
 CHUNK_CHARS = 1 << 20
@@ -95,12 +96,14 @@ def grams(flat: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 @dataclass
 class Filters:
-    """languages, by falling number of training documents; slots, masks over them;
-    false_rate, the chance that a language answers to an n-gram it lacks."""
+    """languages, by falling number of training documents; slots, masks over the
+    first 64 of them, and further, over each 64 that follow; false_rate, the chance
+    that a language answers to an n-gram it lacks."""
 
     languages: list[str]
     slots: np.ndarray
     false_rate: np.ndarray
+    further: list[np.ndarray] = field(default_factory=list)
 
 
 def slot_numbers(h: np.ndarray, size: int) -> Iterator[np.ndarray]:
@@ -114,12 +117,15 @@ def filled(languages: list[str], found: list[tuple[int, np.ndarray]]) -> Filters
     """Filters from (language, n-gram hashes)."""
     most = max([len(h) for _, h in found] or [1])
     size = 1 << int(np.ceil(np.log2(max(SLOTS_PER_GRAM * most, 64))))
-    slots = np.zeros(size, np.uint64)
+    slots = [np.zeros(size, np.uint64) for _ in range(0, max(len(languages), 1), MASK_BITS)]
     for language, h in found:
         for at in slot_numbers(h, size):
-            slots[np.unique(at)] |= np.uint64(1 << language)
-    full = [np.count_nonzero(slots >> np.uint64(k) & np.uint64(1)) / size for k in range(len(languages))]
-    return Filters(languages, slots, np.array(full) ** HASHES)
+            slots[language // MASK_BITS][np.unique(at)] |= np.uint64(1 << language % MASK_BITS)
+    full = [
+        np.count_nonzero(slots[k // MASK_BITS] >> np.uint64(k % MASK_BITS) & np.uint64(1)) / size
+        for k in range(len(languages))
+    ]
+    return Filters(languages, slots[0], np.array(full) ** HASHES, slots[1:])
 
 
 def sample(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str) -> DataFrame:
@@ -131,12 +137,16 @@ def sample(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col:
     # CRC-32 deals documents out evenly: twice as many as needed stay, then the first
     ids = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("_id"), order.alias("_order"))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("_order", "_id"))
-    sizes = F.broadcast(sizes.orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES))
-    near = ids.join(sizes, "lang").filter(F.col("count") * F.col("_order") <= 2.0 * MAX_LABELLED * 2**32)
-    near = near.withColumn("_n", first).filter(F.col("_n") <= MAX_LABELLED).select("lang", "_id").distinct()
-    few = F.broadcast(near)  # at most MAX_LANGUAGES * MAX_LABELLED ids
-    texts = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("_id"), text_col)
-    return texts.join(few, ["lang", "_id"], "left_semi").select("lang", text_col)
+    sizes = F.broadcast(sizes)  # a row per language
+
+    def early(rows: DataFrame) -> DataFrame:
+        return rows.join(sizes, "lang").filter(F.col("count") * F.col("_order") <= 2.0 * MAX_LABELLED * 2**32)
+
+    near = early(ids).withColumn("_n", first).filter(F.col("_n") <= MAX_LABELLED)
+    near = near.select("lang", "_id").distinct()
+    texts = known.select(F.col(lang_col).alias("lang"), F.col(id_col).alias("_id"), order.alias("_order"), text_col)
+    # not a semi join: Spark would move it before early, and all texts with it
+    return early(texts).join(near, ["lang", "_id"]).select("lang", text_col)
 
 
 def train(
@@ -146,7 +156,7 @@ def train(
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> Filters:
-    """Filters of the (up to 64) most frequent languages, from the documents with a
+    """Filters of all languages, from the documents with a
     language for which ``learn``, a condition on the id, holds; of the others neither
     text nor language is looked at.
 
@@ -175,7 +185,7 @@ def train(
 
     texts = sample(docs, learn, id_col, text_col, lang_col)
     known = docs.filter(learn & F.col(lang_col).isNotNull())
-    sizes = known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES)
+    sizes = known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col)
     languages = [r[0] for r in sizes.collect()]
     counts = texts.mapInArrow(run, "lang string, gram bigint, n bigint")
     counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_DOCS)
@@ -183,8 +193,8 @@ def train(
     rates = counts.join(F.broadcast(of_lang), "lang").withColumn("rate", F.col("n") / F.col("docs"))
     most = F.max("rate").over(Window.partitionBy("gram"))
     good = rates.withColumn("most", most).filter(F.col("rate") >= LEAST_SHARE * F.col("most"))
-    # n-grams of a bounded sample
-    found = good.groupBy("lang").agg(F.collect_set("gram").alias("grams")).collect()
+    # n-grams of a bounded sample of each language
+    found = good.groupBy("lang").agg(F.collect_set("gram").alias("grams")).toLocalIterator()
     by_lang = {r["lang"]: np.array(r["grams"], np.int64).view(np.uint64) for r in found}
     return filled(languages, [(k, by_lang[name]) for k, name in enumerate(languages) if name in by_lang])
 
@@ -231,16 +241,21 @@ def piece_languages(flat: np.ndarray, edges: np.ndarray, filters: Filters) -> tu
     h, row, has = grams(flat, edges)
     if not filters.languages:
         return np.full(rows, -1), np.zeros(rows)
-    mask = np.full(len(h), np.iinfo(np.uint64).max)
-    for at in slot_numbers(h, len(filters.slots)):
-        mask &= filters.slots[at]
+    numbers = list(slot_numbers(h, len(filters.slots)))
     total = np.bincount(row, minlength=rows)[:rows]
-    counts = np.empty((rows, len(filters.languages)))
-    for k, wrong in enumerate(filters.false_rate):
-        bit = (mask >> np.uint64(k) & np.uint64(1)).astype(bool)
-        n = np.bincount(row[bit], minlength=rows)[:rows]
-        counts[:, k] = np.maximum((n - total * wrong) / (1 - wrong), 0.0)
-    best = np.argmax(counts, axis=1)
-    whole = counts.sum(axis=1)
-    score = np.where(whole > 0, counts[np.arange(rows), best] / np.maximum(whole, 1e-12), 0.0)
+    best, most, whole = np.zeros(rows, np.int64), np.zeros(rows), np.zeros(rows)
+    for first, slots in enumerate([filters.slots, *filters.further]):
+        mask = np.full(len(h), np.iinfo(np.uint64).max)
+        for at in numbers:
+            mask &= slots[at]
+        some = np.flatnonzero(mask)
+        mask, place = mask[some], row[some]
+        for k, wrong in enumerate(filters.false_rate[first * MASK_BITS : (first + 1) * MASK_BITS]):
+            bit = (mask >> np.uint64(k) & np.uint64(1)).astype(bool)
+            n = np.bincount(place[bit], minlength=rows)[:rows]
+            count = np.maximum((n - total * wrong) / (1 - wrong), 0.0)
+            whole += count
+            best = np.where(count > most, first * MASK_BITS + k, best)
+            most = np.maximum(most, count)
+    score = np.where(whole > 0, most / np.maximum(whole, 1e-12), 0.0)
     return np.where(has, best, -1), np.where(has, np.clip(score, 0.0, 1.0), 0.0)

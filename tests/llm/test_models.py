@@ -164,6 +164,23 @@ def test_odd_texts_have_no_language(spark):
     assert {r.lang_pred for r in language.detected(df, nothing).collect()} == {"und"}
 
 
+def test_more_languages_than_a_mask_has_bits(spark):
+    rng = random.Random(4)
+    spoken = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(12)] for _ in range(150)]
+    rows = [
+        (1_000 * n + k, " ".join(rng.sample(words, 9)), f"l{k:03}")
+        for k, words in enumerate(spoken)
+        for n in range(5 if k < 140 else 3)
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    filters = language.train(df, F.col("doc_id") >= 1_000)
+    assert len(filters.languages) == 150 == len(filters.false_rate)
+    found = language.detected(df, filters).collect()
+    assert len(found) == len(rows)
+    assert [r.doc_id for r in found if r.lang_pred != r.lang] == []
+    assert all(0 < r.score <= 1 for r in found)
+
+
 # Language model -------------------------------------------------------------------
 
 
