@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Stored prices, returns and volatilities carry four decimals.
 SCALE = 10_000
+#: Of a four-decimal value whose sums must not overflow.
+MONEY = "decimal(28,4)"
 #: Doubles from here on are whole numbers.
 WHOLE = float(2**52)
 
@@ -57,12 +59,18 @@ def unticks(x: Column) -> Column:
     return x / F.lit(float(SCALE))
 
 
+def present(x: Column) -> Column:
+    """A double, with NULL for NaN."""
+    return F.nanvl(x.cast("double"), F.lit(None).cast("double"))
+
+
 def steady_avg(x: Column) -> Column:
     """Aggregate: mean of any double, independent of row order.
 
-    Values add up as decimals of twelve places; NaN and values beyond 1e18 count
-    as missing."""
-    return F.avg(x.try_cast("decimal(30,12)")).cast("double")
+    Values add up as decimals of twelve places; NaN counts as missing.  If a value
+    is beyond 1e18 the plain mean of doubles is given."""
+    d, v = x.try_cast("decimal(30,12)"), present(x)
+    return F.when(F.count(d) == F.count(v), F.avg(d).cast("double")).otherwise(F.avg(v))
 
 
 def steady_stddev(x: Column, scale: int = SCALE) -> Column:
@@ -76,5 +84,10 @@ def steady_stddev(x: Column, scale: int = SCALE) -> Column:
 
 
 def exact_avg(x: Column) -> Column:
-    """Aggregate: mean of a four-decimal double, independent of row order."""
-    return ratio(unticks(F.sum(ticks(x))), F.count(x))
+    """Aggregate: mean of a four-decimal double, independent of row order.
+
+    NaN counts as missing.  If a value fits no decimal (1e24 and more) the plain mean
+    of doubles is given."""
+    d, v = x.try_cast(MONEY), present(x)
+    exact = ratio(F.sum(d).cast("double"), F.count(d))
+    return F.when(F.count(d) == F.count(v), exact).otherwise(F.avg(v))

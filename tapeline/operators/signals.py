@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tapeline.functions.finance import TRADING_DAYS, log_return, pct_change
 from tapeline.functions.labels import surrogate_key
-from tapeline.functions.numbers import SCALE, ratio, rnd, rnd_sql, ticks
+from tapeline.functions.numbers import MONEY, SCALE, ratio, rnd, rnd_sql, ticks
 from tapeline.operators.series import REACH, per_series
 
 # The columns of the three steps.
@@ -92,7 +92,7 @@ def _with_returns(stg: DataFrame, series: str) -> DataFrame:
         )
         .withColumns(
             {
-                "close_ticks": ticks(close),
+                "close_exact": close.try_cast(MONEY),
                 "log_ticks": ticks(F.col("log_return_pct")),
                 "range_ticks": ticks(rnd(day_range * 100, 4)),
             }
@@ -106,7 +106,7 @@ def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 #: Running totals of values that count as 0 where they are missing.
 TOTALS = {
-    "close_sum": "sum(close_ticks)",
+    "close_sum": "sum(coalesce(close_exact, 0))",
     "volume_sum": "sum(volume)",
     "log_sum": "sum(coalesce(log_ticks, 0))",
     "log_sq_sum": "sum(coalesce(log_ticks * log_ticks, 0))",
@@ -129,7 +129,7 @@ BACK = {
 BLOCK, BLOCKS = 36, TRADING_DAYS // 36
 
 _HELPERS = [
-    "row_no", "close_ticks", "log_ticks", "range_ticks", *TOTALS,
+    "row_no", "close_exact", "wide_at", "log_ticks", "range_ticks", *TOTALS,
     *[f"{name}_{back}" for name, rows_back in BACK.items() for back in rows_back],
     *[f"{end}_{i}" for end in ("high", "low") for i in range(BLOCKS)],
 ]
@@ -162,7 +162,10 @@ def _with_earlier_totals(rows: DataFrame, series: str) -> DataFrame:
         for end in ("high", "low")
         for i in range(1, BLOCKS)
     }
-    return _add(rows, totals | blocks)
+    # the last row so far whose close fits no decimal: frames with it have no mean
+    so_far = f"{series} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    wide = {"wide_at": f"max(IF(close_exact IS NULL, row_no, NULL)) OVER ({so_far})"}
+    return _add(rows, totals | blocks | wide)
 
 
 def _from_totals(rows: DataFrame) -> DataFrame:
@@ -173,8 +176,8 @@ def _from_totals(rows: DataFrame) -> DataFrame:
         return ", ".join(f"{end}_{i}" for i in range(BLOCKS))
 
     def sma(length: int) -> str:
-        total = f"{trailing('close_sum', length)} / {SCALE}D"
-        return rnd_sql(f"{total} / least(row_no, {length})", 4)
+        mean = f"double({trailing('close_sum', length)}) / least(row_no, {length})"
+        return f"IF(row_no - wide_at < {length}, NULL, {rnd_sql(mean, 4)})"
 
     def avg_volume(length: int) -> str:
         return rnd_sql(f"{trailing('volume_sum', length)} / least(row_no, {length})", 0)

@@ -133,3 +133,20 @@ def test_keys_and_labels(spark):
     ]
     for rate, name in [(5.0, "High"), (3.0, "Elevated"), (1.0, "Normal"), (0.9, "Low")]:
         assert one(spark, labels.rate_regime(F.lit(rate))).startswith(name)
+
+
+@pytest.mark.parametrize(
+    "values, mean",
+    [
+        ([1e15, 1.0], 5e14 + 0.5),
+        ([1e15] * 20_000, 1e15),
+        ([1e25, 1.0], 5e24),
+        ([float("inf"), 1.0], float("inf")),
+        ([float("nan"), 3.0, None], 3.0),
+        ([None], None),
+    ],
+)
+def test_averages_count_what_they_add_up(spark, values, mean):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert df.agg(exact_avg(F.col("v"))).first()[0] == mean
+    assert df.agg(steady_avg(F.col("v"))).first()[0] == mean

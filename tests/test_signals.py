@@ -223,3 +223,11 @@ def test_default_calendar(spark):
         1, "Monday", "2024-Q1",
     )
     assert (row.is_today, row.is_current_year, row.is_current_month) == (True,) * 3
+
+
+def test_moving_averages_of_large_closes(spark):
+    rows = signals_of(spark, [1e15, 1.0, *[2.0] * 9, 1e30, 3.0]).orderBy("trading_date").collect()
+    assert [r.sma_7d for r in rows[:2]] == [1e15, 5e14 + 0.5]
+    assert rows[1].sma_200d == 5e14 + 0.5
+    assert [r.sma_7d for r in rows[8:]] == [2.0, 2.0, 2.0, None, None]
+    assert rows[10].sma_200d == pytest.approx((1e15 + 19) / 11, rel=1e-15)
