@@ -7,12 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapeline.llm import decontamination, exact_dedup, jaccard, language, licenses, lm, mixing, sharding, toxicity, warc
+from tapeline.llm import (
+    alignment,
+    clustering,
+    decontamination,
+    exact_dedup,
+    jaccard,
+    language,
+    licenses,
+    lm,
+    mixing,
+    record_files,
+    sharding,
+    toxicity,
+    warc,
+)
 from tapeline.llm.common import table
 
 SHARDS = 24
 MIX_SHARES = {"src0": 6, "src1": 4, "src2": 4, "src3": 3}
 MIX_DEFAULT = 2
+# Files of public tokenizers that the token queries use.
+BPE = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +105,26 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "source", "source_block", "position")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the file of a public tokenizer lies on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.alignments(docs, tokenizer_file(BPE), tokenizer_file(PIECES))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clusters(table(spark, sf_dir, "embeddings"), vector_col="embedding")
+
+
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return record_files.token_records(table(spark, sf_dir, "documents"), tokenizer_file(BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_spaced_seeds": op1_spaced_seeds,
     "op2_warc": op2_warc,
@@ -99,6 +136,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_language": op9_language,
     "op10_mix": op10_mix,
+    "op11_align_tokenizers": op11_align_tokenizers,
+    "op12_centroid_clusters": op12_centroid_clusters,
+    "op13_token_records": op13_token_records,
 }
 
 ORACLE: dict[str, str] = {
