@@ -117,11 +117,14 @@ def macro_vs_stocks(fact: DataFrame, ordered: bool = True) -> DataFrame:
     return _ordered(as_fraction(rows, percent), ordered, "trading_date", "ticker")
 
 
-def performance_52w(fact: DataFrame, ordered: bool = True) -> DataFrame:
-    """First to last close of the trailing year, with average risk and volume."""
+def performance_52w(
+    fact: DataFrame, ordered: bool = True, is_cut: bool = False
+) -> DataFrame:
+    """First to last close of the trailing year, with average risk and volume.
+    ``is_cut`` says that the rows are those of the year alone."""
     first, last = _first_last()
     rows = (
-        in_trailing_year(fact)
+        (fact if is_cut else in_trailing_year(fact))
         .groupBy("ticker", "company_name", "sector")
         .agg(
             first.alias("price_52w_ago"),
@@ -220,9 +223,12 @@ def regime_performance(versus: DataFrame) -> DataFrame:
     )
 
 
-def ticker_stats(history: DataFrame, ticker: str | None = None) -> DataFrame:
-    """Trailing-year figures of one ticker, or of each."""
-    rows = in_trailing_year(history)
+def ticker_stats(
+    history: DataFrame, ticker: str | None = None, is_cut: bool = False
+) -> DataFrame:
+    """Trailing-year figures of one ticker, or of each.  ``is_cut`` says that the rows
+    are those of the year alone."""
+    rows = history if is_cut else in_trailing_year(history)
     if ticker is not None:
         rows = rows.filter(F.col("ticker") == ticker)
     close, change = F.col("close_price"), F.col("daily_return_pct")

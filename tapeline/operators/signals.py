@@ -59,21 +59,60 @@ def latest_signals(stg: DataFrame) -> DataFrame:
     return with_signals(tail).filter("bars_back = 1").select(SIGNALS)
 
 
+def trailing_bars(stg: DataFrame, days: int = 365, reach: int = REACH) -> DataFrame:
+    """The bars of the last ``days`` days before the newest bar of all, and per ticker the
+    last ``reach`` bars before them, told apart by ``is_wanted``.
+
+    Of the latter each task keeps as many per ticker before it shuffles."""
+    since = stg.agg(F.date_sub(F.max("trading_date"), days).alias("since")).scalar()
+    back = f"row_number() OVER (PARTITION BY ticker ORDER BY {DESCENDING})"
+    before = (
+        stg.filter(F.col("trading_date") < since)
+        .withColumn("bars_back", F.expr(back))
+        .filter(F.col("bars_back") <= reach)
+        .drop("bars_back")
+    )
+    wanted = stg.filter(F.col("trading_date") >= since)
+    return wanted.withColumn("is_wanted", F.lit(True)).unionByName(
+        before.withColumn("is_wanted", F.lit(False))
+    )
+
+
+def trailing_signals(
+    stg: DataFrame, days: int = 365, reach: int = REACH, slice_rows: int | None = None
+) -> DataFrame:
+    """The signals of the bars of the last ``days`` days before the newest bar of all.
+
+    The year is cut below the windows, with as many bars before it as the frames of the
+    columns in use reach back over: what moves and what the windows see does not grow
+    with the years.
+    """
+    rows = with_signals(trailing_bars(stg, days, reach), slice_rows)
+    return rows.filter("is_wanted").select(SIGNALS)
+
+
 def with_signals(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
     """The staged bars with the signals beside their own columns."""
     return per_series(stg, _signals, slice_rows).drop(*_HELPERS)
 
 
+#: Bars of one date follow by their own figures, so that repeated loads give the same
+#: results in any layout.
+ORDER = ["trading_date", "close_price", "open_price", "high_price", "low_price", "volume"]
+DESCENDING = ", ".join(f"{c} DESC" for c in ORDER)
+
+
 def _signals(stg: DataFrame, keys: list[str]) -> DataFrame:
-    # Bars of one date follow by their own figures, so that repeated loads give the
-    # same results in any layout.
-    order = "trading_date, close_price, open_price, high_price, low_price, volume"
-    series = f"PARTITION BY {', '.join(keys)} ORDER BY {order}"
+    by = ", ".join(keys)
+    series = f"PARTITION BY {by} ORDER BY {', '.join(ORDER)}"
     # The key is a hash of two columns at hand: made again after the exchange
     # rather than carried through it.
     rows = _with_returns(stg.drop("price_id"), series)
-    rows = _with_totals(rows, series)
-    rows = _with_earlier_totals(rows, series)
+    rows = _with_prefixes(_with_totals(rows, series), series)
+    # The same rows from the last to the first: what came before now comes after.
+    backwards = f"PARTITION BY {by} ORDER BY row_no DESC"
+    rows = _with_suffixes(rows, backwards)
+    rows = _with_earlier_totals(rows, backwards)
     key = surrogate_key(F.col("ticker"), F.col("trading_date"))
     return _from_totals(rows).withColumn("price_id", key)
 
@@ -124,57 +163,71 @@ BACK = {
     "range_sum": (20,),
     "range_n": (20,),
 }
-#: The 52-week range of 252 rows is put together from seven blocks of 36 rows:
-#: a frame is scanned anew for every row, so a short one costs a seventh.
-BLOCK, BLOCKS = 36, TRADING_DAYS // 36
+#: The 52-week range: series are cut into blocks of 252 rows, so that the 252 rows up to
+#: any row are the end of one block and the start of the next.  Both ends are running
+#: extremes, which look at each row once however long the frame is.
+BLOCK_NO = f"(row_no - 1) DIV {TRADING_DAYS}"
+#: Ends of the range, and the factor by which each is a maximum.
+ENDS = {"high": 1, "low": -1}
 
 _HELPERS = [
     "row_no", "close_exact", "wide_at", "log_ticks", "range_ticks", *TOTALS,
     *[f"{name}_{back}" for name, rows_back in BACK.items() for back in rows_back],
-    *[f"{end}_{i}" for end in ("high", "low") for i in range(BLOCKS)],
+    *[f"{end}_{part}" for end in ENDS for part in ("prefix", "suffix", "before")],
 ]
 
 
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def _extreme(end: str, block: str, window: str) -> str:
+    """The running extreme of the close within the block: blocks follow one another, so
+    the largest pair of block and value so far is of the current block."""
+    sign = ENDS[end]
+    largest = f"max(struct({block} AS b, {sign} * close_price AS v)) OVER ({window} {SO_FAR})"
+    return f"{sign} * ({largest}).v"
+
+
 def _with_totals(rows: DataFrame, series: str) -> DataFrame:
-    so_far = f"{series} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    block = f"{series} ROWS BETWEEN {BLOCK - 1} PRECEDING AND CURRENT ROW"
     return _add(
         rows,
         {
             "row_no": f"row_number() OVER ({series})",
-            **{name: f"{total} OVER ({so_far})" for name, total in TOTALS.items()},
-            "high_0": f"max(close_price) OVER ({block})",
-            "low_0": f"min(close_price) OVER ({block})",
+            **{name: f"{total} OVER ({series} {SO_FAR})" for name, total in TOTALS.items()},
         },
     )
 
 
-def _with_earlier_totals(rows: DataFrame, series: str) -> DataFrame:
-    """Totals and blocks as they stood some rows ago; totals are 0 before the
-    start, blocks NULL."""
+def _with_prefixes(rows: DataFrame, series: str) -> DataFrame:
+    """Extremes from the start of each row's block, and the last row so far whose close
+    fits no decimal: frames with it have no mean."""
+    wide = {"wide_at": f"max(IF(close_exact IS NULL, row_no, NULL)) OVER ({series} {SO_FAR})"}
+    return _add(rows, wide | {f"{end}_prefix": _extreme(end, BLOCK_NO, series) for end in ENDS})
+
+
+def _with_suffixes(rows: DataFrame, backwards: str) -> DataFrame:
+    """Extremes from each row to the end of its block.  Backwards blocks count down."""
+    return _add(rows, {f"{end}_suffix": _extreme(end, f"-({BLOCK_NO})", backwards) for end in ENDS})
+
+
+def _with_earlier_totals(rows: DataFrame, backwards: str) -> DataFrame:
+    """Totals as they stood some rows ago, 0 before the start; extremes from 251 rows ago
+    to the end of the block there, NULL before the start."""
     totals = {
-        f"{name}_{back}": f"lag({name}, {back}, 0) OVER ({series})"
+        f"{name}_{back}": f"lead({name}, {back}, 0) OVER ({backwards})"
         for name, rows_back in BACK.items()
         for back in rows_back
     }
-    blocks = {
-        f"{end}_{i}": f"lag({end}_0, {i * BLOCK}) OVER ({series})"
-        for end in ("high", "low")
-        for i in range(1, BLOCKS)
+    before = {
+        f"{end}_before": f"lead({end}_suffix, {TRADING_DAYS - 1}) OVER ({backwards})" for end in ENDS
     }
-    # the last row so far whose close fits no decimal: frames with it have no mean
-    so_far = f"{series} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-    wide = {"wide_at": f"max(IF(close_exact IS NULL, row_no, NULL)) OVER ({so_far})"}
-    return _add(rows, totals | blocks | wide)
+    return _add(rows, totals | before)
 
 
 def _from_totals(rows: DataFrame) -> DataFrame:
     def trailing(name: str, length: int) -> str:
         return f"({name} - {name}_{length})"
 
-    def blocks(end: str) -> str:
-        return ", ".join(f"{end}_{i}" for i in range(BLOCKS))
-
     def sma(length: int) -> str:
         mean = f"double({trailing('close_sum', length)}) / least(row_no, {length})"
         return f"IF(row_no - wide_at < {length}, NULL, {rnd_sql(mean, 4)})"
@@ -197,8 +250,8 @@ def _from_totals(rows: DataFrame) -> DataFrame:
     ranged = _add(
         rows,
         {
-            "high_52w": f"greatest({blocks('high')})",
-            "low_52w": f"least({blocks('low')})",
+            "high_52w": "greatest(high_prefix, high_before)",
+            "low_52w": "least(low_prefix, low_before)",
         },
     )
     return _add(

@@ -97,8 +97,14 @@ class Market:
             self.latest(), self.dim_company(), ordered, self.stg()
         )
 
-    def performance(self) -> DataFrame:
-        return reports.performance_52w(self.with_companies(), ordered=False)
+    def trailing(self, reach: int) -> DataFrame:
+        """Signals of the trailing year alone."""
+        return signals.trailing_signals(self.stg(), reach=reach)
+
+    def performance(self, ordered: bool = False) -> DataFrame:
+        # the volatility of 20 returns, which lie between 21 bars
+        rows = marts.with_companies(self.trailing(20), self.companies())
+        return reports.performance_52w(rows, ordered, is_cut=True)
 
     def seed(self) -> DataFrame:
         """Reference list: every company, with its region and nation."""
@@ -262,7 +268,7 @@ def regime_performance(m: Market) -> DataFrame:
 
 @query
 def performance_52w(m: Market) -> DataFrame:
-    return reports.performance_52w(m.with_companies())
+    return m.performance(ordered=True)
 
 
 @query
@@ -297,7 +303,9 @@ def market_summary(m: Market) -> DataFrame:
 
 @query
 def ticker_stats(m: Market) -> DataFrame:
-    return reports.ticker_stats(reports.as_fraction(m.signals(), ["daily_return_pct"]))
+    # returns look one bar back
+    rows = reports.as_fraction(m.trailing(1), ["daily_return_pct"])
+    return reports.ticker_stats(rows, is_cut=True)
 
 
 @query

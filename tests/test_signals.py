@@ -231,3 +231,57 @@ def test_moving_averages_of_large_closes(spark):
     assert rows[1].sma_200d == 5e14 + 0.5
     assert [r.sma_7d for r in rows[8:]] == [2.0, 2.0, 2.0, None, None]
     assert rows[10].sma_200d == pytest.approx((1e15 + 19) / 11, rel=1e-15)
+
+
+def lucky_bars(spark, tickers, n, seed=1):
+    luck = random.Random(seed)
+    parts = []
+    for t in tickers:
+        start = dt.date(2020, 1, 1) + dt.timedelta(days=luck.randint(0, 400))
+        closes = [luck.choice([None, 1.0, 50.0, round(luck.uniform(1, 100), 2)]) for _ in range(n)]
+        parts.append(bars(spark, closes, t, start=start))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return stg_stock_prices(out)
+
+
+def test_range_of_a_year_by_blocks(spark):
+    """Ties, series shorter than a block, of whole blocks and across them."""
+    rows = lucky_bars(spark, ["A", "B"], 800).unionByName(lucky_bars(spark, ["C"], 300, 2))
+    got = signals.daily_signals(rows.unionByName(rows.filter("ticker = 'A' AND trading_date > '2022-01-01'")))
+    closes = {}
+    for r in got.orderBy("ticker", "trading_date").collect():
+        frame = closes.setdefault(r.ticker, [])
+        frame.append(r.close_price)
+        assert (r.high_52w, r.low_52w) == (max(frame[-252:]), min(frame[-252:]))
+    assert {len(c) > 252 for c in closes.values()} == {True, False}
+
+
+def test_range_needs_no_sliding_frame(spark):
+    plan = signals.int_moving_averages(lucky_bars(spark, ["A"], 3))._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    assert "specifiedwindowframe(RowFrame, unboundedpreceding$(), currentrow$())" in text
+    assert not [f for f in ("RowFrame, -35", "RowFrame, -251") if f in text]
+    assert plan.executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_trailing_signals_are_those_of_the_whole(spark):
+    rows = lucky_bars(spark, ["A", "B", "C"], 1500)
+    since = rows.agg(F.date_sub(F.max("trading_date"), 365)).first()[0]
+    whole = signals.daily_signals(rows).filter(F.col("trading_date") >= since)
+    assert sorted(signals.trailing_signals(rows).collect()) == sorted(whole.collect())
+    used = ["ticker", "trading_date", "daily_return_pct", "volatility_20d_annualized"]
+    short = signals.trailing_signals(rows, reach=20).select(used)
+    assert sorted(short.collect(), key=str) == sorted(whole.select(used).collect(), key=str)
+
+
+def test_rows_into_the_windows_do_not_grow_with_the_years(spark):
+    def kept(n):
+        return signals.trailing_bars(lucky_bars(spark, ["A", "B"], n))
+
+    assert 500 < kept(1200).count() < 2 * (366 + 252)
+    assert 500 < kept(2400).count() < 2 * (366 + 252)
+    plan = kept(1200)._jdf.queryExecution().executedPlan().toString()
+    # each task keeps the last bars before the year before they are shuffled
+    assert "WindowGroupLimit" in plan and "Partial" in plan
