@@ -377,6 +377,14 @@ SHORT_HISTORY = f"""
     SELECT ticker, count(*) AS trading_day_count FROM INPUT
     GROUP BY ticker HAVING count(*) < {MIN_ROWS}"""
 
+ALL_SIGNALS = """
+        SELECT price_id, ticker, trading_date, close_price, open_price, volume,
+               prev_close_price, daily_return_pct, log_return_pct, overnight_gap_pct,
+               sma_7d, sma_30d, sma_90d, sma_200d, avg_volume_20d, avg_volume_90d,
+               relative_volume_20d, high_52w, low_52w, price_position_52w,
+               volatility_20d_annualized, volatility_60d_annualized,
+               avg_intraday_range_pct_20d FROM signals"""
+
 FINAL: dict[str, str] = {
     "stg_stock_prices": "SELECT * FROM dirty_stg",
     "stg_company_info": "SELECT * FROM companies",
@@ -393,13 +401,8 @@ FINAL: dict[str, str] = {
         SELECT price_id, ticker, trading_date, close_price, daily_return_pct,
                log_return_pct, volatility_20d_annualized, volatility_60d_annualized,
                avg_intraday_range_pct_20d FROM signals""",
-    "sliced_signals": """
-        SELECT price_id, ticker, trading_date, close_price, open_price, volume,
-               prev_close_price, daily_return_pct, log_return_pct, overnight_gap_pct,
-               sma_7d, sma_30d, sma_90d, sma_200d, avg_volume_20d, avg_volume_90d,
-               relative_volume_20d, high_52w, low_52w, price_position_52w,
-               volatility_20d_annualized, volatility_60d_annualized,
-               avg_intraday_range_pct_20d FROM signals""",
+    "sliced_signals": ALL_SIGNALS,
+    "incremental_signals": ALL_SIGNALS,
     "pivot_indicators": "SELECT * FROM wide",
     "int_macro_context": "SELECT * FROM macro",
     "asof_macro_context": f"""

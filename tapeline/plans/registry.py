@@ -14,7 +14,9 @@ from tapeline.plans import daily_run, marts
 from tapeline.plans.data_tests import data_tests as run_data_tests
 from tapeline.sources import driver_tables as raw
 from tapeline.sources import shaping, writers
+from tapeline.sources.folders import work_folder
 from tapeline.sources.schemas import PRICES, SEED
+from tapeline.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +29,7 @@ TICKER = "Supplier#000000001"
 MIN_ROWS = 500
 SLICE_ROWS = 300
 ORPHAN_NATION = 3
+LATE, WRONG = "1998-05", "1999-03"
 HISTORY = (dt.date(1998, 1, 1), dt.date(2000, 1, 1))
 
 QUERIES: dict[str, Query] = {}
@@ -164,6 +167,29 @@ def sliced_signals(m: Market) -> DataFrame:
     return signals.daily_signals(m.stg(), SLICE_ROWS)
 
 
+@query
+def incremental_signals(m: Market) -> DataFrame:
+    """The signals kept by three batches of bars: the first lacks a month and has another
+    one wrong, the second brings both, the third all later bars."""
+    bars = m.raw_prices().withColumn("date", F.col("date").cast("timestamp_ntz"))
+    month = F.date_format("date", "yyyy-MM")
+    early, late, wrong = F.col("date") < HISTORY[1], month == LATE, month == WRONG
+    batches = [
+        bars.filter(early & ~late).withColumns(
+            {
+                "close": F.when(wrong, F.col("close") * 2).otherwise(F.col("close")),
+                "extracted_at": F.lit(str(HISTORY[1])),
+            }
+        ),
+        bars.filter(early & (late | wrong)),
+        bars.filter(~early),
+    ]
+    target = work_folder(m.spark, "ingested")
+    for n, batch in enumerate(batches):
+        incremental.merge_and_refresh(batch, f"batch-{n}", target)
+    return incremental.read_signals(m.spark, target)
+
+
 @query
 def pivot_indicators(m: Market) -> DataFrame:
     return macro.pivot_indicators(m.indicators())

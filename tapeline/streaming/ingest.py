@@ -1,29 +1,38 @@
 """Newly landed price files, each picked up once, merged into a dataset.
 
 Two datasets lie under the target: ``landed`` keeps every batch as it came, and
-``current`` holds one row per ticker and date, the one loaded last.  ``current``
-is rebuilt from ``landed``, only for the months a batch touches.  A batch that
-runs again after a failure replaces its own part of ``landed`` and rebuilds the
-same months, so nothing is lost or doubled at whatever point it broke off.
+``current`` holds one row per ticker and date, the one loaded last.  Both are laid out by
+month and by slot, a hash of the ticker.  ``current`` is rebuilt from ``landed``, only for
+the months and slots a batch touches.  A batch that runs again after a failure replaces
+its own part of ``landed`` and rebuilds the same part of ``current``, so nothing is lost
+or doubled at whatever point it broke off.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tapeline.sources.schemas import PRICES
 
 KEY = ["ticker", "date"]
 FIELDS = [f.name for f in PRICES]
-WITH_MONTH = StructType([*PRICES, StructField("month", StringType())])
-LANDED = StructType([*WITH_MONTH, StructField("batch", StringType())])
+PLACE = ["month", "slot"]
+PLACED = StructType(
+    [*PRICES, StructField("month", StringType()), StructField("slot", IntegerType())]
+)
+LANDED = StructType([*PLACED, StructField("batch", StringType())])
 #: The month of bars without a date.
 UNDATED = "undated"
+#: Parts of a month.  A batch rewrites whole parts, so more of them mean less to write
+#: for a batch of few tickers and more files.  Fixed for the life of a target.
+SLOTS = 32
 
 
 def latest_load(rows: DataFrame) -> DataFrame:
@@ -36,35 +45,69 @@ def latest_load(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*KEY).agg(newest).select(*KEY, "newest.*").select(FIELDS)
 
 
-def with_month(rows: DataFrame) -> DataFrame:
-    month = F.coalesce(F.date_format("date", "yyyy-MM"), F.lit(UNDATED))
-    return rows.select(*FIELDS, month.alias("month"))
+def month_of(date: str | Column) -> Column:
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(UNDATED))
 
 
-def merge_prices(batch: DataFrame, name: str, target: str) -> None:
-    """Keep a batch under its name and bring the months it touches up to date.
-    Names of later batches sort behind those of earlier ones."""
-    spark = batch.sparkSession
-    mine = f"{target}/landed/batch={name}"
-    with_month(batch).write.mode("overwrite").partitionBy("month").parquet(mine)
+def slot_of(ticker: str | Column) -> Column:
+    return F.pmod(F.xxhash64(ticker), F.lit(SLOTS)).cast("int")
 
-    landed = spark.read.schema(LANDED).parquet(f"{target}/landed")
-    # Twelve values a year reach the driver; as literals they prune the folders read.
-    touched = spark.read.schema(WITH_MONTH).parquet(mine).select("month").distinct()
-    months = [row.month for row in touched.collect()]
-    rows = landed.filter(F.col("month").isin(months))
+
+def with_place(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        *FIELDS, month_of("date").alias("month"), slot_of("ticker").alias("slot")
+    )
+
+
+def replace_parts(rows: DataFrame, path: str) -> None:
+    """Replaces the months and slots that rows has, and leaves the others as they are."""
     (
-        with_month(latest_load(rows))
-        .hint("rebalance", "month")
+        rows.hint("rebalance", *PLACE)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(f"{target}/current")
+        .partitionBy(*PLACE)
+        .parquet(path)
     )
 
 
+def in_parts(parts: Iterable[tuple[str, int]]) -> Column:
+    """Whether a row lies in one of the (month, slot): as literals these prune the
+    folders read.  Slots of the same months share a condition."""
+    months = defaultdict(set)
+    for month, slot in parts:
+        months[slot].add(month)
+    slots = defaultdict(list)
+    for slot, some in months.items():
+        slots[frozenset(some)].append(slot)
+    found = F.lit(False)
+    for some, of in slots.items():
+        found = found | (F.col("month").isin(sorted(some)) & F.col("slot").isin(sorted(of)))
+    return found
+
+
+def merge_prices(batch: DataFrame, name: str, target: str) -> list[tuple[str, int]]:
+    """Keep a batch under its name and bring what it touches up to date; the months and
+    slots touched.  Names of later batches sort behind those of earlier ones."""
+    spark = batch.sparkSession
+    mine = f"{target}/landed/batch={name}"
+    with_place(batch).write.mode("overwrite").partitionBy(*PLACE).parquet(mine)
+
+    landed = spark.read.schema(LANDED).parquet(f"{target}/landed")
+    # At most SLOTS values a month reach the driver.
+    touched = spark.read.schema(PLACED).parquet(mine).select(*PLACE).distinct()
+    parts = [tuple(row) for row in touched.collect()]
+    if parts:
+        rows = landed.filter(in_parts(parts))
+        replace_parts(with_place(latest_load(rows)), f"{target}/current")
+    return parts
+
+
+def read_current(spark: SparkSession, target: str) -> DataFrame:
+    return spark.read.schema(PLACED).parquet(f"{target}/current")
+
+
 def read_ingested(spark: SparkSession, target: str) -> DataFrame:
-    return spark.read.schema(WITH_MONTH).parquet(f"{target}/current").select(FIELDS)
+    return read_current(spark, target).select(FIELDS)
 
 
 def ingest_new_files(
@@ -73,15 +116,21 @@ def ingest_new_files(
     target: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    with_signals: bool = False,
 ) -> StreamingQuery:
     """Process the files that landed in ``source`` since the last run, then stop.
 
-    The checkpoint remembers the files; keep it and the target on shared storage.
+    ``with_signals`` also brings the stored signals of the target up to date, see
+    ``incremental``.  The checkpoint remembers the files; keep it and the target on
+    shared storage.
     """
+    from tapeline.streaming.incremental import merge_and_refresh
+
     stream = hashlib.md5(checkpoint.encode()).hexdigest()[:8]
 
     def merge(batch: DataFrame, number: int) -> None:
-        merge_prices(batch, f"{stream}-{number:012d}", target)
+        step = merge_and_refresh if with_signals else merge_prices
+        step(batch, f"{stream}-{number:012d}", target)
 
     landed = (
         spark.readStream.schema(PRICES)
