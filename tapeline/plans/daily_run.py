@@ -33,11 +33,13 @@ def build_marts(
     end: dt.date = CALENDAR_END,
     as_of: dt.date | None = None,
     fact_partition: str | None = None,
+    fact_buckets: int | None = None,
 ) -> dict[str, DataFrame]:
     """Build the star schema from raw files and return the mart tables.
 
     ``fact_partition="trading_date"`` stores the fact by day, so that reports on
-    the latest date or year read only those days.
+    the latest date or year read only those days.  ``fact_buckets`` stores it in so
+    many buckets by ticker instead, for reports by ticker without a shuffle.
 
     The raw files are not known to hold one bar per ticker and day, so series of
     more than SLICE_ROWS bars are cut before the windows.
@@ -62,8 +64,8 @@ def build_marts(
         "dim_date": dim_date(bars, start, end, as_of),
     }
     for name, df in marts.items():
-        by = fact_partition if name == "fct_daily_trading" else None
-        materialize(df, name, "marts", by)
+        layout = (fact_partition, fact_buckets) if name == "fct_daily_trading" else ()
+        materialize(df, name, "marts", *layout)
     return {name: spark.table(name) for name in marts}
 
 

@@ -29,6 +29,7 @@ TICKER = "Supplier#000000001"
 MIN_ROWS = 500
 SLICE_ROWS = 300
 ORPHAN_NATION = 3
+SLOTS = 1
 LATE, WRONG = "1998-05", "1999-03"
 HISTORY = (dt.date(1998, 1, 1), dt.date(2000, 1, 1))
 
@@ -186,7 +187,7 @@ def incremental_signals(m: Market) -> DataFrame:
     ]
     target = work_folder(m.spark, "ingested")
     for n, batch in enumerate(batches):
-        incremental.merge_and_refresh(batch, f"batch-{n}", target)
+        incremental.merge_and_refresh(batch, f"batch-{n}", target, SLOTS)
     return incremental.read_signals(m.spark, target)
 
 

@@ -8,12 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def replace_table(df: DataFrame, name: str, partition_by: str | None = None) -> None:
+def replace_table(
+    df: DataFrame, name: str, partition_by: str | None = None, buckets: int | None = None
+) -> None:
     """Full replacement: running it twice leaves the same table.
 
     With ``partition_by`` rows are gathered by that column first, a large value
-    split over several tasks, so that a folder gets few files.
+    split over several tasks, so that a folder gets few files.  With ``buckets``
+    rows are stored hashed by ticker and sorted by ticker and date, one file a
+    bucket: windows and aggregates per ticker then read them without a shuffle.
     """
+    if partition_by is not None and buckets is not None:
+        raise ValueError("a table is stored by a column or in buckets")
+    if buckets is not None:
+        rows = df.repartition(buckets, "ticker")
+        stored = rows.write.mode("overwrite").bucketBy(buckets, "ticker")
+        stored.sortBy("ticker", "trading_date").saveAsTable(name)
+        return
     if partition_by is None:
         df.write.mode("overwrite").saveAsTable(name)
         return
@@ -22,11 +33,15 @@ def replace_table(df: DataFrame, name: str, partition_by: str | None = None) ->
 
 
 def materialize(
-    df: DataFrame, name: str, layer: str, partition_by: str | None = None
+    df: DataFrame,
+    name: str,
+    layer: str,
+    partition_by: str | None = None,
+    buckets: int | None = None,
 ) -> None:
     """Marts become tables, staging and intermediate results views."""
     if layer == "marts":
-        replace_table(df, name, partition_by)
+        replace_table(df, name, partition_by, buckets)
     elif layer in ("staging", "intermediate"):
         df.createOrReplaceTempView(name)
     else:

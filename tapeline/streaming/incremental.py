@@ -27,6 +27,7 @@ from tapeline.operators.staging import stg_stock_prices
 from tapeline.plans import marts
 from tapeline.streaming.ingest import (
     PLACE,
+    SLOTS,
     UNDATED,
     in_parts,
     merge_prices,
@@ -39,11 +40,8 @@ from tapeline.streaming.ingest import (
 Parts = list[tuple[str, int]]
 
 
-def staged(rows: DataFrame) -> DataFrame:
-    """Staged bars with their month and slot."""
-    return stg_stock_prices(rows).withColumns(
-        {"month": month_of("trading_date"), "slot": slot_of("ticker")}
-    )
+def placed(rows: DataFrame, slots: int) -> DataFrame:
+    return rows.withColumns({"month": month_of("trading_date"), "slot": slot_of("ticker", slots)})
 
 
 def with_markers(rows: DataFrame, parts: Parts, spark: SparkSession) -> DataFrame:
@@ -53,8 +51,8 @@ def with_markers(rows: DataFrame, parts: Parts, spark: SparkSession) -> DataFram
     return rows.unionByName(empty, allowMissingColumns=True)
 
 
-def refresh_depth(spark: SparkSession, target: str, parts: Parts) -> None:
-    bars = staged(read_current(spark, target).filter(in_parts(parts)))
+def refresh_depth(spark: SparkSession, target: str, parts: Parts, slots: int) -> None:
+    bars = placed(stg_stock_prices(read_current(spark, target).filter(in_parts(parts))), slots)
     counts = bars.groupBy(*PLACE, "ticker").agg(F.count("*").alias("bars"))
     replace_parts(with_markers(counts, parts, spark), f"{target}/depth")
 
@@ -95,14 +93,15 @@ def reach_of(spark: SparkSession, target: str, parts: Parts, reach: int = REACH)
     )
 
 
-def refresh_signals(spark: SparkSession, target: str, parts: Parts) -> None:
+def refresh_signals(
+    spark: SparkSession, target: str, parts: Parts, slots: int = SLOTS
+) -> None:
     """Bring ``depth`` and ``signals`` up to date where parts of ``current`` changed.
-
-    Series are cut where one is long, as in the full build."""
+    ``current`` has one bar per ticker and day, so series need no cutting."""
     parts = [p for p in parts if p[0] != UNDATED]
     if not parts:
         return
-    refresh_depth(spark, target, parts)
+    refresh_depth(spark, target, parts, slots)
     # a row per slot: fixed in number
     spans = {r.slot: r for r in reach_of(spark, target, parts).collect()}
     months = read_current(spark, target).filter(F.col("slot").isin(sorted(spans))).select(*PLACE).distinct()
@@ -114,16 +113,17 @@ def refresh_signals(spark: SparkSession, target: str, parts: Parts) -> None:
             read.append((month, slot))
             if month >= span.first:
                 write.append((month, slot))
-    bars = staged(read_current(spark, target).filter(in_parts(read))).drop(*PLACE)
-    rows = daily_signals(bars).withColumns(
-        {"month": month_of("trading_date"), "slot": slot_of("ticker")}
-    )
+    bars = stg_stock_prices(read_current(spark, target).filter(in_parts(read)))
+    rows = placed(daily_signals(bars), slots)
     replace_parts(with_markers(rows.filter(in_parts(write)), write, spark), f"{target}/signals")
 
 
-def merge_and_refresh(batch: DataFrame, name: str, target: str) -> None:
+def merge_and_refresh(
+    batch: DataFrame, name: str, target: str, slots: int = SLOTS
+) -> None:
     """Merge a batch of prices and bring the signals behind them up to date."""
-    refresh_signals(batch.sparkSession, target, merge_prices(batch, name, target))
+    parts = merge_prices(batch, name, target, slots)
+    refresh_signals(batch.sparkSession, target, parts, slots)
 
 
 def read_signals(spark: SparkSession, target: str) -> DataFrame:

@@ -30,8 +30,9 @@ PLACED = StructType(
 LANDED = StructType([*PLACED, StructField("batch", StringType())])
 #: The month of bars without a date.
 UNDATED = "undated"
-#: Parts of a month.  A batch rewrites whole parts, so more of them mean less to write
-#: for a batch of few tickers and more files.  Fixed for the life of a target.
+#: Parts of a month, unless a caller names another number.  A batch rewrites whole parts,
+#: so more of them mean less to write for a batch of few tickers, and more files.  The
+#: number is fixed for the life of a target.
 SLOTS = 32
 
 
@@ -49,13 +50,13 @@ def month_of(date: str | Column) -> Column:
     return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit(UNDATED))
 
 
-def slot_of(ticker: str | Column) -> Column:
-    return F.pmod(F.xxhash64(ticker), F.lit(SLOTS)).cast("int")
+def slot_of(ticker: str | Column, slots: int = SLOTS) -> Column:
+    return F.pmod(F.xxhash64(ticker), F.lit(slots)).cast("int")
 
 
-def with_place(rows: DataFrame) -> DataFrame:
+def with_place(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
     return rows.select(
-        *FIELDS, month_of("date").alias("month"), slot_of("ticker").alias("slot")
+        *FIELDS, month_of("date").alias("month"), slot_of("ticker", slots).alias("slot")
     )
 
 
@@ -85,20 +86,23 @@ def in_parts(parts: Iterable[tuple[str, int]]) -> Column:
     return found
 
 
-def merge_prices(batch: DataFrame, name: str, target: str) -> list[tuple[str, int]]:
+def merge_prices(
+    batch: DataFrame, name: str, target: str, slots: int = SLOTS
+) -> list[tuple[str, int]]:
     """Keep a batch under its name and bring what it touches up to date; the months and
     slots touched.  Names of later batches sort behind those of earlier ones."""
     spark = batch.sparkSession
     mine = f"{target}/landed/batch={name}"
-    with_place(batch).write.mode("overwrite").partitionBy(*PLACE).parquet(mine)
+    rows = with_place(batch, slots).hint("rebalance", *PLACE)
+    rows.write.mode("overwrite").partitionBy(*PLACE).parquet(mine)
 
     landed = spark.read.schema(LANDED).parquet(f"{target}/landed")
-    # At most SLOTS values a month reach the driver.
+    # At most ``slots`` values a month reach the driver.
     touched = spark.read.schema(PLACED).parquet(mine).select(*PLACE).distinct()
     parts = [tuple(row) for row in touched.collect()]
     if parts:
         rows = landed.filter(in_parts(parts))
-        replace_parts(with_place(latest_load(rows)), f"{target}/current")
+        replace_parts(with_place(latest_load(rows), slots), f"{target}/current")
     return parts
 
 
@@ -117,6 +121,7 @@ def ingest_new_files(
     checkpoint: str,
     files_per_batch: int = 1000,
     with_signals: bool = False,
+    slots: int = SLOTS,
 ) -> StreamingQuery:
     """Process the files that landed in ``source`` since the last run, then stop.
 
@@ -130,7 +135,7 @@ def ingest_new_files(
 
     def merge(batch: DataFrame, number: int) -> None:
         step = merge_and_refresh if with_signals else merge_prices
-        step(batch, f"{stream}-{number:012d}", target)
+        step(batch, f"{stream}-{number:012d}", target, slots)
 
     landed = (
         spark.readStream.schema(PRICES)

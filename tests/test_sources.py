@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from frames import bars, by, column, companies, day, observations
-from tapeline.operators import quality
+from tapeline.operators import performance, quality, reports
 from tapeline.operators.signals import daily_signals
 from tapeline.operators.staging import enrich_from_seed, stg_company_info, stg_stock_prices
 from tapeline.plans.daily_run import build_marts
@@ -299,3 +299,47 @@ def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     assert read_ingested(spark, target).count() == 2
     merge_prices(february, "b", target)
     assert read_ingested(spark, target).count() == 3
+
+
+def test_a_fact_in_buckets_is_read_without_a_shuffle(spark, raw_dir):
+    days = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    plain = build_marts(spark, raw_dir, *days)["fct_daily_trading"].collect()
+    fact = build_marts(spark, raw_dir, *days, fact_buckets=4)["fct_daily_trading"]
+    assert sorted(fact.collect(), key=str) == sorted(plain, key=str)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "true")
+    months = fact.groupBy("ticker", F.trunc("trading_date", "MM")).count()
+    for df in (performance.drawdown_series(fact), performance.max_drawdown_by_ticker(performance.drawdown_series(fact)), months):
+        assert "Exchange" not in plan(df)
+    # the order of the report alone moves rows
+    assert plan(reports.monthly_returns(fact)).count("Exchange") == 1
+    with pytest.raises(ValueError):
+        build_marts(spark, raw_dir, *days, fact_partition="ticker", fact_buckets=4)
+
+
+def test_a_fact_by_day_reads_the_files_of_the_latest_day(spark, raw_dir):
+    days = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
+    fact = build_marts(spark, raw_dir, *days, fact_partition="trading_date")["fct_daily_trading"]
+    rows = reports.on_latest_date(fact)
+    assert rows.count() < fact.count()
+    rows = rows.select("ticker", "close_price")
+    rows.collect()
+    nodes, files = [rows._jdf.queryExecution().executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            nodes.append(node.executedPlan())
+            continue
+        if node.nodeName().startswith("Scan parquet"):
+            files.append(node.metrics().apply("numFiles").value())
+        if node.nodeName().endswith("QueryStage"):
+            nodes.append(node.plan())
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    assert files == [len({Path(f) for f in fact.inputFiles() if f"trading_date={latest_day(fact)}" in f})]
+
+
+def latest_day(fact):
+    return fact.agg(F.max("trading_date")).first()[0]
