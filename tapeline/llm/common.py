@@ -18,10 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which driver and executors
-    share.  Where it is unset, as in local tests, a temporary folder is taken."""
+    share.  Where it is unset, as in local tests, a temporary folder is taken; on a cluster
+    this would be another folder on each machine, so it is an error."""
     context = spark.sparkContext
     named = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         named = "file://" + tempfile.mkdtemp(prefix="tapeline-")
     if not context.getCheckpointDir():
         context.setCheckpointDir(named)
