@@ -15,6 +15,8 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapeline.llm.common import stored
-from tapeline.llm.tokens import SAFE, UNITS, Codes, Lists, pieces, sums
+from tapeline.llm.tokens import SAFE, Tokens, Units, flat, pieces, room, sums
 
 #: Characters of a range; longer texts are read in several ranges.
 RANGE_CHARS = 1 << 16
@@ -30,6 +32,8 @@ RANGE_CHARS = 1 << 16
 FAN_IN = 8
 #: Id pairs of the corpus that are looked up at a time: about 20 bytes each.
 PAIRS = 1 << 21
+#: Units whose links are made at a time.
+LINKED = 1 << 16
 #: Id pairs a task holds before it hands its counts on.
 HELD_PAIRS = 1 << 20
 #: How far from the end of a range its last unit may reach before ranges are joined.
@@ -41,33 +45,21 @@ NOWHERE = np.empty(0, np.int64)
 # Tokens -----------------------------------------------------------------------
 
 
-def byte_letters() -> dict[str, int]:
-    """The letters by which byte-level tokenizers write bytes: printable ones stand for
-    themselves, the others follow from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 class Sides:
     """Both tokenizers: ids and byte lengths of the tokens of units."""
 
     def __init__(self, bpe_file: str, piece_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(bpe_file)
-        self.a.encode_special_tokens = True
+        self.tokens_a = Tokens(bpe_file, special=False)
+        self.a, self.a_bytes = self.tokens_a.tokenizer, self.tokens_a.bytes
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_file)
-        letters = byte_letters()
-        self.a_bytes = {}
-        for token, i in self.a.get_vocab(with_added_tokens=False).items():
-            self.a_bytes[i] = bytes(letters[c] for c in token)
         self.b_bytes = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.blank = self.b.piece_to_id("▁")
         self.radix = self.b.get_piece_size()
-        self.empty()
+        self.lengths = [self.tokens_a.lengths, np.array([len(x) for x in self.b_bytes])]
+        self.units = Units(self._encoded, 3)
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -75,35 +67,48 @@ class Sides:
             return bytes([int(piece[3:5], 16)])
         return piece.replace("▁", " ").encode()
 
-    def empty(self) -> None:
-        self.codes = Codes()
-        self.ids, self.lengths = (Lists(), Lists()), (Lists(), Lists())
-        self.good = np.empty(0, bool)
-
-    def tokens(self, texts: list[str]) -> tuple[list[tuple[np.ndarray, np.ndarray, np.ndarray]], np.ndarray]:
-        """For each side the ids and byte lengths of all tokens and the number per text,
-        of a space and each text; and whether both sides say the bytes of the text."""
-        if len(self.codes) > UNITS:
-            self.empty()
-        codes, n = self.codes.of(texts, bare=False)
-        if self.codes.new:
-            new, self.codes.new = self.codes.new, []
-            a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in new], add_special_tokens=False)]
-            b = self.b.encode(new, num_threads=1)
-            b = [[self.blank] if not u else x for u, x in zip(new, b)]
-            for ids, lengths, lists, words in zip(self.ids, self.lengths, (a, b), (self.a_bytes, self.b_bytes)):
-                ids.extend(lists)
-                lengths.extend([[len(words[i]) for i in x] for x in lists])
-            said = [
-                b"".join([self.a_bytes[i] for i in x]) == raw == b"".join([self.b_bytes[i] for i in y])
-                for x, y, raw in zip(a, b, (b" " + u.encode() for u in new))
-            ]
-            self.good = np.concatenate([self.good, np.array(said, bool)])
-        sides = []
-        for ids, lengths in zip(self.ids, self.lengths):
-            found, each = ids.gather(codes)
-            sides.append((found, lengths.gather(codes)[0], sums(each, n)))
-        return sides, sums(~self.good[codes], n) == 0
+    def _encoded(self, new: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of both sides, and whether both say the bytes of the unit, for each unit."""
+        b = self.b.encode(new, num_threads=1)
+        sides = [self.tokens_a.ids(new), flat([x if u else [self.blank] for u, x in zip(new, b)])]
+        raw = [b" " + u.encode() for u in new]
+        ends = np.cumsum([len(r) for r in raw])
+        good = np.ones(len(new), np.int32)
+        for (ids, n), lengths, words in zip(sides, self.lengths, (self.a_bytes, self.b_bytes)):
+            # nearly always all units are said, which is seen at once
+            said = b"".join(map(words.__getitem__, ids.tolist()))
+            if said != b"".join(raw) or not np.array_equal(np.cumsum(sums(lengths[ids], n)), ends):
+                lists = np.split(ids, np.cumsum(n)[:-1])
+                good &= np.array([b"".join(words[i] for i in x.tolist()) == r for x, r in zip(lists, raw)], np.int32)
+        return [*sides, (good, np.ones(len(new), np.int64))]
+
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The unit codes of a space and each text, how many each text has, and whether
+        both sides say the bytes of the text."""
+        codes, n = self.units.of(texts, bare=False)
+        return codes, n, sums(1 - self.units.lists[2].gather(codes)[0], n) == 0
+
+    def sides(self, codes: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each side the ids and byte lengths of all tokens of the units, and the
+        number of tokens per run of n units."""
+        found = []
+        for ids, lengths in zip(self.units.lists, self.lengths):
+            values, each = ids.gather(codes)
+            found.append((values.astype(np.int64), lengths[values], sums(each, n)))
+        return found
+
+    def tokens(self, texts: list[str]):
+        """``sides`` of a space and each text, and whether both say the bytes of it."""
+        if self.units.full():
+            self.units.trim()
+        codes, n, good = self.of(texts)
+        return self.sides(codes, n), good
+
+
+@cache
+def sides_of(files: tuple[str, str]) -> Sides:
+    """One for all tasks of a worker."""
+    return Sides(*files)
 
 
 # Groups and links -------------------------------------------------------------
@@ -316,24 +321,24 @@ def cut_behind(text: str, at: int) -> int | None:
     return found.start() if found else (len(text) if at + FAR_CHARS >= len(text) else None)
 
 
-def ranges(text: str) -> Iterator[tuple[int, int, int, str]]:
-    """A space and a long text in byte ranges: for each the bytes before its stretch of
+def ranges(text: str, size: int) -> Iterator[tuple[int, int, int, str]]:
+    """A space and a long text in byte ranges of ``size`` characters: for each the bytes before its stretch of
     text, the first byte and the end of the range, and the stretch, which reaches over
     the range to the next places where no token crosses.  A range whose edge has no such
     place nearby is joined with its neighbour."""
     whole = " " + text
     edges: list[tuple[int, int, int]] = []
-    for at in range(RANGE_CHARS, len(whole) - 1, RANGE_CHARS):
+    for at in range(size, len(whole) - 1, size):
         before, behind = cut_before(whole, at), cut_behind(whole, at)
         if before is not None and behind is not None:
             edges.append((before, at, behind))
     edges = [(0, 0, 0), *edges, (len(whole), len(whole), len(whole))]
-    size = len(whole[: edges[0][1]].encode())
+    low_byte = 0
     for (before, low, _), (_, high, behind) in zip(edges, edges[1:]):
-        base = size - len(whole[before:low].encode())
-        after = size + len(whole[low:high].encode())
-        yield base, size, after, whole[before:behind]
-        size = after
+        base = low_byte - len(whole[before:low].encode())
+        after = low_byte + len(whole[low:high].encode())
+        yield base, low_byte, after, whole[before:behind]
+        low_byte = after
 
 
 def range_fragment(sides: Sides, row: dict, table) -> Fragment:
@@ -382,16 +387,16 @@ def long_documents(rows: DataFrame, files: tuple[str, str], radix: int) -> DataF
 
     Ranges are dealt over all tasks; fragments of neighbouring ranges are composed FAN_IN
     at a time until each document has one."""
-    schema, range_schema = arrow_schema(FRAGMENTS), arrow_schema(RANGES)
+    schema, range_schema, size = arrow_schema(FRAGMENTS), arrow_schema(RANGES), RANGE_CHARS
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for batch in batches for r in batch.to_pylist()):
-            for i, (base, low, high, text) in enumerate(ranges(row["text"])):
+            for i, (base, low, high, text) in enumerate(ranges(row["text"], size)):
                 one = {k: row[k] for k in KEYS} | {"range_no": i, "base": base, "low": low, "high": high, "text": text}
                 yield pa.RecordBatch.from_pylist([one], range_schema)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides, table = Sides(*files), None
+        sides, table = sides_of(files), None
         for row in (r for batch in batches for r in batch.to_pylist()):
             table = table or digits(max(max(sides.a_bytes), sides.radix))
             one = {k: row[k] for k in [*KEYS, "range_no"]} | packed(range_fragment(sides, row, table))
@@ -452,9 +457,9 @@ class Held:
 
 
 def counted(batches: Iterator[pa.RecordBatch], found) -> Iterator[pa.RecordBatch]:
-    """Counts of the id pairs that ``found`` says of each batch."""
+    """Counts of the id pairs that ``found`` says of each batch, and of None at the end."""
     held = Held()
-    for batch in batches:
+    for batch in chain(batches, [None]):
         for pairs, counts in found(batch):
             held.add(pairs, counts)
         if len(held.pairs) > HELD_PAIRS:
@@ -466,19 +471,38 @@ def pair_counts(short: DataFrame, long: DataFrame, files: tuple[str, str], radix
     """pair, n and best (whether n is the highest of its id of side b) over the corpus."""
 
     def of_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides = Sides(*files)
-
-        def found(batch: pa.RecordBatch):
+        sides, seen = sides_of(files), np.zeros(1024, np.int64)
+
+        def settled():
+            """The pairs of all units seen: a unit's tokens end with it on both sides, so
+            the links of a text are those of its units."""
+            used = np.flatnonzero(seen)
+            for codes in np.split(used, range(LINKED, len(used), LINKED)):
+                (a, la, n_a), (b, lb, _) = sides.sides(codes, np.ones(len(codes), np.int64))
+                pairs, of = links(a, np.cumsum(la), b, np.cumsum(lb), sides.radix)
+                yield pairs, np.repeat(seen[codes], n_a)[of]
+            seen[:] = 0
+
+        def found(batch: pa.RecordBatch | None):
+            nonlocal seen
+            if batch is None:
+                yield from settled()
+                return
             texts = batch.column("text").to_pylist()
             for piece in pieces(texts):
-                pairs = aligned(sides, texts[piece], None, False).pairs
-                yield np.unique(pairs, return_counts=True)
+                if sides.units.full():
+                    yield from settled()
+                    sides.units.trim()
+                codes, n, good = sides.of(texts[piece])
+                good &= np.array([bool(t) for t in texts[piece]], bool)
+                seen = room(seen, len(sides.units.codes))
+                seen += np.bincount(codes[np.repeat(good, n)], minlength=len(seen))
 
         yield from counted(batches, found)
 
     def of_long(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(batch: pa.RecordBatch):
-            for row in batch.to_pylist():
+        def found(batch: pa.RecordBatch | None):
+            for row in batch.to_pylist() if batch else []:
                 yield np.frombuffer(row["pairs"], np.int64), np.frombuffer(row["counts"], np.int64)
 
         yield from counted(batches, found)
@@ -526,7 +550,7 @@ def scores(short: DataFrame, long: DataFrame, files: tuple[str, str], block, fir
     shared = short.sparkSession.sparkContext.broadcast(block)
 
     def of_short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sides, look = Sides(*files), Lookup(shared.value)
+        sides, look = sides_of(files), Lookup(shared.value)
         table = digits(max(max(sides.a_bytes), sides.radix))
         for batch in batches:
             texts = batch.column("text").to_pylist()

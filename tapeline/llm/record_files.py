@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tapeline.llm.checksums import crc32c, masked
 from tapeline.llm.common import cut, new_folder
-from tapeline.llm.tokens import Tokens, pieces
+from tapeline.llm.tokens import pieces, tokens_of
 
 HEADER = struct.Struct("<qHH")
 NO_ID = 1  # flag of a record whose document has no id
@@ -303,7 +303,7 @@ def by_tokenizer(file: str):
 
     def make():
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        return Tokens(file).encode
+        return tokens_of(file).encode
 
     return make
 

@@ -4,21 +4,22 @@ A unit is a stretch of text between two places that no token reaches across: bef
 space that follows a non-blank or that a non-blank follows.  Byte-level BPE with the usual
 pre-tokenizer and piece models without pieces of a non-blank and a space cut there, so
 the tokens of a text are those of its units, one after the other.  Words repeat, so a
-task meets few new ones; its memory of units is emptied when it grows too large.
+worker meets few new ones; when its memory of units is full it forgets those of little use.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
 
-#: Units a task remembers.
+#: Units a worker remembers.
 UNITS = 1 << 19
 #: Characters of texts that are handled at a time, and at least one text.
-PIECE_CHARS = 1 << 20
+PIECE_CHARS = 1 << 17
 
 SAFE = re.compile(r"(?<=\S)(?= )")
 RISKY = re.compile(r" (?<=\s )\s")
@@ -42,8 +43,8 @@ class Codes(dict):
     """Numbers of units in the order of their first sight; ``new`` are those seen since
     it was last emptied."""
 
-    def __init__(self):
-        super().__init__()
+    def __init__(self, known: Iterable = ()):
+        super().__init__((unit, code) for code, unit in enumerate(known))
         self.new: list = []
 
     def __missing__(self, unit) -> int:
@@ -51,34 +52,83 @@ class Codes(dict):
         self.new.append(unit)
         return code
 
-    def of(self, texts: Iterable[str], bare: bool) -> tuple[np.ndarray, np.ndarray]:
-        """The codes of all units of the texts, and how many each text has."""
-        found = [list(map(self.__getitem__, units(t, bare))) for t in texts]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int64, int(n.sum())), n
-
 
 class Lists:
     """Lists of whole numbers, one behind the other, gathered by their places."""
 
-    def __init__(self, dtype=np.int64):
-        self.flat = np.empty(0, dtype)
-        self.at = np.zeros(1, np.int64)
+    def __init__(self):
+        self.flat, self.at, self.n = np.empty(1024, np.int32), np.zeros(1024, np.int64), 0
 
-    def extend(self, lists: list) -> None:
-        n = np.fromiter(map(len, lists), np.int64, len(lists))
-        more = np.fromiter(chain.from_iterable(lists), self.flat.dtype, int(n.sum()))
-        self.flat = np.concatenate([self.flat, more])
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(n)])
+    def append(self, values: np.ndarray, n: np.ndarray) -> None:
+        first, last = int(self.at[self.n]), self.n + len(n)
+        self.flat, self.at = room(self.flat, first + len(values)), room(self.at, last + 1)
+        self.flat[first : first + len(values)] = values
+        self.at[self.n + 1 : last + 1] = first + np.cumsum(n)
+        self.n = last
 
     def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The lists of the codes as one array, and the length of each."""
-        n = self.at[codes + 1] - self.at[codes]
-        before = np.cumsum(n) - n
-        place = np.repeat(self.at[codes] - before, n) + np.arange(int(n.sum()))
+        first = self.at[codes]
+        n = self.at[codes + 1] - first
+        place = np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
         return self.flat[place], n
 
 
+def flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """Lists as one array, and the length of each."""
+    n = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(n.sum())), n
+
+
+def room(array: np.ndarray, size: int) -> np.ndarray:
+    """The array, in twice the space where it would not hold so many values."""
+    if size <= len(array):
+        return array
+    more = np.zeros(max(size, 2 * len(array)), array.dtype)
+    more[: len(array)] = array
+    return more
+
+
+class Units:
+    """The units a worker has met, each with some lists of numbers; ``encode`` makes them,
+    each kind as one array with the length of each list."""
+
+    def __init__(self, encode: Callable[[list], list[tuple[np.ndarray, np.ndarray]]], lists: int):
+        self.encode, self.codes = encode, Codes()
+        self.lists = [Lists() for _ in range(lists)]
+        self.uses = np.zeros(1024, np.int64)
+
+    def full(self) -> bool:
+        return len(self.codes) > UNITS
+
+    def trim(self) -> None:
+        """Forgets units used once lately, and of the others the least used half if they
+        are too many.  Codes change."""
+        uses = self.uses[: len(self.codes)]
+        kept = np.flatnonzero(uses > 1)
+        if len(kept) > UNITS // 2:
+            kept = np.sort(np.argsort(-uses, kind="stable")[: UNITS // 2])
+        names = list(self.codes)
+        self.codes = Codes(names[i] for i in kept.tolist())
+        self.uses = np.concatenate([uses[kept] // 2, np.zeros(1024, np.int64)])
+        for i, old in enumerate(self.lists):
+            self.lists[i] = Lists()
+            self.lists[i].append(*old.gather(kept))
+
+    def of(self, texts: list[str], bare: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of all units of the texts, and how many each text has."""
+        found = [list(map(self.codes.__getitem__, units(t, bare))) for t in texts]
+        n = np.fromiter(map(len, found), np.int64, len(found))
+        codes = np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))
+        if self.codes.new:
+            new, self.codes.new = self.codes.new, []
+            for lists, more in zip(self.lists, self.encode(new)):
+                lists.append(*more)
+        self.uses = room(self.uses, len(self.codes))
+        self.uses[: len(self.codes)] += np.bincount(codes, minlength=len(self.codes))
+        return codes, n
+
+
 def sums(values: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs of n values."""
     total = np.concatenate([[0], np.cumsum(values)])
@@ -98,24 +148,61 @@ def pieces(texts: list[str]) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
+def byte_letters() -> dict[str, int]:
+    """The letters by which byte-level tokenizers write bytes: printable ones stand for
+    themselves, the others follow from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
 class Tokens:
-    """Ids of texts by a tokenizer of the ``tokenizers`` library without added tokens."""
+    """Ids of texts by a byte-level tokenizer of the ``tokenizers`` library, without added
+    tokens; with ``special`` the strings of special tokens in a text stand for these."""
 
     def __init__(self, file: str, special: bool = True):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = not special
-        self.codes, self.ids = Codes(), Lists(np.uint32)
+        letters = byte_letters()
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.bytes = {i: bytes(letters[c] for c in token) for token, i in vocabulary.items()}
+        for i, token in self.tokenizer.get_added_tokens_decoder().items():
+            self.bytes[i] = token.content.encode()
+        self.lengths = np.zeros(max(self.bytes) + 1, np.int64)
+        self.lengths[list(self.bytes)] = [len(x) for x in self.bytes.values()]
+        self.units = Units(lambda new: [self.ids(new)], 1)
+
+    def ids(self, new: list) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units.  Those without blanks are encoded as one text, as their edges
+        are places no token reaches across, and told apart by their bytes."""
+        plain = np.fromiter((isinstance(u, str) and u.split() == [u] for u in new), bool, len(new))
+        words = [" " + u for u, one in zip(new, plain) if one]
+        odd = [u[0] if isinstance(u, tuple) else " " + u for u, one in zip(new, plain) if not one]
+        values, n = flat([e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)])
+        if words:
+            ids = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids
+            ids = np.fromiter(ids, np.int32, len(ids))
+            ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
+            last = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            values, n = np.concatenate([ids, values]), np.concatenate([np.diff(last, prepend=0), n])
+        order = np.empty(len(new), np.int64)
+        order[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(new))
+        lists = Lists()
+        lists.append(values, n)
+        return lists.gather(order)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts as one array, and how many each text has."""
-        if len(self.codes) > UNITS:
-            self.codes, self.ids = Codes(), Lists(np.uint32)
-        codes, n = self.codes.of(texts, bare=True)
-        new = [u[0] if isinstance(u, tuple) else " " + u for u in self.codes.new]
-        if new:
-            self.ids.extend([e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)])
-            self.codes.new = []
-        ids, each = self.ids.gather(codes)
+        if self.units.full():
+            self.units.trim()
+        codes, n = self.units.of(texts, bare=True)
+        ids, each = self.units.lists[0].gather(codes)
         return ids, sums(each, n)
+
+
+@cache
+def tokens_of(file: str, special: bool = True) -> Tokens:
+    """One for all tasks of a worker."""
+    return Tokens(file, special)

@@ -60,10 +60,11 @@ def test_both_sides_give_the_tokens_of_whole_texts(sides):
 
 
 def test_units_are_forgotten(monkeypatch, bpe):
-    monkeypatch.setattr(tokens, "UNITS", 3)
+    monkeypatch.setattr(tokens, "UNITS", 6)
     coder = tokens.Tokens(tokenizer_file(BPE))
-    for t in ("one two three four five", "six seven one"):
+    for t in ("one two two three three three four five six", "seven two eight three", "one two nine", "ten one", "two three"):
         assert coder.encode([t])[0].tolist() == bpe.encode(t).ids
+    assert len(coder.units.codes) < 12
 
 
 # Alignment ---------------------------------------------------------------------
@@ -137,10 +138,9 @@ def test_ranges_of_long_texts(spark, sides, monkeypatch, chars):
 
 
 def test_edges_without_a_safe_place_are_dropped(monkeypatch, sides):
-    monkeypatch.setattr(alignment, "RANGE_CHARS", 10)
     monkeypatch.setattr(alignment, "FAR_CHARS", 20)
     text = "x" * 200 + " y z" * 30
-    found = list(alignment.ranges(text))
+    found = list(alignment.ranges(text, 10))
     assert found[0][2] > 150 and len(found) > 5
     assert [f[1] for f in found[1:]] == [f[2] for f in found[:-1]]
 
