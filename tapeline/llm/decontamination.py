@@ -8,6 +8,7 @@ over each other word by word, and any stretch that is equal enough is a leak.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator, Sequence
 from itertools import repeat
@@ -17,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Fixed masks.  Every stretch of 10 words with two of them changed, wherever, is hit
-#: by one of them (a test tries all of these).
-MASKS = ("111011", "11000111", "110100011")
+#: Fixed masks.  Every stretch of 10 words or more of which three quarters are equal is
+#: hit by one of them, wherever its changes are: a test tries all patterns of 10 to 19
+#: words, and of two halves of a longer stretch one has its share of equal words.
+MASKS = ("110111", "11010011", "1010001011", "11100000101")
 MIN_WORDS = 10  # of a stretch, or nine tenths of a shorter item
 IDENTITY = 0.75  # share of equal words in a stretch
 BLOCK_WORDS = 1_000_000  # words of benchmark that a task holds at a time
 BATCH_WORDS = 500_000  # words of documents that are hashed at a time
+HIT_ROWS = 2_000_000  # hits that are looked at together (but those of a place as a whole)
 
 #: Blanks and ASCII punctuation but _ become blanks, in one pass over the bytes.
 SPACED = bytes(c if c > 127 or chr(c).isalnum() or c == 95 else 32 for c in range(256))
@@ -48,8 +51,9 @@ class Seeds:
     """The seeds of a block of items, ready to look documents up in.
 
     Words get numbers from 1; a word that no item has is 0 and meets nothing.  An
-    item shorter than a mask has, besides the masks that fit, one seed of all its
-    words."""
+    item of MIN_WORDS or more has a seed per mask and place.  One shorter is a leak as a
+    whole or not at all: where it may have c changed words, each of its c + 1 seeds has
+    every (c + 1)th word, so that one of them is free of changes."""
 
     def __init__(self, items: Sequence[tuple[int, str | None]], masks: Sequence[str] = MASKS):
         self.ids, texts = [], []
@@ -63,20 +67,25 @@ class Seeds:
         self.lengths = np.array([len(t) for t in texts], dtype=np.int64)
         self.starts = np.concatenate([[0], np.cumsum(self.lengths)])[:-1].astype(np.int64)
         self.flat = np.concatenate([*texts, np.zeros(64, np.int64)])
-        whole = {len(t) for t in texts if len(t) < max(map(len, masks))}
-        self.masks = [np.flatnonzero(np.array(list(m)) == "1") for m in masks]
-        self.tables = []
-        for mask in self.masks:
-            self.tables.append(self.table(mask, [k for k, t in enumerate(texts) if len(t) > mask[-1]]))
-        for n in sorted(whole):
-            self.masks.append(np.arange(n))
-            self.tables.append(self.table(np.arange(n), [k for k, t in enumerate(texts) if len(t) == n]))
-
-    def table(self, mask: np.ndarray, items: list[int]) -> tuple:
-        """Sorted hashes, where each is (item, place), and a bit map over the low
+        seeds: dict[tuple, list[tuple[int, np.ndarray]]] = {}
+        fixed = [tuple(k for k, c in enumerate(mask) if c == "1") for mask in masks]
+        for k, n in enumerate(self.lengths.tolist()):
+            if n >= MIN_WORDS:
+                for mask in fixed:
+                    seeds.setdefault(mask, []).append((k, np.arange(max(n - mask[-1], 0))))
+            else:
+                step = n - least_equal(n) + 1
+                for first in range(step):
+                    mask = tuple(range(0, n - first, step))
+                    seeds.setdefault(mask, []).append((k, np.array([first])))
+        self.masks = [np.array(mask) for mask in seeds]
+        self.tables = [self.table(np.array(mask), places) for mask, places in seeds.items()]
+
+    def table(self, mask: np.ndarray, places: list[tuple[int, np.ndarray]]) -> tuple:
+        """Sorted hashes, where each is (item, place), and a bit map over the high
         bits of the hashes that spares most lookups."""
-        item = np.concatenate([np.full(self.lengths[k] - mask[-1], k) for k in items] or [[]]).astype(int)
-        place = np.concatenate([np.arange(self.lengths[k] - mask[-1]) for k in items] or [[]]).astype(int)
+        item = np.repeat([k for k, _ in places], [len(at) for _, at in places])
+        place = np.concatenate([at for _, at in places])
         hashes = hashed(self.flat, mask)[self.starts[item] + place]
         order = np.argsort(hashes, kind="stable")
         bits = np.zeros(1 << 20, dtype=bool)
@@ -115,6 +124,11 @@ def least_words(item_words: int) -> int:
     return MIN_WORDS if item_words >= MIN_WORDS else -(-9 * item_words // 10)
 
 
+def least_equal(words: int) -> int:
+    """Equal words that a stretch of so many needs."""
+    return math.ceil(IDENTITY * words)
+
+
 def leak_in(equal: np.ndarray, least: int) -> tuple[int, int, int] | None:
     """Start, length and equal words of a stretch of at least so many words of which
     three quarters are equal, if there is any: the best stretch if it is one, else the
@@ -145,24 +159,10 @@ def found(words: np.ndarray, starts: np.ndarray, seeds: Seeds) -> Iterator[tuple
 
     ``words`` has the documents one after the other, each followed by as many zeros
     as a mask is long, so that no seed reaches over into the next."""
-    candidates = []
-    for mask, (hashes, item, place, bits) in zip(seeds.masks, seeds.tables):
-        if not len(hashes):
-            continue
-        here = hashed(words, mask)
-        at = np.flatnonzero(bits[(here >> np.uint64(44)).astype(np.int64)])
-        low = np.searchsorted(hashes, here[at], side="left")
-        n = np.searchsorted(hashes, here[at], side="right") - low
-        at, low, n = at[n > 0], low[n > 0], n[n > 0]
-        row = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        # the item, and where its first word would lie
-        candidates.append(np.stack([item[row], np.repeat(at, n) - place[row]], axis=1))
-    if not candidates:
-        return
     edges = np.append(starts, len(words))
     best: dict[tuple, tuple] = {}
     seen = set()
-    for item, lies in np.unique(np.concatenate(candidates), axis=0).tolist():
+    for item, lies in layings(words, seeds):
         length = int(seeds.lengths[item])
         # of the documents that the item could lie over, those with equal words there
         doc = int(np.searchsorted(starts, max(lies, 0), side="right")) - 1
@@ -182,6 +182,24 @@ def found(words: np.ndarray, starts: np.ndarray, seeds: Seeds) -> Iterator[tuple
         yield doc, item, -at - int(starts[doc]), place, -n, equal
 
 
+def layings(words: np.ndarray, seeds: Seeds) -> Iterator[tuple[int, int]]:
+    """(item, where its first word lies) of all hits, some more than once."""
+    for mask, (hashes, item, place, bits) in zip(seeds.masks, seeds.tables):
+        if not len(hashes):
+            continue
+        here = hashed(words, mask)
+        at = np.flatnonzero(bits[(here >> np.uint64(44)).astype(np.int64)])
+        low = np.searchsorted(hashes, here[at], side="left")
+        n = np.searchsorted(hashes, here[at], side="right") - low
+        at, low, n = at[n > 0], low[n > 0], n[n > 0]
+        piece = (np.cumsum(n) - n) // HIT_ROWS
+        for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(piece)) + 1):
+            m = n[part]
+            row = np.repeat(low[part], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+            lies = np.stack([item[row], np.repeat(at[part], m) - place[row]], axis=1)
+            yield from map(tuple, np.unique(lies, axis=0).tolist())
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -200,7 +218,7 @@ def leaks(
     if it is such a stretch, else the one with the most equal words less three times
     the unequal ones; of several in a document the one with the most equal words, then
     the shortest, then the first.
-    Any passage of 10 words with at most two changed is hit.
+    Every stretch that is a leak is hit, whatever words of it are changed.
 
     Null and empty texts hold nothing and are held by nothing.  Repeated rows of
     documents give repeated rows; items equal in id and text count once, those of

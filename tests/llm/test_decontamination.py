@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pyarrow as pa
 import pytest
 
 from tapeline.llm import decontamination as D
@@ -36,15 +37,39 @@ def holds(docs, items, hit):
     return equal in told and 4 * equal >= 3 * n
 
 
-def test_masks_hit_two_changes_in_ten():
-    for mask in D.MASKS:
-        assert mask[0] == mask[-1] == "1"
-    for changed in itertools.combinations(range(10), 2):
-        assert any(
-            all(at + k not in changed for k, c in enumerate(mask) if c == "1")
-            for mask in D.MASKS
-            for at in range(10 - len(mask) + 1)
-        )
+def patterns(n):
+    """All sets of changed places that leave a stretch of n words a leak."""
+    most = n - D.least_equal(n)
+    return [set(c) for k in range(most + 1) for c in itertools.combinations(range(n), k)]
+
+
+def test_masks_hit_every_pattern_of_long_stretches():
+    for n in range(D.MIN_WORDS, 2 * D.MIN_WORDS):
+        for changed in itertools.combinations(range(n), n - D.least_equal(n)):
+            assert any(
+                all(at + k not in changed for k, c in enumerate(mask) if c == "1")
+                for mask in D.MASKS
+                for at in range(n - len(mask) + 1)
+            )
+
+
+@pytest.mark.parametrize("n", range(1, 17))
+def test_every_pattern_of_changes_is_found(n):
+    item = [f"w{k}" for k in range(n)]
+    texts = [
+        " ".join(["before", *("x" if k in changed else w for k, w in enumerate(item)), "after"])
+        for changed in patterns(n)
+    ]
+    got = {h[0] for h in D.batch_leaks(pa.array(texts), D.Seeds([(7, " ".join(item))]))}
+    assert got == set(range(len(texts)))
+
+
+def test_hits_are_looked_at_in_pieces(monkeypatch):
+    seeds = D.Seeds([(k, "what is the " + word) for k, word in enumerate(["name", "time", "age", "sum"])])
+    texts = pa.array(["what is the name of it", "so what is the age", "what was the sum", "the sum"] * 5)
+    whole = sorted(D.batch_leaks(texts, seeds))
+    monkeypatch.setattr(D, "HIT_ROWS", 3)
+    assert sorted(D.batch_leaks(texts, seeds)) == whole and len(whole) > 15
 
 
 @pytest.fixture(scope="module")
@@ -75,8 +100,7 @@ def test_leaks_are_those_of_all_alignments(spark, planted):
     assert all(holds(docs, items, g) for g in got)
     want = plain([d for d in docs if d[0] != 122], items[:7])
     pairs = {g[:2] for g in got if g[0] != 122}
-    # seeds see most of what the rule calls a leak, and nothing else
-    assert pairs <= want and len(pairs) >= 0.9 * len(want)
+    assert pairs == want
     repeated = [g for g in got if g[0] == 3]
     assert len(repeated) == 2 * len(set(repeated)) or docs[3] not in docs[:3] + docs[4:]
     assert [(g[1], g[2], g[5]) for g in got if g[0] == 122] == [(0, 30_000, 40)]
