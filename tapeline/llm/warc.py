@@ -320,7 +320,8 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
                             rows, held = [], 0
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    spread = archives.repartition("archive").select("archive")
+    # a stated number of ranges: rows this short would be put together into one task
+    spread = archives.select("archive").repartitionByRange(max(archives.count(), 1), "archive")
     return spread.mapInArrow(read, RECORDS + ", payload binary" * payloads)
 
 

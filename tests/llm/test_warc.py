@@ -4,6 +4,7 @@ import io
 
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from tapeline.llm import registry, warc
 
@@ -118,3 +119,14 @@ def test_cut_off_archives_are_found():
 
 def test_whole_table(spark, sf_dir):
     assert registry.QUERIES["op2_warc"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+
+
+def test_a_task_reads_one_archive(spark):
+    df = spark.range(64).selectExpr("id AS page_id", "'u' AS url", "concat('page ', id) AS html")
+    archives = warc.write_archives(df.repartition(16, "page_id"), warc.new_folder(spark, "test"))
+    n = archives.count()
+    read = warc.read_archives(archives).withColumn("task", F.spark_partition_id())
+    per_task = read.groupBy("task").agg(F.count("*").alias("n")).collect()
+    sizes = sorted(r.records for r in archives.collect())
+    assert n > 4 and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert sorted(r.n for r in per_task) == sizes and sum(sizes) == 64
