@@ -9,6 +9,7 @@ confirmed by the words in which block and template differ.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -89,38 +90,48 @@ def packer(words: zstandard.ZstdCompressionDict | None = None) -> zstandard.Zstd
     return zstandard.ZstdCompressor(level=19, dict_data=words, write_content_size=False, write_dict_id=False)
 
 
-def candidates(text: str, known: frozenset) -> list[tuple[int, int]]:
+def reach(templates: tuple) -> tuple[int, int]:
+    """Words of the longest template, and of the longest notice of it with a margin."""
+    longest = max(len(wanted) for *_, wanted in prepared(templates)[0])
+    return longest, longest + int(MOST_CHANGED * longest) + MARGIN
+
+
+def candidates(text: str, known: frozenset, most: int = 100) -> list[tuple[int, int]]:
     """Spans around trigger words, as far as words of templates prevail: 1 for such
     a word, 0 for a common one and -1 for another, until the score has dropped by
-    DROP; and a few words around."""
-    triggers = [m.start() for m in re.finditer(TRIGGER, text)]
-    if not triggers:
-        return []
+    DROP or ``most`` words are passed; and a few words around.
+
+    Of the triggers within a span only the last is followed to the right: none before it
+    reaches farther.  So each word is looked at a few times, however many triggers
+    there are."""
     words = [(m.start(), m.end(), m[0].lower()) for m in WORD.finditer(text)]
+    ends = [end for _, end, _ in words]
+    triggers = sorted({bisect_right(ends, m.start()) for m in re.finditer(TRIGGER, text)} - {len(words)})
+
+    def walk(k: int, step: int) -> int:
+        best = i = k
+        score = top = 0
+        while 0 <= i + step < len(words) and score > top - DROP and abs(i - k) < most:
+            i += step
+            word = words[i][2]
+            score += 0 if word in COMMON else 1 if word in known else -1
+            if score > top:
+                top, best = score, i
+        return min(max(best + step * MARGIN, 0), len(words) - 1)
+
     spans: list[tuple[int, int]] = []
-    k = 0
-    for at in triggers:
-        while k < len(words) and words[k][1] <= at:
-            k += 1
-        if k == len(words):
-            break
-        ends = []
-        for step in (-1, 1):
-            best = i = k
-            score = top = 0
-            while 0 <= i + step < len(words) and score > top - DROP:
-                i += step
-                word = words[i][2]
-                score += 0 if word in COMMON else 1 if word in known else -1
-                if score > top:
-                    top, best = score, i
-            ends.append(min(max(best + step * MARGIN, 0), len(words) - 1))
-        start, stop = words[ends[0]][0], words[ends[1]][1]
-        if spans and start <= spans[-1][1]:
-            spans[-1] = (spans[-1][0], max(stop, spans[-1][1]))
+    t = 0
+    while t < len(triggers):
+        first, last = walk(triggers[t], -1), walk(triggers[t], 1)
+        while (inside := bisect_right(triggers, last) - 1) > t:
+            t = inside
+            last = max(walk(triggers[t], 1), last)
+        if spans and first <= spans[-1][1]:
+            spans[-1] = (spans[-1][0], max(last, spans[-1][1]))
         else:
-            spans.append((start, stop))
-    return spans
+            spans.append((first, last))
+        t += 1
+    return [(words[first][0], words[last][1]) for first, last in spans]
 
 
 def differences(block: list[str], template: list[str]) -> tuple[list[str], list[str], int, int]:
@@ -185,7 +196,39 @@ def judged(block: str, templates: tuple) -> tuple:
 
 
 def verdicts(block: str, templates: tuple) -> list[tuple]:
-    """As judged, of all notices of a block: what lies before and after a confirmed
+    """As judged, of all notices of a block.  One row if none is confirmed at all: the
+    one that saves most.
+
+    A long block is compressed window by window: copies of a notice within a block serve
+    the compressor like a template, so a template saves less the longer the block is.
+    A window begins behind the last notice; notices that begin in its first part, as
+    long as the longest template, are whole in it, later ones are left to the next."""
+    longest, margin = reach(templates)
+    starts = [m.start() for m in WORD.finditer(block)]
+    out: list[tuple] = []
+    other = None
+    at = 0
+    while at == 0 or at < len(starts):
+        last = at + longest + margin >= len(starts)
+        low = starts[at] if at else 0
+        high = len(block) if last else starts[at + longest + margin]
+        until = len(block) if last else starts[at + longest]
+        at = len(starts) if last else at + longest
+        if re.search(TRIGGER, block[low:high]):
+            for start, stop, *rest in window_verdicts(block[low:high], templates):
+                row = (low + start, low + stop, *rest)
+                if not row[-1]:
+                    other = max(other or row, row, key=lambda r: r[4] - r[5])
+                elif row[0] < until:
+                    out.append(row)
+                    at = max(at, bisect_left(starts, row[1]))
+        if not starts:
+            break
+    return out or [other or judged(block, templates)]
+
+
+def window_verdicts(block: str, templates: tuple) -> list[tuple]:
+    """As judged, of all notices of a window: what lies before and after a confirmed
     one is judged again, until none is confirmed.  One row if none is at all."""
     whole = judged(block, templates)
     if not whole[-1]:
@@ -248,8 +291,8 @@ def notices(
     text_col: str = "text",
     templates: tuple = TEMPLATES,
 ) -> DataFrame:
-    """One row per confirmed notice of a candidate block, or per block without one: the id, block (number in the document), start and
-    stop (characters), the license and number of the template that fits best, the
+    """One row per confirmed notice of a candidate block, or per block without one: the id,
+    block (number in the document), start and stop (characters), the license and number of the template that fits best, the
     block's compressed size alone and given the template, the words missing from
     the block and added to it, and whether the notice is confirmed.
 
@@ -259,6 +302,10 @@ def notices(
     the order given.  Null and empty texts and those without a trigger word give no
     rows; repeated rows give repeated rows; other columns are not looked at.
 
+    A block of any length is compressed in windows somewhat longer than the longest
+    template, so the time grows with the text and a notice is found however many
+    others stand around it.
+
     Documents without a trigger word never leave the JVM; nothing is shuffled.
     """
     kind = docs.schema[id_col].dataType.simpleString()
@@ -270,11 +317,12 @@ def notices(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, known = prepared(templates)
+        _, most = reach(templates)
         for batch in batches:
             rows, found = [], []
             for r, text in enumerate(batch.column(1)):
                 text = text.as_py()
-                for k, (start, stop) in enumerate(candidates(text, known)):
+                for k, (start, stop) in enumerate(candidates(text, known, most)):
                     for first, last, *rest in verdicts(text[start:stop], templates):
                         rows.append(r)
                         found.append((k, start + first, start + last, *rest))

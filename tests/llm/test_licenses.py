@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 
@@ -104,3 +105,30 @@ def test_rows_of_neighbouring_notices(spark):
     cc0 = licenses.TEMPLATES[-1][1].replace(" ", "\n")
     got = licenses.notices(spark.createDataFrame([(1, text), (2, cc0)], "doc_id long, text string")).collect()
     assert [(r.doc_id, r.license) for r in got if r.confirmed] == [(1, "MIT"), (1, "CC-BY-4.0"), (2, "CC0-1.0")]
+
+
+@pytest.mark.parametrize("n", [1, 2, 69, 70, 79, 80, 81, 120, 500])
+@pytest.mark.parametrize("kinds", [KNOWN[:1], KNOWN[:2], KNOWN])
+def test_notices_in_a_row_are_all_found(n, kinds):
+    row = [kinds[k % len(kinds)] for k in range(n)]
+    got = found_in(" ".join(text for text, _ in row))
+    assert [h[0] for h in got] == [name for _, name in row]
+
+
+def test_long_notices_in_a_row_are_all_found():
+    row = [licenses.TEMPLATES[k * 7 % len(licenses.TEMPLATES)] for k in range(100)]
+    got = found_in("\n".join(text for _, text in row))
+    assert [h[0] for h in got] == [name for name, _ in row]
+
+
+def test_time_grows_with_the_text():
+    def seconds(n):
+        began = time.process_time()
+        assert found_in("license " * n) == []
+        return time.process_time() - began
+
+    seconds(500)
+    few, many = seconds(2_000), seconds(16_000)
+    assert many < 16 * few
+    text = "license " * 3_000 + KNOWN[1][0] + " license" * 3_000
+    assert [h[0] for h in found_in(text)] == ["Apache-2.0"]
