@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 SHINGLE_WORDS = 5
-CHUNK_BYTES = 4 << 20  # of text that is hashed at a time; a longer text is one chunk
+CHUNK_BYTES = 1 << 20  # of text that is hashed at a time, some 80 MB of arrays; a longer text is one chunk
 
 # A byte counts as a random number times a power of an odd one, by its place.
 ODD = 0x9E3779B97F4A7C15
