@@ -31,7 +31,7 @@ class Powers:
     def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(cls.up) < n:
             for name, base in (("up", ODD), ("down", INVERSE)):
-                steps = np.full(max(n, CHUNK_BYTES), base, np.uint64)
+                steps = np.full(-(-n // CHUNK_BYTES) * CHUNK_BYTES, base, np.uint64)
                 steps[0] = 1
                 setattr(cls, name, np.cumprod(steps, dtype=np.uint64))
         return cls.up[:n], cls.down[:n]
@@ -44,7 +44,9 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def chunks(
+    texts: pa.Array, size: int = CHUNK_BYTES
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, bytes and row edges of pieces of a column; null is empty."""
     texts = texts.cast(pa.large_string()).fill_null("")
     if not len(texts):
@@ -54,7 +56,7 @@ def chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
     i = 0
     while i < len(texts):
-        j = int(np.searchsorted(edges, edges[i] + CHUNK_BYTES, side="right")) - 1
+        j = int(np.searchsorted(edges, edges[i] + size, side="right")) - 1
         j = min(max(j, i + 1), len(texts))
         yield i, data[edges[i] : edges[j]], edges[i : j + 1] - edges[i]
         i = j
