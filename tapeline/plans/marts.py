@@ -58,11 +58,11 @@ def with_companies(signals: DataFrame, companies: DataFrame) -> DataFrame:
 
 
 def with_macro(signals: DataFrame, macro: DataFrame) -> DataFrame:
-    """The macro side has one row per trading date.  Spark broadcasts it if it is
-    as small as clean dates make it (25 KB a year); else it joins by date and
-    splits a day of too many bars as skew."""
+    """The macro side has one row per trading date, at most 366 a year however many bars
+    there are (25 KB), so it goes to the bars: wide rows of all tickers are not moved
+    again by date.  Without the hint Spark guesses its size from that of all trades."""
     context = macro.select(F.col("calendar_date").alias("trading_date"), *MACRO_COLUMNS)
-    return signals.join(context, "trading_date", "left")
+    return signals.join(F.broadcast(context), "trading_date", "left")
 
 
 def dim_company(companies: DataFrame) -> DataFrame:
