@@ -2,7 +2,9 @@
 
 All of them come out of one pass per ticker: one exchange, one sort.  Sliding
 averages are differences of running totals, which cost the same for a frame of
-200 rows as for one of 7 and, on whole numbers, are exact.
+200 rows as for one of 7 and, on whole numbers, are exact.  The 52-week range is put
+together from shorter stretches, all of them behind the row, so no window needs the
+bars in another order.
 """
 
 from __future__ import annotations
@@ -103,25 +105,30 @@ DESCENDING = ", ".join(f"{c} DESC" for c in ORDER)
 
 
 def _signals(stg: DataFrame, keys: list[str]) -> DataFrame:
-    by = ", ".join(keys)
-    series = f"PARTITION BY {by} ORDER BY {', '.join(ORDER)}"
+    series = f"PARTITION BY {', '.join(keys)} ORDER BY {', '.join(ORDER)}"
+    # All windows look back in one order, so one sort serves them.  Each step works out
+    # what it can: in one step the code would be too long for the JVM to compile.
+    rows = _with_returns(stg.drop("price_id"), series)
+    rows = _with_averages(_with_volumes(rows, series), series)
+    rows = _with_volatility(rows, series)
     # The key is a hash of two columns at hand: made again after the exchange
     # rather than carried through it.
-    rows = _with_returns(stg.drop("price_id"), series)
-    rows = _with_prefixes(_with_totals(rows, series), series)
-    # The same rows from the last to the first: what came before now comes after.
-    backwards = f"PARTITION BY {by} ORDER BY row_no DESC"
-    rows = _with_suffixes(rows, backwards)
-    rows = _with_earlier_totals(rows, backwards)
-    key = surrogate_key(F.col("ticker"), F.col("trading_date"))
-    return _from_totals(rows).withColumn("price_id", key)
+    return rows.withColumn("price_id", surrogate_key(F.col("ticker"), F.col("trading_date")))
 
 
 def _with_returns(stg: DataFrame, series: str) -> DataFrame:
     close, prev = F.col("close_price"), F.col("prev_close_price")
     day_range = ratio(F.col("high_price") - F.col("low_price"), close)
+    # What a window is given is worked out before the exchange: here only columns that are
+    # there anyway, so that no others are moved.
+    windows = {
+        "row_no": f"row_number() OVER ({series})",
+        "prev_close_price": f"lag(close_price) OVER ({series})",
+        **_running(VOLUME_TOTALS, series),
+        **_lags(0, series),
+    }
     return (
-        _add(stg, {"prev_close_price": f"lag(close_price) OVER ({series})"})
+        _add(stg, windows)
         .withColumns(
             {
                 "daily_return_pct": pct_change(close, prev),
@@ -136,6 +143,7 @@ def _with_returns(stg: DataFrame, series: str) -> DataFrame:
                 "range_ticks": ticks(rnd(day_range * 100, 4)),
             }
         )
+        .selectExpr("*", *_extremes(0))
     )
 
 
@@ -143,10 +151,11 @@ def _add(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr("*", *[f"{sql} AS {name}" for name, sql in columns.items()])
 
 
-#: Running totals of values that count as 0 where they are missing.
-TOTALS = {
-    "close_sum": "sum(coalesce(close_exact, 0))",
-    "volume_sum": "sum(volume)",
+#: Running totals of values that count as 0 where they are missing: by the step that reads
+#: them.
+VOLUME_TOTALS = {"volume_sum": "sum(volume)"}
+CLOSE_TOTALS = {"close_sum": "sum(coalesce(close_exact, 0))"}
+RETURN_TOTALS = {
     "log_sum": "sum(coalesce(log_ticks, 0))",
     "log_sq_sum": "sum(coalesce(log_ticks * log_ticks, 0))",
     "log_n": "count(log_ticks)",
@@ -163,107 +172,132 @@ BACK = {
     "range_sum": (20,),
     "range_n": (20,),
 }
-#: The 52-week range: series are cut into blocks of 252 rows, so that the 252 rows up to
-#: any row are the end of one block and the start of the next.  Both ends are running
-#: extremes, which look at each row once however long the frame is.
-BLOCK_NO = f"(row_no - 1) DIV {TRADING_DAYS}"
-#: Ends of the range, and the factor by which each is a maximum.
-ENDS = {"high": 1, "low": -1}
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
-_HELPERS = [
-    "row_no", "close_exact", "wide_at", "log_ticks", "range_ticks", *TOTALS,
-    *[f"{name}_{back}" for name, rows_back in BACK.items() for back in rows_back],
-    *[f"{end}_{part}" for end in ENDS for part in ("prefix", "suffix", "before")],
-]
 
+def _running(totals: dict[str, str], series: str) -> dict[str, str]:
+    return {name: f"{total} OVER ({series} {SO_FAR})" for name, total in totals.items()}
 
-SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
+def _earlier_totals(totals: dict[str, str], series: str) -> dict[str, str]:
+    """Totals as they stood some rows ago, 0 before the start."""
+    return {
+        f"{name}_{back}": f"lag({name}, {back}, 0) OVER ({series})"
+        for name in totals
+        for back in BACK[name]
+    }
 
-def _extreme(end: str, block: str, window: str) -> str:
-    """The running extreme of the close within the block: blocks follow one another, so
-    the largest pair of block and value so far is of the current block."""
-    sign = ENDS[end]
-    largest = f"max(struct({block} AS b, {sign} * close_price AS v)) OVER ({window} {SO_FAR})"
-    return f"{sign} * ({largest}).v"
 
-
-def _with_totals(rows: DataFrame, series: str) -> DataFrame:
-    return _add(
-        rows,
-        {
-            "row_no": f"row_number() OVER ({series})",
-            **{name: f"{total} OVER ({series} {SO_FAR})" for name, total in TOTALS.items()},
-        },
-    )
+#: The 52-week range in steps: the extremes of 6 rows, of 6 such stretches, which are 36
+#: rows, and of 7 of those, which are 252.  A step looks at a few earlier rows, however
+#: long the frame is.
+STEPS = (6, 6, 7)
+assert math.prod(STEPS) == TRADING_DAYS
+#: Ends of the range, and the function that picks each.
+ENDS = {"high": "greatest", "low": "least"}
 
 
-def _with_prefixes(rows: DataFrame, series: str) -> DataFrame:
-    """Extremes from the start of each row's block, and the last row so far whose close
-    fits no decimal: frames with it have no mean."""
-    wide = {"wide_at": f"max(IF(close_exact IS NULL, row_no, NULL)) OVER ({series} {SO_FAR})"}
-    return _add(rows, wide | {f"{end}_prefix": _extreme(end, BLOCK_NO, series) for end in ENDS})
+def _stretch(end: str, step: int) -> str:
+    """The column with an end of the rows that the steps before this one cover."""
+    if step == 0:
+        return "close_price"
+    return f"{end}_{'52w' if step == len(STEPS) else math.prod(STEPS[:step])}"
 
 
-def _with_suffixes(rows: DataFrame, backwards: str) -> DataFrame:
-    """Extremes from each row to the end of its block.  Backwards blocks count down."""
-    return _add(rows, {f"{end}_suffix": _extreme(end, f"-({BLOCK_NO})", backwards) for end in ENDS})
+def _earlier(step: int) -> list[int]:
+    """How many rows back the stretches of a step end, beside the one at hand."""
+    return [i * math.prod(STEPS[:step]) for i in range(1, STEPS[step])]
 
 
-def _with_earlier_totals(rows: DataFrame, backwards: str) -> DataFrame:
-    """Totals as they stood some rows ago, 0 before the start; extremes from 251 rows ago
-    to the end of the block there, NULL before the start."""
-    totals = {
-        f"{name}_{back}": f"lead({name}, {back}, 0) OVER ({backwards})"
-        for name, rows_back in BACK.items()
-        for back in rows_back
+def _lags(step: int, series: str) -> dict[str, str]:
+    """The stretches before each row, NULL before the start."""
+    return {
+        f"{name}_{back}_back": f"lag({name}, {back}) OVER ({series})"
+        for name in dict.fromkeys(_stretch(end, step) for end in ENDS)
+        for back in _earlier(step)
     }
-    before = {
-        f"{end}_before": f"lead({end}_suffix, {TRADING_DAYS - 1}) OVER ({backwards})" for end in ENDS
+
+
+def _extremes(step: int) -> list[str]:
+    """The ends of the rows that this step covers; missing stretches do not count."""
+    found = []
+    for end, pick in ENDS.items():
+        name = _stretch(end, step)
+        parts = [name, *[f"{name}_{back}_back" for back in _earlier(step)]]
+        found.append(f"{pick}({', '.join(parts)}) AS {_stretch(end, step + 1)}")
+    return found
+
+
+_HELPERS = [
+    "row_no", "close_exact", "wide_at", "log_ticks", "range_ticks", *BACK,
+    *[f"{name}_{back}" for name, rows_back in BACK.items() for back in rows_back],
+    *[_stretch(end, step) for end in ENDS for step in range(1, len(STEPS))],
+    *[name for step in range(len(STEPS)) for name in _lags(step, "")],
+]
+
+
+def _trailing(name: str, length: int) -> str:
+    return f"({name} - {name}_{length})"
+
+
+def _with_volumes(rows: DataFrame, series: str) -> DataFrame:
+    """Means of volumes."""
+
+    def avg_volume(length: int) -> str:
+        return rnd_sql(f"{_trailing('volume_sum', length)} / least(row_no, {length})", 0)
+
+    windows = {
+        **_earlier_totals(VOLUME_TOTALS, series),
+        **_running(CLOSE_TOTALS, series),
+        **_lags(1, series),
     }
-    return _add(rows, totals | before)
+    prior = "try_divide(volume_sum_1 - volume_sum_21, least(row_no - 1, 20))"
+    return _add(
+        _add(rows, windows),
+        {
+            "avg_volume_20d": avg_volume(20),
+            "avg_volume_90d": avg_volume(90),
+            "relative_volume_20d": rnd_sql(f"try_divide(volume, {prior})", 2),
+        },
+    ).selectExpr("*", *_extremes(1))
 
 
-def _from_totals(rows: DataFrame) -> DataFrame:
-    def trailing(name: str, length: int) -> str:
-        return f"({name} - {name}_{length})"
+def _with_averages(rows: DataFrame, series: str) -> DataFrame:
+    """Means of closes and the 52-week range.  A frame with a close that fits no decimal
+    has no mean; ``wide_at`` is the last such row so far."""
 
     def sma(length: int) -> str:
-        mean = f"double({trailing('close_sum', length)}) / least(row_no, {length})"
-        return f"IF(row_no - wide_at < {length}, NULL, {rnd_sql(mean, 4)})"
+        mean = f"double({_trailing('close_sum', length)}) / least(row_no, {length})"
+        # within the rounding, so that the mean is worked out once
+        return rnd_sql(f"IF(row_no - wide_at < {length}, NULL, {mean})", 4)
+
+    windows = {
+        "wide_at": f"max(IF(close_exact IS NULL, row_no, NULL)) OVER ({series} {SO_FAR})",
+        **_earlier_totals(CLOSE_TOTALS, series),
+        **_running(RETURN_TOTALS, series),
+        **_lags(2, series),
+    }
+    means = {f"sma_{length}d": sma(length) for length in BACK["close_sum"]}
+    return _add(_add(rows, windows), means).selectExpr("*", *_extremes(2))
 
-    def avg_volume(length: int) -> str:
-        return rnd_sql(f"{trailing('volume_sum', length)} / least(row_no, {length})", 0)
+
+def _with_volatility(rows: DataFrame, series: str) -> DataFrame:
+    """Deviations of returns, the range within a day, the place in the 52-week range."""
 
     def volatility(length: int) -> str:
         """Sample deviation of the log returns, from n, sum and sum of squares."""
-        n, s = trailing("log_n", length), trailing("log_sum", length)
-        squares = trailing("log_sq_sum", length)
+        n, s = _trailing("log_n", length), _trailing("log_sum", length)
+        squares = _trailing("log_sq_sum", length)
         variance = f"try_divide({n} * {squares} - {s} * {s}, {n} * ({n} - 1))"
         # Ticks of a percentage: SCALE * 100 of them make 1.
         deviation = f"sqrt({variance}) / {SCALE * 100}D"
         return rnd_sql(f"{deviation} * {math.sqrt(TRADING_DAYS)!r}D * 100", 4)
 
-    prior = "try_divide(volume_sum_1 - volume_sum_21, least(row_no - 1, 20))"
-    day_range = f"try_divide({trailing('range_sum', 20)} / {SCALE}D, {trailing('range_n', 20)})"
+    day_range = f"try_divide({_trailing('range_sum', 20)} / {SCALE}D, {_trailing('range_n', 20)})"
     position = "try_divide(close_price - low_52w, high_52w - low_52w)"
-    ranged = _add(
-        rows,
-        {
-            "high_52w": "greatest(high_prefix, high_before)",
-            "low_52w": "least(low_prefix, low_before)",
-        },
-    )
     return _add(
-        ranged,
+        _add(rows, _earlier_totals(RETURN_TOTALS, series)),
         {
-            "sma_7d": sma(7),
-            "sma_30d": sma(30),
-            "sma_90d": sma(90),
-            "sma_200d": sma(200),
-            "avg_volume_20d": avg_volume(20),
-            "avg_volume_90d": avg_volume(90),
-            "relative_volume_20d": rnd_sql(f"try_divide(volume, {prior})", 2),
             "price_position_52w": rnd_sql(position, 4),
             "volatility_20d_annualized": volatility(20),
             "volatility_60d_annualized": volatility(60),
