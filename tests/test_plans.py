@@ -60,3 +60,9 @@ def test_range_of_52_weeks_row_by_row(spark):
     found = [(r["high_52w"], r["low_52w"]) for r in rows.select("high_52w", "low_52w").collect()]
     frames = [closes[max(0, i - 251) : i + 1] for i in range(len(closes))]
     assert found == [(max(f), min(f)) for f in frames]
+
+
+def test_price_history_takes_one_sort_of_bars(spark, sf_dir):
+    with settings(spark, spark_sql_adaptive_enabled="false"):
+        plan = plan_of(QUERIES["price_history"](spark, sf_dir)).toString()
+    assert len(re.findall(r"\bSort \[ticker", plan)) == 1
