@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tapeline.operators.series import per_series
 
@@ -115,13 +115,26 @@ def sufficient_history(stg: DataFrame, rows: int = 200) -> DataFrame:
 
 
 def unique(df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once; NULL is no value."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("unique_field"))
+    """Values that occur more than once; NULL is no value.
+
+    Keys are hashes as hexadecimal text: such a text is shuffled as the bytes it stands
+    for, half as long, and any other as it is."""
+    value = F.col(column)
+    groups = {"unique_field": value}
+    if df.schema[column].dataType == StringType():
+        is_hex = F.coalesce(F.lower(F.hex(F.unhex(value))) == value, F.lit(False))
+        short = F.when(is_hex, F.unhex(value)).otherwise(value.cast("binary"))
+        groups = {"short": short, "is_hex": is_hex}
+    found = (
+        df.filter(value.isNotNull())
+        .groupBy(*[key.alias(name) for name, key in groups.items()])
         .agg(F.count("*").alias("n_records"))
         .filter(F.col("n_records") > 1)
     )
+    if "short" in groups:
+        text = F.when(F.col("is_hex"), F.lower(F.hex("short"))).otherwise(F.col("short").cast("string"))
+        found = found.withColumn("unique_field", text)
+    return found.select("unique_field", "n_records")
 
 
 def tickers_in_dim(fact: DataFrame, companies: DataFrame) -> DataFrame:

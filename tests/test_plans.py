@@ -5,7 +5,7 @@ from contextlib import contextmanager
 
 import pytest
 
-from tapeline.operators import signals
+from tapeline.operators import quality, signals
 from tapeline.operators.staging import stg_stock_prices
 from tapeline.plans.registry import QUERIES
 from tests.frames import bars
@@ -66,3 +66,11 @@ def test_price_history_takes_one_sort_of_bars(spark, sf_dir):
     with settings(spark, spark_sql_adaptive_enabled="false"):
         plan = plan_of(QUERIES["price_history"](spark, sf_dir)).toString()
     assert len(re.findall(r"\bSort \[ticker", plan)) == 1
+
+
+def test_unique_moves_hashes_as_bytes(spark):
+    values = ["00ff", "00ff", "00FF", "00FF", "0ff", "0ff", "\x00", "00", "00", "x", "x", "", "", None, None, "ab"]
+    df = spark.createDataFrame([(v,) for v in values], "k string")
+    found = quality.unique(df, "k")
+    assert {tuple(r) for r in found.collect()} == {(v, 2) for v in ["00ff", "00FF", "0ff", "00", "x", ""]}
+    assert "unhex" in plan_of(found).toString()
