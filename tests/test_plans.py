@@ -68,6 +68,14 @@ def test_price_history_takes_one_sort_of_bars(spark, sf_dir):
     assert len(re.findall(r"\bSort \[ticker", plan)) == 1
 
 
+@pytest.mark.parametrize("name", ["price_history", "daily_movers"])
+def test_tasks_that_read_trades_sort_nothing(spark, sf_dir, name):
+    with settings(spark, spark_sql_adaptive_enabled="false"):
+        plan = plan_of(QUERIES[name](spark, sf_dir)).toString()
+    reads = [p.split("Exchange ")[-1] for p in re.findall(r".*?Scan parquet[^\n]*", plan, re.DOTALL) if "lineitem" in p]
+    assert reads and not any(re.search(r"\bSort |Aggregate", r) for r in reads)
+
+
 def test_unique_moves_hashes_as_bytes(spark):
     values = ["00ff", "00ff", "00FF", "00FF", "0ff", "0ff", "\x00", "00", "00", "x", "x", "", "", None, None, "ab"]
     df = spark.createDataFrame([(v,) for v in values], "k string")
