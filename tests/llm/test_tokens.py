@@ -188,6 +188,8 @@ def test_checksums():
     luck = random.Random(3)
     some = [luck.randbytes(n) for n in (0, 1, 3, 4, 5, 100, 511, 512, 513, 1024, 5000)]
     assert checksums.crc32c(some).tolist() == [checksums.plain(s) for s in some]
+    for n in (4, 8, 9, 511):  # in lanes as short as the strings
+        assert checksums.crc32c(some := [luck.randbytes(n), b"abcd"]).tolist() == [checksums.plain(s) for s in some]
     assert checksums.masked(np.array([0], np.uint32))[0] == checksums.MASK_DELTA
 
 
