@@ -260,3 +260,59 @@ def test_scores_of_the_whole_table(spark, sf_dir):
     rows = registry.QUERIES["op4_pseudo_likelihood"](spark, sf_dir).collect()
     assert len(rows) == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert all(r.log_likelihood < 0 for r in rows if r.tokens)
+
+
+def test_every_word_counts_by_itself(spark, monkeypatch):
+    monkeypatch.setattr(lm, "TABLE_BYTES", 2_000)  # many pieces
+    rng = random.Random(4)
+    often = [f"often{k}" for k in range(lm.FREQUENT)]
+    texts = [" ".join(rng.choices(often, k=40)) + " " + " ".join(f"Rare{rng.randrange(900)}" for _ in range(30)) for _ in range(120)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, None, texts[0]])], "doc_id long, text string")
+    words = lm.learnt_vocabulary(docs)
+    model = lm.Model(words, lm.first_weights())
+    new = "often1 rare1 neverseen often2"
+    got = lm.scored(docs.union(spark.createDataFrame([(999, new)], docs.schema)), model).collect()
+    assert len(got) == len(texts) + 3
+
+    def hashed(text):
+        data = np.frombuffer(text.encode(), np.uint8)
+        return shingles.words_at(data, np.array([0, len(data)]))[0]
+
+    n = {}
+    for t in [*texts, texts[0]]:
+        for word in t.lower().split():
+            n[word] = n.get(word, 0) + 1
+    frequent = {w for w in n if hashed(w)[0] in set(words.words)}
+    assert len(frequent) == lm.FREQUENT and len(n) > 2 * lm.FREQUENT
+    classes = {}
+    for w in n.keys() - frequent:
+        classes.setdefault(int(hashed(w)[0]) % lm.RARE, []).append(w)
+
+    def share(word):
+        if word in frequent:
+            return 1.0
+        own = classes.get(int(hashed(word)[0]) % lm.RARE, [])
+        return (n.get(word, 0) + 1) / (sum(n[w] for w in own) + len(own) + 1)
+
+    for own in classes.values():
+        assert sum(map(share, own)) < 1
+    for r in got:
+        if r.text is None:
+            assert r.tokens == 0 and r.log_likelihood == 0.0
+            continue
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        tokens, place, _ = lm.laid_out(data, np.array([0, len(data)]), words)
+        want = lm.log_chances(model.weights, tokens, place).astype(float).sum()
+        want += sum(math.log(share(w)) for w in r.text.lower().split())
+        assert r.log_likelihood == pytest.approx(want, rel=1e-6)
+        assert r.mean_log_likelihood == pytest.approx(want / r.tokens, rel=1e-6)
+
+
+def test_large_weights_do_not_overflow():
+    w = lm.first_weights()
+    w["out"][:, 3] = 40
+    w["shift"] += 3
+    tokens = np.array([lm.OUTSIDE] * 2 + [3, 5, 3] + [lm.OUTSIDE] * 2)
+    got = lm.log_chances(w, tokens, np.array([2, 3, 4]))
+    assert np.isfinite(got).all() and got[1] < -500 and got[0] > -1e-3
+    assert all(np.isfinite(x).all() for x in lm.gradient(w, tokens, np.array([2, 3, 4])).values())
