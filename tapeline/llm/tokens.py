@@ -5,10 +5,13 @@ space that follows a non-blank or that a non-blank follows.  Byte-level BPE with
 pre-tokenizer and piece models without pieces of a non-blank and a space cut there, so
 the tokens of a text are those of its units, one after the other.  Words repeat, so a
 worker meets few new ones; when its memory of units is full it forgets those of little use.
+New units of common letters, digits and marks are taken apart where the pre-tokenizer cuts
+too, as their parts repeat more often.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import cache
@@ -19,10 +22,17 @@ import numpy as np
 #: Units a worker remembers.
 UNITS = 1 << 19
 #: Characters of texts that are handled at a time, and at least one text.
-PIECE_CHARS = 1 << 17
+PIECE_CHARS = 1 << 19
 
 SAFE = re.compile(r"(?<=\S)(?= )")
 RISKY = re.compile(r" (?<=\s )\s")
+#: Units of these characters only, line feeds inside, are cut as byte-level pre-tokenizers
+#: do it, whose classes of letters, digits and other marks are written out here for them.
+SIMPLE = re.compile(r"[!-~À-ÖØ-öø-ɏ]+(?:\n+[!-~À-ÖØ-öø-ɏ]+)*")
+PARTS = re.compile(
+    r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-zÀ-ÖØ-öø-ɏ]+| ?[0-9]+| ?[!-/:-@\[-`{-~]+|\s+(?!\S)|\s+"
+)
+BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
 def units(text: str, bare: bool) -> list:
@@ -117,9 +127,9 @@ class Units:
 
     def of(self, texts: list[str], bare: bool) -> tuple[np.ndarray, np.ndarray]:
         """The codes of all units of the texts, and how many each text has."""
-        found = [list(map(self.codes.__getitem__, units(t, bare))) for t in texts]
+        found = [units(t, bare) for t in texts]
         n = np.fromiter(map(len, found), np.int64, len(found))
-        codes = np.fromiter(chain.from_iterable(found), np.int64, int(n.sum()))
+        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(found)), np.int64, int(n.sum()))
         if self.codes.new:
             new, self.codes.new = self.codes.new, []
             for lists, more in zip(self.lists, self.encode(new)):
@@ -173,26 +183,71 @@ class Tokens:
         self.lengths = np.zeros(max(self.bytes) + 1, np.int64)
         self.lengths[list(self.bytes)] = [len(x) for x in self.bytes.values()]
         self.units = Units(lambda new: [self.ids(new)], 1)
+        self.parts, self.part_ids = Codes(), Lists()
+        how = json.loads(self.tokenizer.to_str())
+        self.cuts = how["normalizer"] is None and (how["pre_tokenizer"] or {}).items() >= BYTE_LEVEL.items()
+        added = [re.escape(t["content"]) for t in how["added_tokens"]]
+        self.added = re.compile("|".join(added) or r"(?!)")
 
     def ids(self, new: list) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of units.  Those without blanks are encoded as one text, as their edges
-        are places no token reaches across, and told apart by their bytes."""
-        plain = np.fromiter((isinstance(u, str) and u.split() == [u] for u in new), bool, len(new))
-        words = [" " + u for u, one in zip(new, plain) if one]
-        odd = [u[0] if isinstance(u, tuple) else " " + u for u, one in zip(new, plain) if not one]
-        values, n = flat([e.ids for e in self.tokenizer.encode_batch_fast(odd, add_special_tokens=False)])
-        if words:
-            ids = self.tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids
-            ids = np.fromiter(ids, np.int32, len(ids))
-            ends = np.cumsum(np.fromiter((len(w.encode()) for w in words), np.int64, len(words)))
-            last = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            values, n = np.concatenate([ids, values]), np.concatenate([np.diff(last, prepend=0), n])
-        order = np.empty(len(new), np.int64)
-        order[np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])] = np.arange(len(new))
+        """The ids of units: by their parts, or of those without blanks as one text, as
+        their edges are places no token reaches across, or one by one."""
+        simple, plain, odd = [], [], []
+        for i, u in enumerate(new):
+            if isinstance(u, str) and self.cuts and SIMPLE.fullmatch(u) and not self.added.search(u):
+                simple.append(i)
+            elif isinstance(u, str) and u.split() == [u]:
+                plain.append(i)
+            else:
+                odd.append(i)
         lists = Lists()
-        lists.append(values, n)
+        lists.append(*self.by_parts([new[i] for i in simple]))
+        lists.append(*self.joined([" " + new[i] for i in plain]))
+        alone = [new[i][0] if isinstance(new[i], tuple) else " " + new[i] for i in odd]
+        lists.append(*flat([e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]))
+        order = np.empty(len(new), np.int64)
+        order[np.array(simple + plain + odd, np.int64)] = np.arange(len(new))
         return lists.gather(order)
 
+    def joined(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of strings that no token reaches across, encoded as one text and told
+        apart by their bytes."""
+        if not strings:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        ids = self.tokenizer.encode_batch_fast(["".join(strings)], add_special_tokens=False)[0].ids
+        ids = np.fromiter(ids, np.int32, len(ids))
+        ends = np.cumsum(np.fromiter((len(s.encode()) for s in strings), np.int64, len(strings)))
+        last = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+        return ids, np.diff(last, prepend=0)
+
+    def by_parts(self, simple: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units of SIMPLE characters, gathered from those of their parts."""
+        if len(self.parts) > UNITS:
+            self.parts, self.part_ids = Codes(), Lists()
+        found = PARTS.findall("".join([" " + u for u in simple]))
+        codes = np.fromiter(map(self.parts.__getitem__, found), np.int64, len(found))
+        if self.parts.new:
+            new, self.parts.new = self.parts.new, []
+            # a line feed behind a part is one by itself; blanks would join with it
+            blank = [i for i, p in enumerate(new) if p.isspace()]
+            words = [p for p in new if not p.isspace()]
+            ids, n = self.joined([s for p in words for s in (p, "\n")])
+            lists = Lists()
+            lists.append(ids, n)
+            ids, n = lists.gather(np.arange(0, len(n), 2))
+            lists = Lists()
+            lists.append(ids, n)
+            alone = self.tokenizer.encode_batch_fast([new[i] for i in blank], add_special_tokens=False)
+            lists.append(*flat([e.ids for e in alone]))
+            order = np.full(len(new), -1)
+            order[blank] = len(words) + np.arange(len(blank))
+            order[order < 0] = np.arange(len(words))
+            self.part_ids.append(*lists.gather(order))
+        ids, each = self.part_ids.gather(codes)
+        ends = np.cumsum(np.fromiter(map(len, simple), np.int64, len(simple)) + 1)
+        last = np.searchsorted(np.cumsum(np.fromiter(map(len, found), np.int64, len(found))), ends) + 1
+        return ids, sums(each, np.diff(last, prepend=0))
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts as one array, and how many each text has."""
         if self.units.full():

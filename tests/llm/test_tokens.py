@@ -259,3 +259,24 @@ def test_no_records(spark, tmp_path):
     df = spark.createDataFrame([], "doc_id long, text string")
     files = record_files.write_records(df, f"file://{tmp_path}", record_files.by_tokenizer(tokenizer_file(BPE)))
     assert record_files.read_records(files).count() == 0
+
+
+def test_units_are_encoded_by_their_parts(bpe, monkeypatch):
+    rng = random.Random(8)
+    stems = ["foo", "Bär", "can't", "it's", "x''s", "12", "l33t", "é", "_", "a_b", "ǅ", "<|endoftext|>", "²", "½", "語", "'ll", "don'tx", "\u00d7"]
+    marks = ["", ",", ".\n", "\n\n", "...", "!?\n", "-", "'", "\n", " \n"]
+    some = [
+        " ".join("".join(rng.choice(stems) + rng.choice(marks) for _ in range(rng.randrange(1, 4))) for _ in range(30))
+        for _ in range(300)
+    ]
+    encoder = tokens.Tokens(tokenizer_file(BPE))
+    sent, whole = [], encoder.joined
+    monkeypatch.setattr(encoder, "joined", lambda strings: sent.extend(strings) or whole(strings))
+    ids, n = encoder.encode(some)
+    for t, x in zip(some, np.split(ids, np.cumsum(n)[:-1])):
+        assert x.tolist() == bpe.encode(t, add_special_tokens=False).ids, repr(t)
+    assert " foo" in sent and not any("foo," in s or "foo." in s for s in sent if s.isascii() and "endoftext" not in s)
+    # a full memory of parts is begun anew
+    monkeypatch.setattr(tokens, "UNITS", 4)
+    for t in some[:40]:
+        assert encoder.encode([t])[0].tolist() == bpe.encode(t, add_special_tokens=False).ids
