@@ -18,6 +18,8 @@ from functools import cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units a worker remembers.
 UNITS = 1 << 19
@@ -35,13 +37,18 @@ PARTS = re.compile(
 BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
 
 
+def is_odd(text: str, bare: bool) -> bool:
+    """Whether units may begin elsewhere than at every space of the text."""
+    whole = text if bare else " " + text
+    return "  " in whole or whole.endswith(" ") or RISKY.search(whole) is not None
+
+
 def units(text: str, bare: bool) -> list:
     """The units of a text, or with ``bare=False`` of a space and the text.
 
     A string stands for a space and itself, a tuple for the string in it."""
-    whole = text if bare else " " + text
-    if "  " in whole or whole.endswith(" ") or RISKY.search(whole):
-        found = SAFE.split(whole)
+    if is_odd(text, bare):
+        found = SAFE.split(text if bare else " " + text)
         return [(found[0],) if bare else found[0][1:], *[u[1:] for u in found[1:]]]
     found = text.split(" ")
     if bare:
@@ -49,6 +56,35 @@ def units(text: str, bare: bool) -> list:
     return found
 
 
+def distinct(texts: list[str], bare: bool) -> tuple[list, np.ndarray, np.ndarray]:
+    """The ``units`` of some texts, repeated ones mostly once, where in this list each
+    unit of the texts stands, and how many each text has."""
+    odd = np.fromiter((is_odd(t, bare) for t in texts), bool, len(texts))
+    found = [units(t, bare) for t, o in zip(texts, odd) if o]
+    even = [t for t, o in zip(texts, odd) if not o] if found else texts
+    n = np.empty(len(texts), np.int64)
+    n[odd] = [len(f) for f in found]
+    first = [t.partition(" ") for t in even] if bare else []
+    rest = pa.array([r if space else None for _, space, r in first] if bare else even, pa.large_string())
+    lists = pc.split_pattern(rest, " ")
+    coded = lists.values.dictionary_encode()
+    names = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # far quicker than to_pylist
+    ends = lists.offsets.to_numpy()
+    places = coded.indices.to_numpy().astype(np.int64)
+    n[~odd] = np.diff(ends) + bare
+    if bare:
+        places = np.insert(places, ends[:-1], len(names) + np.arange(len(first)))
+        names += [(f,) for f, _, _ in first]
+    if found:
+        is_own = np.repeat(odd, n)
+        both = np.empty(len(is_own), np.int64)
+        both[~is_own] = places
+        both[is_own] = len(names) + np.arange(len(is_own) - len(places))
+        places = both
+        names += chain.from_iterable(found)
+    return names, places, n
+
+
 class Codes(dict):
     """Numbers of units in the order of their first sight; ``new`` are those seen since
     it was last emptied."""
@@ -127,9 +163,8 @@ class Units:
 
     def of(self, texts: list[str], bare: bool) -> tuple[np.ndarray, np.ndarray]:
         """The codes of all units of the texts, and how many each text has."""
-        found = [units(t, bare) for t in texts]
-        n = np.fromiter(map(len, found), np.int64, len(found))
-        codes = np.fromiter(map(self.codes.__getitem__, chain.from_iterable(found)), np.int64, int(n.sum()))
+        found, places, n = distinct(texts, bare)
+        codes = np.fromiter(map(self.codes.__getitem__, found), np.int64, len(found))[places]
         if self.codes.new:
             new, self.codes.new = self.codes.new, []
             for lists, more in zip(self.lists, self.encode(new)):
@@ -186,20 +221,22 @@ class Tokens:
         self.parts, self.part_ids = Codes(), Lists()
         how = json.loads(self.tokenizer.to_str())
         self.cuts = how["normalizer"] is None and (how["pre_tokenizer"] or {}).items() >= BYTE_LEVEL.items()
-        added = [re.escape(t["content"]) for t in how["added_tokens"]]
-        self.added = re.compile("|".join(added) or r"(?!)")
+        added = [t["content"] for t in how["added_tokens"]]
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)")
+        self.cuts &= not any(map(str.isspace, "".join(added)))
 
     def ids(self, new: list) -> tuple[np.ndarray, np.ndarray]:
         """The ids of units: by their parts, or of those without blanks as one text, as
         their edges are places no token reaches across, or one by one."""
-        simple, plain, odd = [], [], []
-        for i, u in enumerate(new):
-            if isinstance(u, str) and self.cuts and SIMPLE.fullmatch(u) and not self.added.search(u):
-                simple.append(i)
-            elif isinstance(u, str) and u.split() == [u]:
-                plain.append(i)
-            else:
-                odd.append(i)
+        simple = [i for i, u in enumerate(new) if isinstance(u, str) and SIMPLE.fullmatch(u)] if self.cuts else []
+        if self.added.search(" ".join([new[i] for i in simple])):
+            simple = [i for i in simple if not self.added.search(new[i])]
+        left = np.ones(len(new), bool)
+        left[simple] = False
+        plain, odd = [], []
+        for i in np.flatnonzero(left).tolist():
+            u = new[i]
+            (plain if isinstance(u, str) and u.split() == [u] else odd).append(i)
         lists = Lists()
         lists.append(*self.by_parts([new[i] for i in simple]))
         lists.append(*self.joined([" " + new[i] for i in plain]))
@@ -214,9 +251,13 @@ class Tokens:
         apart by their bytes."""
         if not strings:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        ids = self.tokenizer.encode_batch_fast(["".join(strings)], add_special_tokens=False)[0].ids
+        text = "".join(strings)
+        ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
         ids = np.fromiter(ids, np.int32, len(ids))
-        ends = np.cumsum(np.fromiter((len(s.encode()) for s in strings), np.int64, len(strings)))
+        ends = np.cumsum(np.fromiter(map(len, strings), np.int64, len(strings)))
+        if not text.isascii():  # from characters to bytes
+            raw = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero(raw & 0xC0 != 0x80), len(raw))[ends]
         last = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
         return ids, np.diff(last, prepend=0)
 
@@ -228,20 +269,20 @@ class Tokens:
         codes = np.fromiter(map(self.parts.__getitem__, found), np.int64, len(found))
         if self.parts.new:
             new, self.parts.new = self.parts.new, []
-            # a line feed behind a part is one by itself; blanks would join with it
-            blank = [i for i, p in enumerate(new) if p.isspace()]
-            words = [p for p in new if not p.isspace()]
-            ids, n = self.joined([s for p in words for s in (p, "\n")])
+            spaced, tight, blank = [], [], []
+            for i, p in enumerate(new):
+                (blank if p.isspace() else spaced if p[0] == " " else tight).append(i)
             lists = Lists()
-            lists.append(ids, n)
-            ids, n = lists.gather(np.arange(0, len(n), 2))
-            lists = Lists()
-            lists.append(ids, n)
+            # the space in front of a part keeps it from the one before
+            lists.append(*self.joined([new[i] for i in spaced]))
+            # a line feed behind a part is one by itself; blanks would join with it
+            fed = Lists()
+            fed.append(*self.joined([s for i in tight for s in (new[i], "\n")]))
+            lists.append(*fed.gather(np.arange(0, fed.n, 2)))
             alone = self.tokenizer.encode_batch_fast([new[i] for i in blank], add_special_tokens=False)
             lists.append(*flat([e.ids for e in alone]))
-            order = np.full(len(new), -1)
-            order[blank] = len(words) + np.arange(len(blank))
-            order[order < 0] = np.arange(len(words))
+            order = np.empty(len(new), np.int64)
+            order[np.array(spaced + tight + blank, np.int64)] = np.arange(len(new))
             self.part_ids.append(*lists.gather(order))
         ids, each = self.part_ids.gather(codes)
         ends = np.cumsum(np.fromiter(map(len, simple), np.int64, len(simple)) + 1)

@@ -280,3 +280,31 @@ def test_units_are_encoded_by_their_parts(bpe, monkeypatch):
     monkeypatch.setattr(tokens, "UNITS", 4)
     for t in some[:40]:
         assert encoder.encode([t])[0].tolist() == bpe.encode(t, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("bare", [True, False])
+def test_distinct_units_are_those_of_each_text(bare):
+    for some in (texts(11, 80), ["a b a", "", "b"], ["  ", "a  b"], []):
+        some = [t or "" for t in some]
+        found, places, n = tokens.distinct(some, bare)
+        assert n.tolist() == [len(tokens.units(t, bare)) for t in some]
+        assert [found[p] for p in places.tolist()] == [u for t in some for u in tokens.units(t, bare)]
+
+
+def test_repeated_units_are_looked_up_once(bpe, monkeypatch):
+    asked = []
+
+    class Asked(tokens.Codes):
+        def __getitem__(self, unit):
+            asked.append(unit)
+            return super().__getitem__(unit)
+
+    encoder = tokens.Tokens(tokenizer_file(BPE))
+    encoder.units.codes = Asked()
+    sent, whole = [], encoder.joined
+    monkeypatch.setattr(encoder, "joined", lambda strings: sent.extend(strings) or whole(strings))
+    text = "one " + "two three, " * 500 + "four"
+    assert encoder.encode([text])[0].tolist() == bpe.encode(text).ids
+    assert asked.count("two") == 1 and len(asked) == 4
+    # a line feed goes only behind what has no space in front
+    assert sent.count("\n") == 1 and set(sent) == {" two", " three", " four", ",", "\n"}
