@@ -173,8 +173,10 @@ def incremental_signals(m: Market) -> DataFrame:
     """The signals kept by three batches of bars: the first lacks a month and has another
     one wrong, the second brings both, the third all later bars."""
     bars = m.raw_prices().withColumn("date", F.col("date").cast("timestamp_ntz"))
-    month = F.date_format("date", "yyyy-MM")
-    early, late, wrong = F.col("date") < HISTORY[1], month == LATE, month == WRONG
+    # asked of every trade, so by days and not by their text
+    month = F.trunc("date", "month")
+    late, wrong = (month == F.to_date(F.lit(f"{name}-01")) for name in (LATE, WRONG))
+    early = F.col("date") < HISTORY[1]
     batches = [
         bars.filter(early & ~late).withColumns(
             {

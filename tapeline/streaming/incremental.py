@@ -16,6 +16,7 @@ copied, so a run that broke off repairs what it left when it runs again.
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,10 +45,16 @@ def placed(rows: DataFrame, slots: int) -> DataFrame:
     return rows.withColumns({"month": month_of("trading_date"), "slot": slot_of("ticker", slots)})
 
 
+def literal_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
+    """Some rows as part of the plan, so that no Python worker starts for them."""
+    found = F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(found))
+
+
 def with_markers(rows: DataFrame, parts: Parts, spark: SparkSession) -> DataFrame:
     """The rows and an empty one for each part, so that a part whose bars are all gone is
     replaced too."""
-    empty = spark.createDataFrame(parts, "month string, slot int")
+    empty = literal_rows(spark, [dict(zip(PLACE, p)) for p in parts], "month: string, slot: int")
     return rows.unionByName(empty, allowMissingColumns=True)
 
 
@@ -63,8 +70,10 @@ def reach_of(spark: SparkSession, target: str, parts: Parts, reach: int = REACH)
     touched = defaultdict(list)
     for month, slot in parts:
         touched[slot].append(month)
-    ends = spark.createDataFrame(
-        [(slot, min(m), max(m)) for slot, m in touched.items()], "slot int, first string, last string"
+    ends = literal_rows(
+        spark,
+        [{"slot": slot, "first": min(m), "last": max(m)} for slot, m in touched.items()],
+        "slot: int, first: string, last: string",
     )
     depth = (
         spark.read.schema("ticker string, bars bigint, month string, slot int")
@@ -72,15 +81,22 @@ def reach_of(spark: SparkSession, target: str, parts: Parts, reach: int = REACH)
         .filter(F.col("bars").isNotNull() & F.col("slot").isin(sorted(touched)))
         .join(F.broadcast(ends), "slot")  # a row per slot
     )
-    series = Window.partitionBy("slot", "ticker").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.when(F.col("month") < F.col("first"), F.col("bars")).otherwise(0)
-    after = F.when(F.col("month") > F.col("last"), F.col("bars")).otherwise(0)
+    is_before, is_after = F.col("month") < F.col("first"), F.col("month") > F.col("last")
+    before = F.when(is_before, F.col("bars")).otherwise(0)
+    after = F.when(is_after, F.col("bars")).otherwise(0)
+    # months between the changed ones are read anyway
+    ticker = Window.partitionBy("slot", "ticker").orderBy("month")  # one order, so one sort
+    whole = ticker.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    so_far = ticker.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     # a month is needed as long as the months nearer to the change do not reach far enough
-    nearer_before = F.coalesce(F.sum(before).over(series.orderBy(F.desc("month"))), F.lit(0))
-    nearer_after = F.coalesce(F.sum(after).over(series.orderBy("month")), F.lit(0))
-    needed = depth.withColumns({"nearer_before": nearer_before, "nearer_after": nearer_after})
-    lead = (F.col("month") < F.col("first")) & (F.col("nearer_before") < reach)
-    tail = (F.col("month") > F.col("last")) & (F.col("nearer_after") < reach)
+    needed = depth.filter(is_before | is_after).withColumns(
+        {
+            "nearer_before": F.sum(before).over(whole) - F.sum(before).over(so_far),
+            "nearer_after": F.sum(after).over(so_far) - after,
+        }
+    )
+    lead = is_before & (F.col("nearer_before") < reach)
+    tail = is_after & (F.col("nearer_after") < reach)
     found = needed.groupBy("slot").agg(
         F.min(F.when(lead, F.col("month"))).alias("lead"),
         F.max(F.when(tail, F.col("month"))).alias("tail"),

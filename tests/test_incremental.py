@@ -130,3 +130,19 @@ def test_fact_over_files_that_landed(spark, tmp_path):
     got = incremental.read_fact(spark, target, about, int_macro_context(stg, seen))
     want = marts.fct_daily_trading(stg, about, seen)
     assert sorted(got.collect()) == sorted(want.collect()) and got.count() == 3
+
+
+def test_months_are_those_of_the_format(spark):
+    days = ["0001-01-01", "0999-12-31", "1000-01-01", "1998-05-31", "2001-11-04", "9999-12-31", "+10000-02-01", None]
+    df = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("date").alias("d"))
+    both = df.select(ingest.month_of("d"), F.coalesce(F.date_format("d", "yyyy-MM"), F.lit(ingest.UNDATED))).collect()
+    assert [r[0] for r in both] == [r[1] for r in both] and both[3][0] == "1998-05"
+
+
+def test_the_reach_takes_one_sort_and_no_python_rows(spark, target):
+    span = incremental.reach_of(spark, target, [("2020-03", 1), ("2020-05", 1)])
+    plan = span._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window [") == 1 and "ExistingRDD" not in plan
+    marked = incremental.with_markers(span.limit(0), [("2020-03", 1), ("undated", 2)], spark)
+    assert "ExistingRDD" not in marked._jdf.queryExecution().sparkPlan().toString()
+    assert [(r.month, r.slot) for r in marked.collect()] == [("2020-03", 1), ("undated", 2)]
