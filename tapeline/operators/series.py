@@ -10,7 +10,7 @@ as on the whole series.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -72,13 +72,15 @@ def per_series(
     compute: Callable[[DataFrame, list[str]], DataFrame],
     slice_rows: int | None,
     reach: int = REACH,
+    keys: Sequence[str] = ("ticker",),
 ) -> DataFrame:
     """Run window columns per ticker or, with ``slice_rows``, per slice of one.
 
-    ``compute`` gets the rows and the columns to partition its windows by.
+    ``compute`` gets the rows and the columns to partition its windows by: ``keys``, which
+    may name columns that follow from the ticker beside it.
     """
     if slice_rows is None:
-        return compute(df, ["ticker"])
+        return compute(df, [*keys])
     slices = cut_long_series(df, reach, slice_rows)
-    rows = compute(slices, ["ticker", "slice_no"])
+    rows = compute(slices, [*keys, "slice_no"])
     return rows.filter(~F.col("is_lead")).drop("slice_no", "is_lead")

@@ -10,6 +10,7 @@ bars in another order.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,9 +94,12 @@ def trailing_signals(
     return rows.filter("is_wanted").select(SIGNALS)
 
 
-def with_signals(stg: DataFrame, slice_rows: int | None = None) -> DataFrame:
-    """The staged bars with the signals beside their own columns."""
-    return per_series(stg, _signals, slice_rows).drop(*_HELPERS)
+def with_signals(
+    stg: DataFrame, slice_rows: int | None = None, keys: Sequence[str] = ("ticker",)
+) -> DataFrame:
+    """The staged bars with the signals beside their own columns.  Bars that are laid out
+    by columns which follow from the ticker are not moved if ``keys`` names these too."""
+    return per_series(stg, _signals, slice_rows, keys=keys).drop(*_HELPERS)
 
 
 #: Bars of one date follow by their own figures, so that repeated loads give the same

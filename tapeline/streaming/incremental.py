@@ -3,7 +3,8 @@
 Three more datasets lie under an ingestion target, by month and slot like ``current``:
 
 ``depth``     staged bars per ticker in each month and slot
-``signals``   the per-ticker columns of the fact, one row per staged bar
+``signals``   the per-ticker columns of the fact, one row per staged bar, less the key,
+              which is hashed from ticker and date again on reading
 
 A changed bar moves the signals of itself and of the bars whose frames reach back to it,
 and these reach back over REACH bars.  For each slot a batch touches, ``depth`` says in
@@ -22,14 +23,16 @@ from collections import defaultdict
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tapeline.functions.labels import surrogate_key
 from tapeline.operators.series import REACH
-from tapeline.operators.signals import SIGNALS, daily_signals
+from tapeline.operators.signals import SIGNALS, daily_signals, with_signals
 from tapeline.operators.staging import stg_stock_prices
 from tapeline.plans import marts
 from tapeline.streaming.ingest import (
     PLACE,
     SLOTS,
     UNDATED,
+    freed_shuffles,
     in_parts,
     merge_prices,
     month_of,
@@ -39,6 +42,8 @@ from tapeline.streaming.ingest import (
 )
 
 Parts = list[tuple[str, int]]
+#: The signals in the files.
+STORED = [c for c in SIGNALS if c != "price_id"]
 
 
 def placed(rows: DataFrame, slots: int) -> DataFrame:
@@ -61,7 +66,13 @@ def with_markers(rows: DataFrame, parts: Parts, spark: SparkSession) -> DataFram
 def refresh_depth(spark: SparkSession, target: str, parts: Parts, slots: int) -> None:
     bars = placed(stg_stock_prices(read_current(spark, target).filter(in_parts(parts))), slots)
     counts = bars.groupBy(*PLACE, "ticker").agg(F.count("*").alias("bars"))
-    replace_parts(with_markers(counts, parts, spark), f"{target}/depth")
+    rows = with_markers(counts, parts, spark).hint("rebalance", *PLACE)
+    replace_parts(rows, f"{target}/depth")
+
+
+def read_depth(spark: SparkSession, target: str) -> DataFrame:
+    stored = spark.read.schema("ticker string, bars bigint, month string, slot int")
+    return stored.parquet(f"{target}/depth").filter("bars IS NOT NULL")
 
 
 def reach_of(spark: SparkSession, target: str, parts: Parts, reach: int = REACH) -> DataFrame:
@@ -75,12 +86,8 @@ def reach_of(spark: SparkSession, target: str, parts: Parts, reach: int = REACH)
         [{"slot": slot, "first": min(m), "last": max(m)} for slot, m in touched.items()],
         "slot: int, first: string, last: string",
     )
-    depth = (
-        spark.read.schema("ticker string, bars bigint, month string, slot int")
-        .parquet(f"{target}/depth")
-        .filter(F.col("bars").isNotNull() & F.col("slot").isin(sorted(touched)))
-        .join(F.broadcast(ends), "slot")  # a row per slot
-    )
+    depth = read_depth(spark, target).filter(F.col("slot").isin(sorted(touched)))
+    depth = depth.join(F.broadcast(ends), "slot")  # a row per slot
     is_before, is_after = F.col("month") < F.col("first"), F.col("month") > F.col("last")
     before = F.when(is_before, F.col("bars")).otherwise(0)
     after = F.when(is_after, F.col("bars")).otherwise(0)
@@ -117,21 +124,38 @@ def refresh_signals(
     parts = [p for p in parts if p[0] != UNDATED]
     if not parts:
         return
-    refresh_depth(spark, target, parts, slots)
-    # a row per slot: fixed in number
-    spans = {r.slot: r for r in reach_of(spark, target, parts).collect()}
-    months = read_current(spark, target).filter(F.col("slot").isin(sorted(spans))).select(*PLACE).distinct()
-    read, write = [], []
-    # names of folders, not of bars: SLOTS a month at most
-    for month, slot in (tuple(r) for r in months.collect()):
-        span = spans[slot]
-        if month != UNDATED and span.read_from <= month <= span.last:
-            read.append((month, slot))
-            if month >= span.first:
-                write.append((month, slot))
-    bars = stg_stock_prices(read_current(spark, target).filter(in_parts(read)))
-    rows = placed(daily_signals(bars), slots)
-    replace_parts(with_markers(rows.filter(in_parts(write)), write, spark), f"{target}/signals")
+    with freed_shuffles(spark):
+        refresh_depth(spark, target, parts, slots)
+        # a row per slot: fixed in number
+        spans = {r.slot: r for r in reach_of(spark, target, parts).collect()}
+        of_slots = F.col("slot").isin(sorted(spans))
+        # names of folders, not of bars: SLOTS a month at most
+        months, filled = (
+            {tuple(r) for r in rows.filter(of_slots).select(*PLACE).distinct().collect()}
+            for rows in (read_current(spark, target), read_depth(spark, target))
+        )
+        read, write = [], []
+        for month, slot in sorted(months):
+            span = spans[slot]
+            if month != UNDATED and span.read_from <= month <= span.last:
+                read.append((month, slot))
+                if month >= span.first:
+                    write.append((month, slot))
+        bars = stg_stock_prices(read_current(spark, target).filter(in_parts(read)))
+        rows = signals_by_slot(bars, slots).filter(in_parts(write))
+        emptied = [p for p in write if p not in filled]
+        if emptied:
+            rows = with_markers(rows, emptied, spark)
+        replace_parts(rows, f"{target}/signals")
+
+
+def signals_by_slot(bars: DataFrame, slots: int) -> DataFrame:
+    """The stored signals with their place.  Bars are laid out by ranges of slot and ticker
+    before the windows, so the wide rows behind these are written where they are: a task
+    holds few slots."""
+    laid = bars.withColumn("slot", slot_of("ticker", slots)).repartitionByRange("slot", "ticker")
+    rows = with_signals(laid, keys=["slot", "ticker"])
+    return rows.select(*STORED, month_of("trading_date").alias("month"), "slot")
 
 
 def merge_and_refresh(
@@ -144,12 +168,13 @@ def merge_and_refresh(
 
 def read_signals(spark: SparkSession, target: str) -> DataFrame:
     """The stored signals: those of ``daily_signals`` over all ingested bars."""
-    schema = daily_signals(stg_stock_prices(read_current(spark, target))).schema
+    schema = daily_signals(stg_stock_prices(read_current(spark, target))).select(STORED).schema
     places = "month string, slot int"
     stored = spark.read.schema(
         ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + ", " + places
     ).parquet(f"{target}/signals")
-    return stored.filter(F.col("price_id").isNotNull()).select(SIGNALS)
+    key = surrogate_key(F.col("ticker"), F.col("trading_date"))
+    return stored.filter("trading_date IS NOT NULL").withColumn("price_id", key).select(SIGNALS)
 
 
 def read_fact(spark: SparkSession, target: str, companies: DataFrame, macro: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,8 @@ PLACED = StructType(
     [*PRICES, StructField("month", StringType()), StructField("slot", IntegerType())]
 )
 LANDED = StructType([*PLACED, StructField("batch", StringType())])
+#: Whether a query removes its shuffle files when it ends.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: The month of bars without a date.
 UNDATED = "undated"
 #: Parts of a month, unless a caller names another number.  A batch rewrites whole parts,
@@ -39,12 +42,17 @@ SLOTS = 32
 def latest_load(rows: DataFrame) -> DataFrame:
     """One row per ticker and date, the one loaded last: of the latest extraction,
     and of several with that time from the latest batch, by its name.  Only bars of
-    one batch are settled by their figures.  A maximum, so repeated loads of a bar
-    collapse map-side instead of meeting in one task."""
+    one batch are settled by their figures.  A maximum, so repeated loads of a bar stream
+    through one task without being held.
+
+    Rows are dealt by ranges of their place first: the maximum and the files written from
+    it share that one exchange."""
     rest = [c for c in FIELDS if c not in (*KEY, "extracted_at")]
     newest = F.max(F.struct("extracted_at", "batch", *rest)).alias("newest")
+    dealt = rows.repartitionByRange(*PLACE, *KEY)
     # The sort below compares the first bytes of the first key, which tickers share.
-    return rows.groupBy(*reversed(KEY)).agg(newest).select(*KEY, "newest.*").select(FIELDS)
+    found = dealt.groupBy(*reversed(KEY), *PLACE).agg(newest)
+    return found.select(*KEY, *PLACE, "newest.*").select(*FIELDS, *PLACE)
 
 
 def month_of(date: str | Column) -> Column:
@@ -65,15 +73,31 @@ def with_place(rows: DataFrame, slots: int = SLOTS) -> DataFrame:
     )
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries begun inside remove their shuffle files as they end.  Else these stay until
+    the driver happens to collect its garbage, and those of all steps add up on disk."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREED)
+        else:
+            spark.conf.set(FREED, before)
+
+
+def write_parts(rows: DataFrame, path: str, **options: str) -> None:
+    writer = rows.write.mode("overwrite").options(compression="zstd", **options)
+    writer.partitionBy(*PLACE).parquet(path)
+
+
 def replace_parts(rows: DataFrame, path: str) -> None:
-    """Replaces the months and slots that rows has, and leaves the others as they are."""
-    (
-        rows.hint("rebalance", *PLACE)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PLACE)
-        .parquet(path)
-    )
+    """Replaces the months and slots that rows has, and leaves the others as they are.
+    Each task writes a file for every part it holds rows of: rows come laid out by slot or
+    month, so that these are few."""
+    write_parts(rows, path, partitionOverwriteMode="dynamic")
 
 
 def in_parts(parts: Iterable[tuple[str, int]]) -> Column:
@@ -98,16 +122,14 @@ def merge_prices(
     slots touched.  Names of later batches sort behind those of earlier ones."""
     spark = batch.sparkSession
     mine = f"{target}/landed/batch={name}"
-    rows = with_place(batch, slots).hint("rebalance", *PLACE)
-    rows.write.mode("overwrite").partitionBy(*PLACE).parquet(mine)
-
-    landed = spark.read.schema(LANDED).parquet(f"{target}/landed")
-    # At most ``slots`` values a month reach the driver.
-    touched = spark.read.schema(PLACED).parquet(mine).select(*PLACE).distinct()
-    parts = [tuple(row) for row in touched.collect()]
-    if parts:
-        rows = landed.filter(in_parts(parts))
-        replace_parts(with_place(latest_load(rows), slots), f"{target}/current")
+    with freed_shuffles(spark):
+        write_parts(with_place(batch, slots).hint("rebalance", *PLACE), mine)
+        landed = spark.read.schema(LANDED).parquet(f"{target}/landed")
+        # At most ``slots`` values a month reach the driver.
+        touched = spark.read.schema(PLACED).parquet(mine).select(*PLACE).distinct()
+        parts = [tuple(row) for row in touched.collect()]
+        if parts:
+            replace_parts(latest_load(landed.filter(in_parts(parts))), f"{target}/current")
     return parts
 
 

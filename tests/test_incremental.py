@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 import shutil
 from pathlib import Path
 
@@ -146,3 +147,57 @@ def test_the_reach_takes_one_sort_and_no_python_rows(spark, target):
     marked = incremental.with_markers(span.limit(0), [("2020-03", 1), ("undated", 2)], spark)
     assert "ExistingRDD" not in marked._jdf.queryExecution().sparkPlan().toString()
     assert [(r.month, r.slot) for r in marked.collect()] == [("2020-03", 1), ("undated", 2)]
+
+
+def plans(spark, *frames):
+    """Executed plans as they stand before the first stage has run."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    found = [df._jdf.queryExecution().executedPlan() for df in frames]
+    text = [p.toString() for p in found]
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    return found, text
+
+
+def test_rows_are_moved_once_on_their_way_to_a_dataset(spark, target):
+    landed = spark.read.schema(ingest.LANDED).parquet(f"{target}/landed")
+    stg = stg_stock_prices(ingest.read_current(spark, target))
+    found, text = plans(spark, ingest.latest_load(landed), incremental.signals_by_slot(stg, 32))
+    for plan in text:
+        moved = re.findall(r"Exchange (\w+)", plan)
+        assert moved == ["rangepartitioning"], plan
+        assert len(re.findall(r"\bSort \[", plan)) == 1  # the file writer's own comes later
+    # the wide rows behind the windows are those of daily_signals, less the key
+    assert "md5" not in text[1] and "price_id" not in incremental.STORED
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$")
+    code = getattr(debug, "MODULE$").codegenStringSeq(found[1])
+    assert max(code.apply(i)._3().maxMethodCodeSize() for i in range(code.size())) < 8_000
+
+
+def test_no_shuffle_files_stay_behind_a_batch(spark, tmp_path):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = (Path(f).name for f in blocks.getAllFiles().mkString("\n").split("\n"))
+        return {f for f in files if f.startswith("shuffle_")}
+
+    name, before = ingest.FREED, shuffles()
+    some = [(t, d, 5.0 + d) for t in ("AAA", "BBB") for d in range(100)]
+    spark.conf.set(name, "false")
+    for n in range(2):
+        incremental.merge_and_refresh(batch(spark, some, f"2024-0{n + 1}-01"), f"b-{n}", str(tmp_path))
+    assert shuffles() <= before
+    assert spark.conf.get(name) == "false"  # as it was
+    spark.conf.unset(name)
+    assert rows_of(incremental.read_signals(spark, str(tmp_path))) == rebuilt(spark, str(tmp_path))
+
+
+def test_only_emptied_parts_are_marked(spark, tmp_path):
+    target, some = str(tmp_path), [("AAA", d, 1.0 + d) for d in range(60)]
+    incremental.merge_and_refresh(batch(spark, some, LOADED), "b-0", target)
+    gone = [("AAA", d, None) for d in range(31, 60)]  # all of February
+    incremental.merge_and_refresh(batch(spark, gone, "2024-02-01"), "b-1", target)
+    stored = spark.read.parquet(f"{target}/signals").groupBy("month").agg(
+        F.count("*").alias("rows"), F.count("trading_date").alias("bars")
+    )
+    assert {r.month: (r.rows, r.bars) for r in stored.collect()} == {"2020-01": (31, 31), "2020-02": (1, 0)}
+    assert rows_of(incremental.read_signals(spark, target)) == rebuilt(spark, target)
